@@ -77,7 +77,7 @@ def topk_match_rate(mart: DataFrame, products: DataFrame, k: int = DASHBOARD_RAN
     fits = F.col("target_skin_type").isin("all") | (F.col("target_skin_type") == F.col("skin_type"))
     top = mart.where(F.col("rank") <= k).agg(
         F.count(F.lit(1)).alias("top_rows"),
-        F.round(F.avg(fits.cast("int")), 4).alias("top_match_rate"),
+        F.round(F.avg(F.coalesce(fits, F.lit(False)).cast("int")), 4).alias("top_match_rate"),
     )
     segments = len(SKIN_TYPES)
     fitted = (
