@@ -76,8 +76,10 @@ def topk_match_rate(mart: DataFrame, products: DataFrame, k: int = DASHBOARD_RAN
     """
     fits = F.col("target_skin_type").isin("all") | (F.col("target_skin_type") == F.col("skin_type"))
     top = mart.where(F.col("rank") <= k).agg(
-        F.count(F.lit(1)).alias("top_rows"),
-        F.round(F.avg(F.coalesce(fits, F.lit(False)).cast("int")), 4).alias("top_match_rate"),
+        F.struct(
+            F.count(F.lit(1)).alias("top_rows"),
+            F.round(F.avg(F.coalesce(fits, F.lit(False)).cast("int")), 4).alias("top_match_rate"),
+        )
     )
     segments = len(SKIN_TYPES)
     fitted = (
@@ -89,7 +91,6 @@ def topk_match_rate(mart: DataFrame, products: DataFrame, k: int = DASHBOARD_RAN
         (F.count(F.lit(1)) * segments).alias("all_pairs"),
         F.round(F.sum(fitted) / (F.count(F.lit(1)) * segments), 4).alias("random_match_rate"),
     )
-    # Both sides are single aggregate rows.
-    return top.select("*", F.lit(1).alias("one")).join(
-        every.select("*", F.lit(1).alias("one")), "one"
-    ).drop("one")
+    return every.withColumn("top", top.scalar()).select(
+        "top.*", "all_pairs", "random_match_rate"
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankmill.functions.scalars import composite_key
+from rankmill.operators.joins import BROADCAST_ROWS, join_lookup
 from rankmill.operators.ranking import ROWS_PER_SORT_TASK, rank_within
 
 
@@ -20,23 +21,33 @@ class Weights(NamedTuple):
     rating: int = 2
 
 
-def product_risk(products: DataFrame, regulation: DataFrame) -> DataFrame:
+def product_risk(
+    products: DataFrame, regulation: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Per product with a regulated ingredient: does any rule prohibit or restrict it?
 
     Rules are folded to one row per ingredient before the join. OR does not care how often
     a rule is repeated, so this is exact, and an ingredient with very many rules no longer
-    multiplies the products that contain it.
+    multiplies the products that contain it. The rows of the regulation list bound the
+    folded rules; an ingredient found in very many products is dealt with by the join.
     """
-    rules = regulation.groupBy("ingredient_std_name").agg(
+    rules = regulation.groupBy(F.col("ingredient_std_name").alias("ingredient_name")).agg(
         F.bool_or(F.col("prohibited_in_country").isNotNull()).alias("prohibited"),
         F.bool_or(F.col("restricted_in_country").isNotNull()).alias("restricted"),
     )
     contents = products.select(
         "product_id", F.explode(F.array_distinct("key_ingredients")).alias("ingredient_name")
     )
+    regulated = join_lookup(
+        contents,
+        rules,
+        "ingredient_name",
+        lookup_rows_bound=regulation.count(),
+        spread_by="product_id",
+        broadcast_rows=broadcast_rows,
+    )
     return (
-        contents.join(rules, contents.ingredient_name == rules.ingredient_std_name)
-        .groupBy("product_id")
+        regulated.groupBy("product_id")
         .agg(
             F.bool_or("prohibited").alias("has_prohibited_ingredient"),
             F.bool_or("restricted").alias("has_restricted_ingredient"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rankmill.session import use_utc
 
@@ -17,6 +18,9 @@ OLD_DAY, NEW_DAY = "2026-07-06", "2026-07-07"
 PAGE_ROWS = 10
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     """The derived raw tables of one scale-factor folder."""
 
@@ -25,7 +29,11 @@ class Tables:
         self.sf_dir = sf_dir
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A driver table. Its schema is taken from the file footers once per path."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # -- snapshots: an older partial one and a newer full one
 
@@ -132,13 +140,8 @@ class Tables:
             .join(segments, F.col("user_id") == F.col("c_custkey"), "left")
         )
         segment = "case k when 91 then null when 92 then 'robot' else segment end" if dirty else "segment"
-        event_type = (
-            "case when kind = 'signup' then null {odd} when kind = 'click' then 'like' "
-            "when kind = 'error' then 'rating' else kind end"
-        ).format(odd="when k = 93 then 'share'" if dirty else "")
-        event_ts = (
-            "date_format(event_ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\")"
-        )
+        odd_type = "when k = 93 then 'share'" if dirty else ""
+        event_ts = "concat(replace(cast(event_ts as string), ' ', 'T'), '+00:00')"
         if dirty:
             event_ts = f"case when k = 94 then 'yesterday' else {event_ts} end"
         typed = keyed.selectExpr(
@@ -146,37 +149,27 @@ class Tables:
             "concat('e_', lpad(cast(event_no as string), 9, '0')) as event_id",
             "event_ts",
             "k",
-            f"{event_type} as event_type",
+            f"case when kind = 'signup' then null {odd_type} when kind = 'click' then 'like' "
+            "when kind = 'error' then 'rating' else kind end as event_type",
             f"{event_ts} as ts_text",
             "concat('u_', lpad(cast(user_id as string), 5, '0')) as user",
             f"{segment} as segment",
             "concat('p_', lpad(cast(case when k < 30 then k when k < 95 then user_id * 13 + k % 40 "
             "else 9000000 + k end as string), 7, '0')) as product_id",
             "concat('s_', cast(user_id as string), '_', cast(event_no % 4 as string)) as session",
-            "case when kind <> 'error' then null when k % 6 = 5 then 'x' "
+            "case when kind <> 'error' then 'null' when k % 6 = 5 then '\"x\"' "
             "else cast(1 + event_no % 5 as string) end as rating",
         )
-        payload = F.to_json(
-            F.struct(
-                "event_id",
-                "event_type",
-                F.col("ts_text").alias("event_ts"),
-                F.col("user").alias("user_id"),
-                F.col("segment").alias("skin_type"),
-                "product_id",
-                F.col("session").alias("session_id"),
-                F.when(F.col("rating") != "x", F.col("rating").try_cast("int")).alias("rating"),
-            ),
-            {"ignoreNullFields": "false"},
-        )
-        unreadable = F.when(F.col("k") % 2 == 0, F.to_json(F.struct(F.col("user").alias("user_id"))))
-        bad_rating = F.regexp_replace(payload, '"rating":null', '"rating":"x"')
-        data = (
-            F.when(F.col("event_type").isNull(), F.coalesce(unreadable, F.concat(F.lit("signup "), "user")))
-            .when(F.col("rating") == "x", bad_rating)
-            .otherwise(payload)
-        )
-        return typed.select("event_no", "event_id", "event_ts", "event_type", "k", data.alias("data"))
+        # none of the values needs JSON escapes
+        payload = """
+            case when event_type is null and k % 2 = 0 then concat('{"user_id":"', user, '"}')
+              when event_type is null then concat('signup ', user)
+              else concat('{"event_id":"', event_id, '","event_type":"', event_type,
+                '","event_ts":"', ts_text, '","user_id":"', user,
+                '","skin_type":', coalesce(concat('"', segment, '"'), 'null'),
+                ',"product_id":"', product_id, '","session_id":"', session,
+                '","rating":', rating, '}') end as data"""
+        return typed.selectExpr("event_no", "event_id", "event_ts", "event_type", "k", payload)
 
     # -- API pages
 
