@@ -23,19 +23,12 @@ HEADLINES = (
     "skin_product_scores",
     "stg_events",
     "stg_ingredient",
-    "stg_manufacturer",
     "events_daily",
     "regulated_origin",
-    "serve_top_n",
-    "top_scores_per_segment",
     "rank_in_segment",
     "quality_report",
-    "table_profile",
     "delivery_reconcile",
-    "arrival_lag",
-    "landed_messages",
     "incremental_events",
-    "partition_replace",
     "daily_run",
     "api_pages_unwrap",
     "api_page_completeness",

@@ -78,8 +78,11 @@ def top_n_per_group(
     """The first `n` rows of each group with their rank.
 
     The rank filter sits on the window, so map tasks drop all but `n` rows per group
-    before the exchange.
+    before the exchange. Spark does that for small `n` only; a larger `n` is cut from the
+    range-partitioned ranks.
     """
+    if n >= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        return rank_within(df, group, order, out).where(F.col(out) <= n)
     window = Window.partitionBy(*group).orderBy(*order)
     return (
         df.withColumn(out, F.row_number().over(window))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankmill.operators.quality import enforce, quality_report
+from rankmill.plans.analysis import regulated_origin
 from rankmill.plans.marts import Weights, events_daily, recommendations
 from rankmill.plans.staging import (
     stg_events,
@@ -27,6 +28,8 @@ from rankmill.sources.lake import (
     load_sources,
     read_events,
     read_raw_date,
+    read_snapshot,
+    write_report,
     write_table,
 )
 from rankmill.sources.schemas import EVENTS
@@ -55,6 +58,19 @@ class DailyRun:
         return sum(self.loaded.values())
 
 
+def regulated_origin_report(
+    spark: SparkSession, lake: Lake, day: dt.date | str, preview: int = 0, single_file: bool = False
+) -> DataFrame:
+    """The origin report straight from the landed snapshots of one date, written per date.
+
+    It needs no raw tables. `preview` prints the first rows of the written report.
+    """
+    ingredient = read_snapshot(spark, lake, "ingredient", day)
+    regulation = read_snapshot(spark, lake, "regulation", day)
+    report = regulated_origin(ingredient, regulation)
+    return write_report(report, lake, "regulated_origin", day, single_file, preview)
+
+
 def staging_views(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     """Snapshot models over the newest partition of each raw table, also as temp views.
 
@@ -77,10 +93,13 @@ def refresh_events(spark: SparkSession, lake: Lake, since: dt.date | str | None
     from that publication date on are parsed and deduplicated, and ids that the older
     partitions already hold are dropped: an older partition holds the earlier
     publication, so this equals the full rebuild. Of the history only the id column is
-    read. All partitions from `since` on are replaced.
+    read. All partitions from `since` on are replaced, and dates whose messages are gone
+    from the raw table (retention) leave the cleaned table as well.
     """
     use_utc(spark)
     path = lake.table(CLEAN_EVENTS, STAGING)
+    landed = set(lake.dates(spark, lake.table(EVENTS, "raw")))
+    drop_partitions(spark, path, [d for d in lake.dates(spark, path) if d not in landed])
     known = lake.dates(spark, path)
     since = as_date(since) if since is not None and known else None
     raw = read_events(spark, lake, since)
@@ -98,11 +117,6 @@ def refresh_events(spark: SparkSession, lake: Lake, since: dt.date | str | None
         .partitionBy("dt")
         .parquet(path)
     )
-    # A partition whose messages are gone is not touched by the overwrite.
-    landed = set(lake.dates(spark, lake.table(EVENTS, "raw")))
-    drop_partitions(
-        spark, path, [d for d in known if (since is None or d >= since) and d not in landed]
-    )
     return spark.read.schema(clean.schema).parquet(path).drop("dt")
 
 

@@ -71,6 +71,16 @@ def test_a_missing_source_stops_the_run_before_the_models(spark, lake):
     assert lake.dates(spark, lake.table("stg_events", "staging")) == []
 
 
+def test_origin_report_from_landed_snapshots(spark, lake, capsys):
+    land_day(spark, lake, DAY)
+    lakes.write_snapshot(lake, spark.createDataFrame([("water", "W", None, "KR"), ("water", "W", "EU", None)], REGULATION),
+                         "regulation", DAY)
+    out = daily.regulated_origin_report(spark, lake, DAY, preview=20)
+    assert [tuple(r) for r in out.collect()] == [("plant", 1, 0.5)]
+    assert "plant" in capsys.readouterr().out
+    assert out.inputFiles()[0].split("/")[-2] == f"dt={DAY}"
+
+
 def test_refresh_equals_rebuild(spark, lake):
     day = 86400
     land_events(spark, lake, [message(payload(f"e{i}"), i * day) for i in range(4)])
@@ -92,7 +102,7 @@ def test_refresh_drops_partitions_whose_messages_expired(spark, lake):
     daily.refresh_events(spark, lake)
     raw = lake.table("events", "raw")
     lakes.drop_partitions(spark, raw, lake.dates(spark, raw)[:1])
-    assert daily.refresh_events(spark, lake, since="2026-07-10").count() == 3
+    assert daily.refresh_events(spark, lake, since="2026-07-10").count() == 2
     assert daily.refresh_events(spark, lake).count() == 2
 
 

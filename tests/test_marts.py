@@ -135,6 +135,13 @@ def test_top_n_per_group(spark):
     assert sorted((r.g, r.v, r["rank"]) for r in out) == [("a", 2, 2), ("a", 3, 1), ("b", 9, 1)]
 
 
+def test_top_n_beyond_the_group_limit(spark):
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, 'a', 'b') as g", "id as v")
+    out = top_n_per_group(df, ["g"], [F.desc("v")], 1500)
+    assert [r["count"] for r in out.groupBy("g").count().orderBy("g").collect()] == [1000, 1500]
+    assert out.agg(F.max("rank")).first()[0] == 1500
+
+
 def test_daily_activity_splits_at_utc_midnight(spark):
     late, early = dt.datetime(2026, 7, 8, 23, 59, 59), dt.datetime(2026, 7, 9)
     events = make_events(spark, [

@@ -103,6 +103,16 @@ def regulated_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def regulated_origin_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report as a job over landed JSON lines, read back from its dated folder."""
+    t = Tables(spark, sf_dir)
+    lake = lakes.Lake(fresh_dir(spark, "origin"))
+    for name in ("ingredient", "regulation"):
+        snapshot = latest_snapshot(getattr(t, name)(), NEW_DAY).drop("dt")
+        lakes.write_snapshot(lake, snapshot, name, NEW_DAY)
+    return daily.regulated_origin_report(spark, lake, NEW_DAY)
+
+
 def serve_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.recommend(_mart(Tables(spark, sf_dir)), "sensitive", 20)
 
@@ -205,7 +215,7 @@ def _message_folder(t: Tables) -> str:
 def _landed(t: Tables, label: str) -> lakes.Lake:
     """A lake whose raw event table was filled by the landing stream."""
     lake = lakes.Lake(fresh_dir(t.spark, label))
-    messages = streams.message_files(t.spark, _message_folder(t), "parquet", files_per_batch=4)
+    messages = streams.message_files(t.spark, _message_folder(t), "parquet")
     streams.land_events(messages, lake, f"{lake.root}/checkpoint").awaitTermination()
     return lake
 
@@ -339,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "events_daily": events_daily,
     "kpi_scorecard": kpi_scorecard,
     "regulated_origin": regulated_origin,
+    "regulated_origin_report": regulated_origin_report,
     "serve_top_n": serve_top_n,
     "dashboard_top5": dashboard_top5,
     "top_scores_per_segment": top_scores_per_segment,
