@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 
 from rankmill.operators.quality import enforce, quality_report
 from rankmill.plans.analysis import regulated_origin
-from rankmill.plans.marts import Weights, events_daily, recommendations
+from rankmill.plans.marts import (
+    Weights,
+    daily_activity,
+    events_daily,
+    rank_products,
+    scores_from_activity,
+)
 from rankmill.plans.staging import (
     stg_events,
     stg_ingredient,
@@ -35,7 +41,13 @@ from rankmill.sources.lake import (
 from rankmill.sources.schemas import EVENTS
 
 STAGING, MARTS = "staging", "marts"
-CLEAN_EVENTS = "stg_events"
+CLEAN_EVENTS, ACTIVITY = "stg_events", "segment_activity"
+
+# Columns of the cleaned event table.
+CLEAN_SCHEMA = (
+    "event_id string, event_type string, event_ts timestamp, user_id string, skin_type string, "
+    "product_id string, session_id string, rating bigint, publish_time timestamp, dt date"
+)
 
 _SNAPSHOT_MODELS = {
     "ingredient": stg_ingredient,
@@ -117,15 +129,43 @@ def refresh_events(spark: SparkSession, lake: Lake, since: dt.date | str | None
         .partitionBy("dt")
         .parquet(path)
     )
-    return spark.read.schema(clean.schema).parquet(path).drop("dt")
+    return spark.read.schema(CLEAN_SCHEMA).parquet(path).drop("dt")
+
+
+def refresh_activity(spark: SparkSession, lake: Lake, since: dt.date | str | None = None) -> DataFrame:
+    """Daily sums per segment and product, recomputed for the cleaned days from `since` on.
+
+    Older days keep their sums, so the scores of all history cost a scan of the new days
+    and of these sums.
+    """
+    clean, path = lake.table(CLEAN_EVENTS, STAGING), lake.table(ACTIVITY, STAGING)
+    days = set(lake.dates(spark, clean))
+    drop_partitions(spark, path, [d for d in lake.dates(spark, path) if d not in days])
+    events = spark.read.schema(CLEAN_SCHEMA).parquet(clean)
+    if since is not None and lake.dates(spark, path):
+        events = events.where(F.col("dt").isNull() | (F.col("dt") >= F.lit(as_date(since))))
+    activity = daily_activity(events)
+    (
+        activity.hint("rebalance", "dt")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt")
+        .parquet(path)
+    )
+    return spark.read.schema(activity.schema).parquet(path)
 
 
 def build_marts(
-    spark: SparkSession, lake: Lake, staging: dict[str, DataFrame], weights: Weights = Weights()
+    spark: SparkSession,
+    lake: Lake,
+    staging: dict[str, DataFrame],
+    activity: DataFrame,
+    weights: Weights = Weights(),
 ) -> dict[str, DataFrame]:
-    """Rebuild both marts from the staging models; both read the same cleaned events."""
+    """Rebuild both marts: ranks from the daily sums, daily activity from the events."""
+    scores = scores_from_activity(activity, weights)
+    ranked = rank_products(scores, staging["stg_products"], staging["stg_regulation"])
     events = staging[CLEAN_EVENTS]
-    ranked = recommendations(events, staging["stg_products"], staging["stg_regulation"], weights)
     return {
         "recommendations": write_table(ranked, lake, "recommendations", MARTS),
         "dashboard_events_daily": write_table(
@@ -156,7 +196,8 @@ def run_daily(
     if staging["stg_products"].isEmpty():
         raise EmptySnapshotError("the product catalog is empty")
     staging[CLEAN_EVENTS] = refresh_events(spark, lake, events_since)
-    models = {**staging, **build_marts(spark, lake, staging, weights)}
+    activity = refresh_activity(spark, lake, events_since)
+    models = {**staging, **build_marts(spark, lake, staging, activity, weights)}
     report = write_table(quality_report(models), lake, "quality_report", MARTS)
     if check:
         enforce(report)

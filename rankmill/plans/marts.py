@@ -55,28 +55,51 @@ def product_risk(
     )
 
 
-def skin_product_scores(events: DataFrame, weights: Weights = Weights()) -> DataFrame:
-    """Behaviour counts and score per segment and product."""
+def _activity(events: DataFrame, keys: list[str]) -> DataFrame:
     kind = F.col("event_type")
     views, likes, purchases = (F.count_if(kind == k) for k in ("view", "like", "purchase"))
-    return (
-        events.groupBy("skin_type", "product_id")
-        .agg(
-            views.alias("views"),
-            likes.alias("likes"),
-            purchases.alias("purchases"),
-            F.avg("rating").alias("avg_rating"),
-        )
-        .withColumn(
-            "score",
-            F.col("views") * weights.view
-            + F.col("likes") * weights.like
-            + F.col("purchases") * weights.purchase
-            + F.coalesce("avg_rating", F.lit(0.0)) * weights.rating,
-        )
+    return events.groupBy(*keys).agg(
+        views.alias("views"),
+        likes.alias("likes"),
+        purchases.alias("purchases"),
+        F.avg("rating").alias("avg_rating"),
+        F.sum("rating").alias("rating_sum"),
+        F.count("rating").alias("ratings"),
     )
 
 
+def _scored(counts: DataFrame, weights: Weights) -> DataFrame:
+    score = (
+        F.col("views") * weights.view
+        + F.col("likes") * weights.like
+        + F.col("purchases") * weights.purchase
+        + F.coalesce("avg_rating", F.lit(0.0)) * weights.rating
+    )
+    return counts.select(
+        "skin_type", "product_id", "views", "likes", "purchases", "avg_rating", score.alias("score")
+    )
+
+
+def skin_product_scores(events: DataFrame, weights: Weights = Weights()) -> DataFrame:
+    """Behaviour counts and score per segment and product."""
+    return _scored(_activity(events, ["skin_type", "product_id"]), weights)
+
+
+def daily_activity(events: DataFrame, day: str = "dt") -> DataFrame:
+    """Additive behaviour counts per day, segment and product.
+
+    Days of unchanged events need not be read again: the scores follow from these sums.
+    """
+    return _activity(events, [day, "skin_type", "product_id"]).drop("avg_rating")
+
+
+def scores_from_activity(activity: DataFrame, weights: Weights = Weights()) -> DataFrame:
+    """`skin_product_scores`, from daily sums instead of events."""
+    sums = ("views", "likes", "purchases", "rating_sum", "ratings")
+    totals = activity.groupBy("skin_type", "product_id").agg(*[F.sum(c).alias(c) for c in sums])
+    return _scored(totals.withColumn("avg_rating", F.try_divide("rating_sum", "ratings")), weights)
+
+
 def recommendations(
     events: DataFrame,
     products: DataFrame,
@@ -84,7 +107,17 @@ def recommendations(
     weights: Weights = Weights(),
     rows_per_task: int = ROWS_PER_SORT_TASK,
 ) -> DataFrame:
-    """Ranked products per segment.
+    """Ranked products per segment, from the cleaned events."""
+    return rank_products(skin_product_scores(events, weights), products, regulation, rows_per_task)
+
+
+def rank_products(
+    scores: DataFrame,
+    products: DataFrame,
+    regulation: DataFrame,
+    rows_per_task: int = ROWS_PER_SORT_TASK,
+) -> DataFrame:
+    """Filter scored products by regulation and rank what remains.
 
     Prohibited ingredients exclude a product for everyone, restricted ones only for the
     segment `sensitive`. Ranks are given after that, so they have no gaps; equal scores
@@ -93,7 +126,6 @@ def recommendations(
     A segment has at most one row per catalog row, so the size of the catalog bounds the
     rows a rank sorts in one task.
     """
-    scores = skin_product_scores(events, weights)
     catalog = products.select(
         "product_id", "product_name", "category", "target_skin_type", "price_krw"
     )

@@ -4,7 +4,7 @@ import pytest
 from test_staging import message, payload
 
 from rankmill.operators.quality import DataQualityError
-from rankmill.plans import daily
+from rankmill.plans import daily, marts
 from rankmill.plans.serving import lookup
 from rankmill.plans.staging import stg_events
 from rankmill.sources import lake as lakes
@@ -96,6 +96,23 @@ def test_refresh_equals_rebuild(spark, lake):
     assert values(daily.refresh_events(spark, lake)) == full
 
 
+def test_scores_from_refreshed_daily_sums_equal_a_rebuild(spark, lake):
+    day = 86400
+    land_events(spark, lake, [message(payload(f"e{i}", rating=i % 5 + 1, event_type="rating"), i * day) for i in range(4)]
+                + [("s", "m", None, json.dumps(payload("timeless", event_type="like")), None)])
+    daily.refresh_events(spark, lake)
+    daily.refresh_activity(spark, lake)
+    land_events(spark, lake, [message(payload("e0"), 3 * day), message(payload("n1", event_type="purchase"), 3 * day),
+                              message(payload("n2", skin_type=None, product_id="p9"), 5 * day)])
+    events = daily.refresh_events(spark, lake, since="2026-07-11")
+    part = daily.refresh_activity(spark, lake, since="2026-07-11")
+    assert values(marts.scores_from_activity(part)) == values(marts.skin_product_scores(events))
+    rows = {(r.skin_type, r.product_id): r for r in marts.scores_from_activity(part).collect()}
+    assert values(part) == values(daily.refresh_activity(spark, lake))
+    assert rows[("dry", "p1")].score == 5 + 3 + 2 * 2.5
+    assert rows[(None, "p9")].avg_rating is None
+
+
 def test_refresh_drops_partitions_whose_messages_expired(spark, lake):
     day = 86400
     land_events(spark, lake, [message(payload(f"e{i}"), i * day) for i in range(3)])

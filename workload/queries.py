@@ -253,6 +253,16 @@ def incremental_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.refresh_events(spark, lake, since="2024-01-20")
 
 
+def incremental_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores from daily sums, after a full build and a partial refresh."""
+    lake = lakes.Lake(fresh_dir(spark, "activity"))
+    lakes.write_events(lake, Tables(spark, sf_dir).raw_events())
+    daily.refresh_events(spark, lake)
+    daily.refresh_activity(spark, lake)
+    daily.refresh_events(spark, lake, since="2024-01-20")
+    return marts.scores_from_activity(daily.refresh_activity(spark, lake, since="2024-01-20"))
+
+
 # -- lake ---------------------------------------------------------------------------------
 
 
@@ -365,6 +375,7 @@ QUERIES: dict[str, Query] = {
     "landed_messages": landed_messages,
     "stream_dedup_counts": stream_dedup_counts,
     "incremental_events": incremental_events,
+    "incremental_scores": incremental_scores,
     "partition_replace": partition_replace,
     "load_counts": load_counts,
     "landed_snapshot": landed_snapshot,
