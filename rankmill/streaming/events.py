@@ -77,15 +77,18 @@ def dedup_stream(messages: DataFrame, horizon: str = "1 hour") -> DataFrame:
 
 
 def live_popularity(messages: DataFrame, window: str = "1 day", horizon: str = "1 hour") -> DataFrame:
-    """Running activity per window and event type, over events not yet deduplicated late.
+    """Running activity per window and event type, without repeated deliveries.
 
-    Counts are additive, users and products are estimated, since exact distinct counts
-    would need the full set in state.
+    Copies of an event share its time stamp, so one watermark serves both steps: an id is
+    remembered for `horizon` of event time, and a window is final once the watermark has
+    passed its end. Users and products are estimated, since exact distinct counts would
+    need the full sets in state.
     """
     return (
         parsed_events(messages)
         .where(F.col("event_ts").isNotNull())
         .withWatermark("event_ts", horizon)
+        .dropDuplicatesWithinWatermark(["event_id"])
         .groupBy(F.window("event_ts", window), "event_type")
         .agg(
             F.count(F.lit(1)).alias("events"),

@@ -74,7 +74,7 @@ def test_live_popularity_closes_windows(spark, tmp_path):
     def event(i, stamp, kind="view", rating=None):
         return message(payload(f"e{i}", event_ts=stamp, event_type=kind, user_id=f"u{i}", rating=rating))
 
-    drop(spark, folder, [event(1, "2026-07-08T23:59:59Z"), event(2, "2026-07-08T10:00:00Z"),
+    drop(spark, folder, [event(1, "2026-07-08T23:59:59Z"), event(2, "2026-07-08T10:00:00Z"), event(2, "2026-07-08T10:00:00Z"),
                          event(3, "2026-07-08T10:00:00Z", "rating", 4), event(4, "nonsense")])
     stream = streams.live_popularity(streams.message_files(spark, folder, "parquet"))
     drain(stream, out)
