@@ -22,7 +22,10 @@ def message_files(spark: SparkSession, path: str, fmt: str = "json", files_per_b
 
 
 def from_kafka(records: DataFrame, subscription: str) -> DataFrame:
-    """Records of the `kafka` source in message form, payload untouched, metadata kept."""
+    """Records of the `kafka` source (read with `includeHeaders`) in message form.
+
+    The payload stays untouched, the metadata is kept.
+    """
     headers = F.transform(
         "headers", lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))
     )
@@ -66,8 +69,7 @@ def dedup_stream(messages: DataFrame, horizon: str = "1 hour") -> DataFrame:
 
     State is kept per id and dropped once the watermark has passed. The copy that arrives
     first is kept, which need not be the one published first; messages later than the
-    horizon are dropped. The batch model over the landed table has neither limit and is
-    the reference for the marts.
+    horizon are dropped. The batch model, which the marts use, has neither limit.
     """
     return (
         parsed_events(messages)

@@ -129,7 +129,7 @@ class Tables:
             "when 'AUTOMOBILE' then 'normal' end as segment",
         )
         keyed = (
-            self.read("events")
+            _spread(self.read("events"))
             .selectExpr(
                 "event_id as event_no",
                 "cast(ts as timestamp) as event_ts",
@@ -205,6 +205,16 @@ class Tables:
         return pages.select("source", F.col("page_no").cast("int").alias("page_no"), payload.alias("payload"))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that has fewer splits than there are cores.
+
+    A file of one row group is one task, however much work each row is. Larger inputs have
+    enough splits and are left as they lie.
+    """
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, 64)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 # Every row is in the newer snapshot; rows that meet the condition also in the older one.
 _DAYS = (
     "explode(case when {} then array(date'" + OLD_DAY + "', date'" + NEW_DAY + "') "
