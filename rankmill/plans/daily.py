@@ -24,7 +24,7 @@ from rankmill.plans.staging import (
     stg_products,
     stg_regulation,
 )
-from rankmill.session import use_utc
+from rankmill.session import run_together, use_utc
 from rankmill.sources.lake import (
     EmptySnapshotError,
     Lake,
@@ -163,15 +163,19 @@ def build_marts(
     weights: Weights = Weights(),
 ) -> dict[str, DataFrame]:
     """Rebuild both marts: ranks from the daily sums, daily activity from the events."""
-    scores = scores_from_activity(activity, weights)
-    ranked = rank_products(scores, staging["stg_products"], staging["stg_regulation"])
-    events = staging[CLEAN_EVENTS]
-    return {
-        "recommendations": write_table(ranked, lake, "recommendations", MARTS),
-        "dashboard_events_daily": write_table(
-            events_daily(events), lake, "dashboard_events_daily", MARTS
-        ),
-    }
+
+    def ranked() -> DataFrame:
+        scores = scores_from_activity(activity, weights)
+        return rank_products(scores, staging["stg_products"], staging["stg_regulation"])
+
+    def activity_per_day() -> DataFrame:
+        return events_daily(staging[CLEAN_EVENTS])
+
+    marts = {"recommendations": ranked, "dashboard_events_daily": activity_per_day}
+    return run_together(
+        spark,
+        {name: lambda n=name, m=model: write_table(m(), lake, n, MARTS) for name, model in marts.items()},
+    )
 
 
 def run_daily(

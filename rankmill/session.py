@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 UTC_KEY = "spark.sql.session.timeZone"
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -63,3 +69,14 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared one, for tables a single run writes and reads back."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def run_together(spark: SparkSession, jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Submit independent Spark jobs at once, so that small ones share the executors.
+
+    All are waited for; the first failure, in the given order, is raised.
+    """
+    with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
+        submitted = inheritable_thread_target(spark)
+        running = {name: pool.submit(submitted(job)) for name, job in jobs.items()}
+    return {name: job.result() for name, job in running.items()}

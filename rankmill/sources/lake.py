@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from rankmill.session import run_together
 from rankmill.sources.schemas import (
     EVENT_MESSAGE,
     EVENTS,
@@ -136,8 +138,10 @@ def load_snapshot(spark: SparkSession, lake: Lake, source: str, day: dt.date | s
 
 
 def load_sources(spark: SparkSession, lake: Lake, day: dt.date | str, source: str = "all") -> dict[str, int]:
-    """Load one or all registered sources; rows per source, in registry order."""
-    return {s.name: load_snapshot(spark, lake, s.name, day) for s in pick(source)}
+    """Load one or all registered sources, side by side; rows per source, in registry order."""
+    return run_together(
+        spark, {s.name: partial(load_snapshot, spark, lake, s.name, day) for s in pick(source)}
+    )
 
 
 def read_raw(spark: SparkSession, lake: Lake, name: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from rankmill.operators.quality import quality_report
 from rankmill.operators.ranking import rank_within, top_n_per_group
 from rankmill.operators.snapshot import latest_snapshot
 from rankmill.plans import analysis, daily, marts, serving, staging
-from rankmill.session import fresh_dir
+from rankmill.session import fresh_dir, run_together
 from rankmill.sources import lake as lakes
 from rankmill.sources import pages
 from rankmill.sources.schemas import SNAPSHOTS
@@ -267,11 +267,13 @@ def incremental_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land_snapshots(t: Tables, lake: lakes.Lake) -> None:
-    for name in SNAPSHOTS:
+    def land(name: str) -> None:
         raw = getattr(t, name)()
         for day in (OLD_DAY, NEW_DAY):
             lakes.write_snapshot(lake, latest_snapshot(raw, day).drop("dt"), name, day)
 
+    run_together(t.spark, {name: partial(land, name) for name in SNAPSHOTS})
+
 
 def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both dates loaded, the newer one twice: no duplicates, the older one untouched."""
