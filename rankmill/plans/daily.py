@@ -32,6 +32,7 @@ from rankmill.sources.lake import (
     drop_partitions,
     load_snapshot,
     load_sources,
+    partition_files,
     read_events,
     read_raw_date,
     read_snapshot,
@@ -107,6 +108,9 @@ def refresh_events(spark: SparkSession, lake: Lake, since: dt.date | str | None
     publication, so this equals the full rebuild. Of the history only the id column is
     read. All partitions from `since` on are replaced, and dates whose messages are gone
     from the raw table (retention) leave the cleaned table as well.
+
+    `since` has to reach back to the earliest publication date that received messages
+    after the last refresh; the day before the previous run is a safe habit.
     """
     use_utc(spark)
     path = lake.table(CLEAN_EVENTS, STAGING)
@@ -122,6 +126,8 @@ def refresh_events(spark: SparkSession, lake: Lake, since: dt.date | str | None
             folders = [f"{path}/dt={d.isoformat()}" for d in history]
             held = spark.read.schema("event_id string").parquet(*folders)
             clean = clean.join(held, "event_id", "left_anti")
+    rebuilt = [d for d in known if since is None or d >= since]
+    before = partition_files(spark, path, rebuilt)
     (
         clean.hint("rebalance", "dt")
         .write.mode("overwrite")
@@ -129,6 +135,10 @@ def refresh_events(spark: SparkSession, lake: Lake, since: dt.date | str | None
         .partitionBy("dt")
         .parquet(path)
     )
+    # The overwrite leaves a date alone that has no rows any more, which happens when late
+    # copies move all its events to an earlier date. Its files are still the old ones.
+    after = partition_files(spark, path, rebuilt)
+    drop_partitions(spark, path, [d for d in rebuilt if after[d] == before[d]])
     return spark.read.schema(CLEAN_SCHEMA).parquet(path).drop("dt")
 
 

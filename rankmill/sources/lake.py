@@ -244,6 +244,17 @@ def expired_dates(
     return [d for d in dates[:-1] if d < cutoff]
 
 
+def partition_files(spark: SparkSession, path: str, dates: list[dt.date]) -> dict[dt.date, frozenset[str]]:
+    """Names of the data files of the given dates."""
+    files = {}
+    for day in dates:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dt={day.isoformat()}")
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = fs.listStatus(folder) if fs.exists(folder) else []
+        files[day] = frozenset(status.getPath().getName() for status in found)
+    return files
+
+
 def drop_partitions(spark: SparkSession, path: str, dates: list[dt.date]) -> None:
     """Delete the given date folders of a table (only on explicit request)."""
     for day in dates:

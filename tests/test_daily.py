@@ -96,6 +96,21 @@ def test_refresh_equals_rebuild(spark, lake):
     assert values(daily.refresh_events(spark, lake)) == full
 
 
+@pytest.mark.parametrize("since", ["2026-07-09", None])
+def test_a_late_copy_can_empty_a_later_day(spark, lake, since):
+    day = 86400
+    land_events(spark, lake, [message(payload("old"), 0), message(payload("x"), 3 * day), message(payload("y"), 4 * day)])
+    daily.refresh_events(spark, lake)
+    daily.refresh_activity(spark, lake)
+    land_events(spark, lake, [message(payload("x"), 1 * day)])
+    out = values(daily.refresh_events(spark, lake, since=since))
+    assert out == values(stg_events(lakes.read_events(spark, lake))) and len(out) == 3
+    dates = [str(d) for d in lake.dates(spark, lake.table("stg_events", "staging"))]
+    assert dates == ["2026-07-08", "2026-07-09", "2026-07-12"]
+    scores = marts.scores_from_activity(daily.refresh_activity(spark, lake, since=since)).first()
+    assert scores.views == 3
+
+
 def test_scores_from_refreshed_daily_sums_equal_a_rebuild(spark, lake):
     day = 86400
     land_events(spark, lake, [message(payload(f"e{i}", rating=i % 5 + 1, event_type="rating"), i * day) for i in range(4)]
