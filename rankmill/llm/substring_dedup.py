@@ -7,14 +7,14 @@ Pass 1: every task counts its windows in a sketch of two rows of saturating coun
 more). It sends the touched counters only, as gaps between their positions, and the partial sketches
 are merged block by block. A merged counter is never below the true count of a window that uses it.
 Pass 2: a window whose counters all say "more" may be repeated, any other one is not. Of the former
-each task keeps the first occurrence and already knows that its others go; first occurrences are
-grouped exactly by 96 bits of hash, and all but the first one of a group go. The sketch decides how
-much pass 2 sends, never the result.
+each chunk of a task keeps the first occurrence and already knows that its others go; first
+occurrences are dealt out by the smallest four-word hash in them, grouped exactly by 96 bits of hash,
+and all but the first one of a group go. The sketch decides how much pass 2 sends, never the result.
 
 The sketch has `2 ** SKETCH_LOG2` counters whatever the input: 64 MB go to the tasks. Beyond some
 hundred million different windows it fills up and pass 2 sends more, at most all windows; raise
-`sketch_log2` with the memory of the executors. A window in a third of all documents is one row
-per flushed chunk of a task, so no group is large.
+`sketch_log2` with the memory of the executors. A window in a third of all documents is one entry
+per chunk of a task, so no group is large.
 
 Null text has no words. Rows that repeat a document id with the same text are one document;
 with other texts they are judged by their own positions. A document without an id comes last.
@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankmill.llm.common import order_id, ship_package, stored, text_of
@@ -36,9 +36,11 @@ from rankmill.llm.common import order_id, ship_package, stored, text_of
 WINDOW = 20
 SKETCH_LOG2 = 29
 BLOCK_LOG2 = 19
-CHUNK_WORDS = 1_000_000
-FLUSH_WINDOWS = 4_000_000
-MEMO = 500_000
+GRAM = 4  # words of the pieces whose smallest hash deals out the windows
+PARTS_PER_PARTITION = 4
+CHUNK_WORDS = 500_000
+FLUSH_WINDOWS = 3_000_000
+MEMO = 300_000
 M1, M2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F  # odd multipliers of the two window hashes
 
 
@@ -82,12 +84,15 @@ class Chunk:
         start = np.arange(n) - first[row[:n]]
         inside = start + window <= lengths[row[:n]]
         self.row, self.start = row[:n][inside], start[inside].astype(np.int32)
+        self.at = np.flatnonzero(inside)
         if n:
+            grams = _rolled(values, M2, min(GRAM, window))
+            self.grams = (grams ^ (grams >> np.uint64(32))) * np.uint64(M1)
             self.h1 = _rolled(values, M1, window)[inside]
             mixed = (values ^ (values >> np.uint64(29))) * np.uint64(M1)
             self.h2 = (_rolled(mixed, M2, window)[inside] >> np.uint64(32)).astype(np.uint32)
         else:
-            self.h1, self.h2 = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+            self.h1, self.h2, self.grams = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint64)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[list[tuple], Chunk]]:
@@ -186,79 +191,164 @@ def repeated_counters(texts: DataFrame, window: int, sketch_log2: int) -> DataFr
     return parts.repartition("block").sortWithinPartitions("block").mapInArrow(merged, "block int, bits binary")
 
 
-def _removals(texts: DataFrame, sketch: list, window: int, sketch_log2: int) -> DataFrame:
-    """(doc, version, starts): starts of windows that also start earlier, as packed gaps or single
-    numbers; a document may have several rows."""
-    block_log2 = min(BLOCK_LOG2, sketch_log2)
-    bits = dict((r["block"], bytes(r["bits"])) for r in sketch)  # at most 2 ** sketch_log2 bits
-    shared = texts.sparkSession.sparkContext.broadcast(bits)
-
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(2**sketch_log2 // 8, np.uint8)
-        for block, data in shared.value.items():
-            at = block << block_log2 >> 3
-            table[at : at + len(data)] = np.frombuffer(data, np.uint8)
+def _parts(chunk: Chunk, hit: np.ndarray, window: int, parts: int) -> np.ndarray:
+    """The part of each window in `hit`: of the smallest four-word hash in it.
 
-        def maybe(h1: np.ndarray) -> np.ndarray:
-            hit = np.ones(len(h1), bool)
-            for at in _counters(h1, sketch_log2):
-                hit &= (table[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8) & 1).astype(bool)
-            return hit
+    Equal windows share it, and so do most neighbours, so a repeated passage travels in few pieces.
+    """
+    inner = window - min(GRAM, window) + 1
+    least = chunk.grams
+    width = 1
+    while 2 * width <= inner:
+        least = np.minimum(least[: len(least) - width], least[width:])
+        width *= 2
+    if width < inner:
+        least = np.minimum(least[: len(least) - (inner - width)], least[inner - width :])
+    return (least[chunk.at[hit]] % np.uint64(parts)).astype(np.int32)
+
+
+def _cut(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the runs of equal keys."""
+    begins = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1)) if len(keys) else np.zeros(0, np.int64)
+    return begins, np.append(begins[1:], len(keys)) if len(keys) else begins
+
+
+def _losers(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Which occurrences are not the first one (document, then start) of their window."""
+    order = np.lexsort((start, doc, h2, h1))
+    a, b = order[1:], order[:-1]
+    same = np.concatenate([[False], (h1[a] == h1[b]) & (h2[a] == h2[b])])
+    lead = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+    lost = np.zeros(len(order), bool)
+    lost[order] = (doc[order] != doc[lead]) | (start[order] != start[lead])
+    return lost
+
+
+CANDIDATES = "part int, docs array<bigint>, versions array<bigint>, counts array<int>, steps binary, h1 binary, h2 binary, gone array<binary>"
+REMOVALS = "doc bigint, version bigint, gone binary"
+
+
+def _removals(texts: DataFrame, sketch: bytes, window: int, sketch_log2: int) -> DataFrame:
+    """(doc, version, gone): starts of windows that also start earlier, as packed gaps; a document may
+    have several rows."""
+    spark = texts.sparkSession
+    parts = PARTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared = spark.sparkContext.broadcast(sketch)  # 2 ** sketch_log2 bits
+
+    def maybe(h1: np.ndarray) -> np.ndarray:
+        table, hit = np.frombuffer(shared.value, np.uint8), np.ones(len(h1), bool)
+        for at in _counters(h1, sketch_log2):
+            hit &= (table[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8) & 1).astype(bool)
+        return hit
 
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, chunk in _chunks(batches, window):
             hit = np.flatnonzero(maybe(chunk.h1))
             if not len(hit):
                 continue
-            doc = np.array([k[0] for k in keys], np.int64)
-            version = np.array([k[1] for k in keys], np.int64)
+            doc, version = (np.array(column, np.int64) for column in zip(*keys, strict=True))
             row, start, h1, h2 = chunk.row[hit], chunk.start[hit], chunk.h1[hit], chunk.h2[hit]
-            order = np.lexsort((start, doc[row], h2, h1))
-            a, b = order[1:], order[:-1]
-            same = np.concatenate([[False], (h1[a] == h1[b]) & (h2[a] == h2[b])])
-            group = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-            lead = order[group]  # the first occurrence within the chunk
-            equal = (doc[row[order]] == doc[row[lead]]) & (start[order] == start[lead])
-            keep, gone = np.sort(order[~same | equal]), np.sort(order[~equal])
-            cuts = np.flatnonzero(np.diff(row[gone], prepend=-1))
-            lists = [packed_gaps(start[gone[x:y]]) for x, y in zip(cuts, [*cuts[1:], len(gone)], strict=True)]
-            heads = row[gone[cuts]] if len(gone) else np.zeros(0, np.int64)
-            k, g = len(keep), len(lists)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    # rows that are decided already are dealt out by their document
-                    pa.array(np.concatenate([h1[keep].view(np.int64), version[heads]])),
-                    pa.array(np.concatenate([h2[keep].view(np.int32), np.zeros(g, np.int32)])),
-                    pa.array(np.concatenate([doc[row[keep]], doc[heads]])),
-                    pa.array(np.concatenate([version[row[keep]], version[heads]])),
-                    pa.array(np.concatenate([start[keep], np.full(g, -1, np.int32)])),
-                    pa.array([None] * k + lists, pa.binary()),
-                ],
-                ["h1", "h2", "doc", "version", "start", "gone"],
+            lost = _losers(h1, h2, doc[row], start)
+            part = _parts(chunk, hit, window, parts)
+            rows = []
+            for a, b in zip(*_cut(row[lost]), strict=True):
+                # decided already: dealt out by the document
+                n = row[lost][a]
+                rows.append(
+                    {
+                        "part": int(version[n]) % parts,
+                        "docs": [doc[n]],
+                        "versions": [version[n]],
+                        "gone": [packed_gaps(start[lost][a:b])],
+                    }
+                )
+            kept = np.flatnonzero(~lost)
+            kept = kept[np.argsort(part[kept], kind="stable")]
+            for a, b in zip(*_cut(part[kept]), strict=True):
+                some = kept[a:b]
+                begins, ends = _cut(row[some])
+                rows.append(
+                    {
+                        "part": int(part[some[0]]),
+                        "docs": doc[row[some[begins]]].tolist(),
+                        "versions": version[row[some[begins]]].tolist(),
+                        "counts": (ends - begins).tolist(),
+                        "steps": np.diff(start[some], prepend=0).astype("<i4").tobytes(),
+                        "h1": h1[some].astype("<u8").tobytes(),
+                        "h2": h2[some].astype("<u4").tobytes(),
+                    }
+                )
+            yield pa.RecordBatch.from_pylist(rows, schema=_CANDIDATE_SCHEMA)
+
+    def decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settle(rows: list[dict]) -> pa.RecordBatch:
+            out = [(r["docs"][0], r["versions"][0], r["gone"][0]) for r in rows if r["gone"] is not None]
+            rows = [r for r in rows if r["gone"] is None]
+            if rows:
+                counts = np.concatenate([r["counts"] for r in rows])
+                doc = np.repeat(np.concatenate([r["docs"] for r in rows]), counts)
+                version = np.repeat(np.concatenate([r["versions"] for r in rows]), counts)
+                start = np.concatenate([np.cumsum(np.frombuffer(r["steps"], "<i4"), dtype=np.int32) for r in rows])
+                h1 = np.concatenate([np.frombuffer(r["h1"], "<u8") for r in rows])
+                h2 = np.concatenate([np.frombuffer(r["h2"], "<u4") for r in rows])
+                lost = np.flatnonzero(_losers(h1, h2, doc, start))
+                lost = lost[np.lexsort((start[lost], version[lost], doc[lost]))]
+                group = np.cumsum((np.diff(doc[lost], prepend=0) != 0) | (np.diff(version[lost], prepend=0) != 0))
+                for a, b in zip(*_cut(group), strict=True):
+                    first = lost[a]
+                    out.append((doc[first], version[first], packed_gaps(np.unique(start[lost[a:b]]))))
+            columns = zip(*out, strict=True) if out else ([], [], [])
+            kinds = (pa.int64(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "version", "gone"]
             )
 
-    schema = "h1 bigint, h2 int, doc bigint, version bigint, start int, gone binary"
-    found = texts.select("doc", "version", "text").mapInArrow(candidates, schema)
-    same = Window.partitionBy("h1", "h2", F.col("gone").isNull())
-    place = F.struct("doc", "start")
-    decided = found.withColumn("first", F.min(place).over(same)).filter(
-        F.col("gone").isNotNull() | (place != F.col("first"))
-    )
-    return decided.select("doc", "version", "start", "gone")
+        rows: list[dict] = []
+        for batch in batches:
+            for n in range(batch.num_rows):
+                row = {name: batch.column(k)[n].as_py() for k, name in enumerate(batch.schema.names)}
+                if rows and rows[-1]["part"] != row["part"]:
+                    yield settle(rows)
+                    rows = []
+                rows.append(row)
+        if rows:
+            yield settle(rows)
+
+    found = texts.select("doc", "version", "text").mapInArrow(candidates, CANDIDATES)
+    return found.repartition("part").sortWithinPartitions("part").mapInArrow(decided, REMOVALS)
+
+
+_CANDIDATE_SCHEMA = pa.schema(
+    [
+        ("part", pa.int32()),
+        ("docs", pa.list_(pa.int64())),
+        ("versions", pa.list_(pa.int64())),
+        ("counts", pa.list_(pa.int32())),
+        ("steps", pa.binary()),
+        ("h1", pa.binary()),
+        ("h2", pa.binary()),
+        ("gone", pa.list_(pa.binary())),
+    ]
+)
+
+
+def merged_sketch(texts: DataFrame, window: int, sketch_log2: int) -> bytes:
+    """The merged sketch, one bit per counter: `2 ** sketch_log2 / 8` bytes whatever the input."""
+    block_log2 = min(BLOCK_LOG2, sketch_log2)
+    table = bytearray(2**sketch_log2 // 8)
+    for block, bits in stored(repeated_counters(texts, window, sketch_log2), "sketch").toLocalIterator():
+        at = block << block_log2 >> 3
+        table[at : at + len(bits)] = bits
+    return bytes(table)
 
 
 def removed_windows(docs: DataFrame, window: int = WINDOW, sketch_log2: int = SKETCH_LOG2) -> DataFrame:
-    """(doc, version, starts, lists) of the documents that lose words."""
+    """(doc, version, lists): packed starts of the documents that lose words."""
     ship_package(docs.sparkSession)
     texts = docs.select(order_id().alias("doc"), F.xxhash64(text_of()).alias("version"), text_of().alias("text"))
-    sketch = stored(repeated_counters(texts, window, sketch_log2), "sketch").collect()
-    return (
-        _removals(texts, sketch, window, sketch_log2)
-        .groupBy("doc", "version")
-        .agg(
-            F.collect_list(F.when(F.col("gone").isNull(), F.col("start"))).alias("starts"),
-            F.collect_list("gone").alias("lists"),
-        )
-    )
+    sketch = merged_sketch(texts, window, sketch_log2)
+    removals = _removals(texts, sketch, window, sketch_log2)
+    return removals.groupBy("doc", "version").agg(F.collect_list("gone").alias("lists"))
 
 
 def without_windows(text: str, starts: np.ndarray, window: int) -> tuple[int, int, str]:
@@ -281,16 +371,16 @@ def remove_repeated_substrings(
     ship_package(docs.sparkSession)
 
     @F.pandas_udf("n_words bigint, n_removed bigint, kept_text string")
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, starts, lists in batches:
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, lists in batches:
             rows = []
-            for text, some, more in zip(texts, starts, lists, strict=True):
-                parts = [] if some is None else [np.asarray(some, np.int64), *map(unpacked_gaps, more)]
-                rows.append(without_windows(text, np.concatenate(parts) if parts else np.zeros(0, np.int64), window))
+            for text, packed in zip(texts, lists, strict=True):
+                starts = [unpacked_gaps(p) for p in packed] if packed is not None else []
+                rows.append(without_windows(text, np.concatenate(starts) if starts else np.zeros(0, np.int64), window))
             yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_text"])
 
     named = docs.select(
         "doc_id", order_id().alias("doc"), F.xxhash64(text_of()).alias("version"), text_of().alias("text")
     )
     joined = named.join(removed_windows(docs, window, sketch_log2), ["doc", "version"], "left")
-    return joined.select("doc_id", cut("text", "starts", "lists").alias("c")).select("doc_id", "c.*")
+    return joined.select("doc_id", cut("text", "lists").alias("c")).select("doc_id", "c.*")
