@@ -256,7 +256,7 @@ def _removals(texts: DataFrame, sketch: bytes, window: int, sketch_log2: int) ->
                 n = row[lost][a]
                 rows.append(
                     {
-                        "part": int(version[n]) % parts,
+                        "part": int(doc[n]) % parts,
                         "docs": [doc[n]],
                         "versions": [version[n]],
                         "gone": [packed_gaps(start[lost][a:b])],
