@@ -83,7 +83,13 @@ def write_arc(pages: DataFrame, path: str) -> None:
 
     table = pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(blocks, "value string")
     # the version block is one row more, so each file opens with one
-    table.write.option("maxRecordsPerFile", RECORDS + 1).option("compression", "gzip").option("lineSep", "\n").text(path)
+    (
+        table.write.option("maxRecordsPerFile", RECORDS + 1)
+        .option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED")  # these files are read twice and then superseded
+        .option("lineSep", "\n")
+        .text(path)
+    )
 
 
 def arc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
