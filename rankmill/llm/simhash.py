@@ -35,6 +35,9 @@ from rankmill.llm.components import component_roots
 SEED = 42
 DISTANCE = 2
 SEGMENTS = 4
+SIMILAR = 0.8
+SLOTS, SAMPLE = 8, 3
+SMALL = 32  # members of an index entry that are paired with one another
 #: hashes that are unpacked to bits at once, which bounds the memory of a very long text
 CHUNK = 65536
 
@@ -135,15 +138,171 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return _grouped(printed).select("doc_id", "fp", F.nullif("component_id", F.lit(LAST_ID)).alias("component_id"))
 
 
-def keep_first_copies(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id.
+# -- groups by similarity -----------------------------------------------------------------
 
-    Documents without words are linked like any other, so one of them stays. Rows that repeat a
+
+def shingle_hashes(text: str, shingle: int) -> np.ndarray:
+    """Distinct XXH64 of a text's shingles, rising; empty without words."""
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    digest, join = xxhash.xxh64_intdigest, b" ".join
+    last = max(len(words) - shingle, 0) + 1 if words else 0
+    return np.unique(np.array([digest(join(words[i : i + shingle]), SEED) for i in range(last)], dtype=np.uint64))
+
+
+def _majority(hashes: np.ndarray) -> int:
+    ones = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0)
+    return int(np.packbits((2 * ones > len(hashes)).astype(np.uint8), bitorder="little").view("<i8")[0])
+
+
+def sample_fingerprints(hashes: np.ndarray) -> list[int]:
+    """SimHash of `SAMPLE` shingles for each slot: those that come first in the slot's order of hashes."""
+    if not len(hashes):
+        return [0] * SLOTS
+    prints = []
+    for slot in range(SLOTS):
+        turned = (hashes ^ np.uint64(slot * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xD6E8FEB86659FD93)
+        turned ^= turned >> np.uint64(32)
+        some = np.argpartition(turned, SAMPLE)[:SAMPLE] if len(turned) > SAMPLE else slice(None)
+        prints.append(_majority(hashes[some]))
+    return prints
+
+
+def _sampled(shingle: int):
+    @F.pandas_udf("fp bigint, samples array<bigint>")
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            prints = np.array([fingerprint_of(t, shingle) for t in batch], dtype=np.uint64).view(np.int64)
+            samples = [sample_fingerprints(shingle_hashes(t, shingle)) for t in batch]
+            yield pd.DataFrame({"fp": prints, "samples": samples})
+
+    return compute
+
+
+def _shingle_set(shingle: int):
+    @F.pandas_udf("binary")
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            sets = [np.unique((shingle_hashes(t, shingle) >> np.uint64(32)).astype(np.uint32)) for t in batch]
+            yield pd.Series([x.astype("<u4").tobytes() for x in sets])
+
+    return compute
+
+
+def _shared_share():
+    @F.pandas_udf("double")
+    def compute(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for left, right in batches:
+            values = []
+            for a, b in zip(left, right, strict=True):
+                x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                values.append(both / max(len(x) + len(y) - both, 1))
+            yield pd.Series(values, dtype="float64")
+
+    return compute
+
+
+def _sized(entries: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Entries of the keys that have two members or more, with the count and both end members."""
+    counts = entries.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.min("version").alias("low"), F.max("version").alias("high")
+    )
+    return entries.join(stored(counts.filter(F.col("n") > 1), f"{label}-sizes"), keys)
+
+
+def _all_pairs(sized: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs of members of the keys that have at most `SMALL` of them."""
+    members = F.sort_array(F.collect_list("version"))
+    lists = sized.filter(F.col("n") <= SMALL).groupBy(*keys).agg(members.alias("m"))
+    heads = lists.select("m", F.posexplode("m").alias("k", "version"))
+    return heads.select("version", F.explode(F.slice("m", F.col("k") + 2, SMALL)).alias("end"))
+
+
+def _candidates(texts: DataFrame) -> DataFrame:
+    """(a, b) text hashes that an index brings together, each pair once.
+
+    All members of a small entry are paired. Those of a larger one are entered again under their word
+    and that of every other slot; where this still leaves a large entry, its members are very much
+    alike and each is paired with the smallest and with the largest one. So pairs grow in proportion
+    to the texts.
+    """
+    keys = ["slot", "word"]
+    slots = F.posexplode("samples").alias("slot", "word")
+    first = stored(_sized(texts.select("version", "samples", slots), keys, "samples"), "sample-entries")
+    more = ["slot", "word", "slot2", "word2"]
+    second = (
+        first.filter(F.col("n") > SMALL)
+        .select("version", *keys, F.posexplode("samples").alias("slot2", "word2"))
+        .filter(F.col("slot2") != F.col("slot"))
+    )
+    second = stored(_sized(second, more, "pairs-of-samples"), "large-entries")
+    hubs = second.filter(F.col("n") > SMALL).select("version", F.explode(F.array("low", "high")).alias("end"))
+    met = _all_pairs(first, keys).unionByName(_all_pairs(second, more)).unionByName(hubs)
+
+    groups = stored(texts.groupBy("fp").agg(F.min("version").alias("low")), "print-groups")
+    low = groups.select("fp", F.col("low").alias("end"))
+    linked = (
+        fingerprint_links(groups.select("fp"))
+        .join(low.withColumnRenamed("fp", "a").withColumnRenamed("end", "version"), "a")
+        .join(low.withColumnRenamed("fp", "b"), "b")
+        .select("version", "end")
+    )
+    same = texts.join(groups, "fp").select("version", F.col("low").alias("end"))
+    pairs = met.unionByName(linked).unionByName(same).filter(F.col("version") != F.col("end"))
+    return pairs.select(F.least("version", "end").alias("a"), F.greatest("version", "end").alias("b")).distinct()
+
+
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = SIMILAR) -> DataFrame:
+    """(id, version, first) of every document: the smallest id of its group of similar texts.
+
+    At a similarity of 0.8 fingerprints differ in some ten bits, and Hamming balls of that size
+    cannot be enumerated. So each text has, besides its whole fingerprint, `SLOTS` fingerprints of
+    small samples of shingles; a sample falls alike in similar texts with probability
+    similarity ** SAMPLE, which leaves one pair in four hundred at 0.8 unmet. Pairs that meet are
+    verified by the share of common shingles.
+    """
+    ship_package(docs.sparkSession)
+    keys = [order_id().alias("id"), F.xxhash64(text_of()).alias("version")]
+    printed = docs.select(*keys, _sampled(shingle)(text_of()).alias("p")).select("id", "version", "p.*")
+    printed = stored(printed, "samples")
+    texts = stored(
+        printed.groupBy("version").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("samples").alias("samples")),
+        "texts",
+    )
+    pairs = stored(_candidates(texts), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("version")).distinct().join(texts.select("version", "id"), "version")
+    sets = stored(
+        docs.select(*keys, text_of().alias("text"))
+        .join(ends, ["id", "version"], "left_semi")
+        .select("version", _shingle_set(shingle)("text").alias("shingles"))
+        .dropDuplicates(["version"]),
+        "shingle-sets",
+    )
+    verified = (
+        pairs.join(sets.select(F.col("version").alias("a"), F.col("shingles").alias("x")), "a")
+        .join(sets.select(F.col("version").alias("b"), F.col("shingles").alias("y")), "b")
+        .select("a", "b", _shared_share()("x", "y").alias("similarity"))
+        .filter(F.col("similarity") >= similarity)
+    )
+    roots = component_roots(stored(verified.select("a", "b"), "similar-pairs"))
+    member = stored(
+        texts.join(roots, texts["version"] == roots["node"], "left").select(
+            "version", "id", F.coalesce("root", "version").alias("root")
+        ),
+        "similar-members",
+    )
+    least = stored(member.groupBy("root").agg(F.min("id").alias("first")), "similar-firsts")
+    named = stored(member.join(least, "root").select("version", "first"), "similar-names")
+    return printed.select("id", "version").join(named, "version")
+
+
+def keep_first_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILAR) -> DataFrame:
+    """One document of each group of similar texts: the one with the smallest id.
+
+    Documents without words are copies of one another, so one of them stays. Rows that repeat a
     document id with the same text are one document; those without an id stay unless a numbered
     document is in their group.
     """
-    ship_package(docs.sparkSession)
+    first = similar_groups(docs, shingle, similarity).filter(F.col("id") == F.col("first")).select("id", "version").distinct()
     keys = [order_id().alias("id"), F.xxhash64(text_of()).alias("version")]
-    printed = stored(docs.select(*keys, fingerprint(text_of(), shingle).alias("fp")), "fingerprints")
-    first = _grouped(printed).filter(F.col("id") == F.col("component_id")).select("id", "version").distinct()
     return unpacked(packed(docs, *keys).join(first, ["id", "version"], "left_semi"))
