@@ -68,9 +68,16 @@ class Item:
         self.answer = bare_words(answer) if question else []
         self.question_shingles, self.answer_shingles = shingles(self.question), shingles(self.answer)
 
-    def overlaps(self, held: set[tuple[str, ...]]) -> tuple[float, float | None, bool]:
-        """Shares of question and answer among the shingles that a document holds; leaked or not."""
-        q, a = len(self.question_shingles & held), len(self.answer_shingles & held)
+    def overlaps(self, held: set[tuple[str, ...]], plain: str) -> tuple[float, float | None, bool]:
+        """Shares of question and answer that a document holds; leaked or not.
+
+        `held` are its shingles and `plain` its words between spaces, for parts shorter than a shingle.
+        """
+
+        def count(words: list[str], own: set[tuple[str, ...]]) -> int:
+            return len(own & held) if len(words) >= SHINGLE else int(bool(words) and f" {' '.join(words)} " in plain)
+
+        q, a = count(self.question, self.question_shingles), count(self.answer, self.answer_shingles)
         n, m = len(self.question_shingles), len(self.answer_shingles)
         whole = q + a >= SIMILAR * (n + m)
         asked = len(self.question) >= ENOUGH_WORDS and q >= SIMILAR * n
@@ -201,18 +208,18 @@ def _leaks_of(index: Index, texts: list[str], memo: _Terms) -> Iterator[tuple[in
     for passage, item, score in index.retrieve(np.concatenate(places), np.concatenate(numbers)):
         n = owners[int(np.searchsorted(starts, passage, "right")) - 1][1]
         best[n, item] = max(best.get((n, item), 0.0), score)
-    held: dict[int, set] = {}
+    current, held, plain = -1, set(), ""
     for (n, item), score in sorted(best.items()):
-        if n not in held:
-            held.clear()
-            held[n] = shingles(bare_words(texts[n]))
-        yield n, item, score * SCORE, *index.items[item].overlaps(held[n])
+        if n != current:
+            words = bare_words(texts[n])
+            current, held, plain = n, shingles(words), f" {' '.join(words)} "
+        yield n, item, score * SCORE, *index.items[item].overlaps(held, plain)
 
 
 def _slices(items: DataFrame) -> Iterator[DataFrame]:
     """The benchmark in parts whose text is within the bound."""
     total = items.agg(F.sum(F.octet_length(text_of()))).head()[0] or 0
-    parts = -(-total // (INDEX_MB * 2**20)) or 1
+    parts = math.ceil(total / (INDEX_MB * 2**20)) or 1
     for k in range(parts):
         yield items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k) if parts > 1 else items
 

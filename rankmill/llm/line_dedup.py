@@ -79,7 +79,7 @@ class LineRuns:
         if not self.levels:
             self.levels.append([])
         self.levels[0].append(run)
-        return self.spark.read.parquet(run[1])
+        return self.spark.read.schema(keys.schema).parquet(run[1])
 
     def compact(self) -> None:
         """Merges full levels upwards. Keys of different runs never repeat."""

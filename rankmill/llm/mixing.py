@@ -154,8 +154,11 @@ def _taken(drawn: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The last stage: every document with at least one taken word, and how many are taken."""
+    """The last stage: every document with at least one taken word, and how many are taken.
+
+    An added column whose name `docs` has already is called `mix_...`.
+    """
     mixed = mix_sources(docs).filter(F.col("taken") > 0)
     fields = mixed.schema[ROW].dataType.fieldNames()
-    added = [c for c in ("size", "source_size", "target", "taken") if c not in fields]
+    added = [F.col(c).alias(f"mix_{c}" if c in fields else c) for c in ("size", "source_size", "target", "taken")]
     return mixed.select(*[F.col(f"{ROW}.`{f}`").alias(f) for f in fields], *added)
