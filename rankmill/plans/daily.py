@@ -107,7 +107,8 @@ def refresh_events(spark: SparkSession, lake: Lake, since: dt.date | str | None
     partitions already hold are dropped: an older partition holds the earlier
     publication, so this equals the full rebuild. Of the history only the id column is
     read. All partitions from `since` on are replaced, and dates whose messages are gone
-    from the raw table (retention) leave the cleaned table as well.
+    from the raw table (retention) leave the cleaned table as well. If no landed message
+    is found at all while the cleaned table has dates, the refresh is refused.
 
     `since` has to reach back to the earliest publication date that received messages
     after the last refresh; the day before the previous run is a safe habit.
@@ -115,8 +116,11 @@ def refresh_events(spark: SparkSession, lake: Lake, since: dt.date | str | None
     use_utc(spark)
     path = lake.table(CLEAN_EVENTS, STAGING)
     landed = set(lake.dates(spark, lake.table(EVENTS, "raw")))
-    drop_partitions(spark, path, [d for d in lake.dates(spark, path) if d not in landed])
-    known = lake.dates(spark, path)
+    held_dates = lake.dates(spark, path)
+    if held_dates and not landed:
+        raise EmptySnapshotError(f"no landed events below {lake.table(EVENTS, 'raw')}; the cleaned table stays as it is")
+    expired = [d for d in held_dates if d not in landed]
+    known = [d for d in held_dates if d in landed]
     since = as_date(since) if since is not None and known else None
     raw = read_events(spark, lake, since)
     clean = stg_events(raw).withColumn("dt", F.to_date("publish_time"))
@@ -125,7 +129,10 @@ def refresh_events(spark: SparkSession, lake: Lake, since: dt.date | str | None
         if history:
             folders = [f"{path}/dt={d.isoformat()}" for d in history]
             held = spark.read.schema("event_id string").parquet(*folders)
-            clean = clean.join(held, "event_id", "left_anti")
+            # First the few old ids that are new messages' ids, then the anti join: the small
+            # side of the semi join prunes the history, which a direct anti join would shuffle.
+            repeated = held.join(clean.select("event_id"), "event_id", "left_semi")
+            clean = clean.join(repeated, "event_id", "left_anti")
     rebuilt = [d for d in known if since is None or d >= since]
     before = partition_files(spark, path, rebuilt)
     (
@@ -138,7 +145,8 @@ def refresh_events(spark: SparkSession, lake: Lake, since: dt.date | str | None
     # The overwrite leaves a date alone that has no rows any more, which happens when late
     # copies move all its events to an earlier date. Its files are still the old ones.
     after = partition_files(spark, path, rebuilt)
-    drop_partitions(spark, path, [d for d in rebuilt if after[d] == before[d]])
+    # Whatever goes, goes after the new rows are safe.
+    drop_partitions(spark, path, expired + [d for d in rebuilt if after[d] == before[d]])
     return spark.read.schema(CLEAN_SCHEMA).parquet(path).drop("dt")
 
 
@@ -150,7 +158,10 @@ def refresh_activity(spark: SparkSession, lake: Lake, since: dt.date | str | Non
     """
     clean, path = lake.table(CLEAN_EVENTS, STAGING), lake.table(ACTIVITY, STAGING)
     days = set(lake.dates(spark, clean))
-    drop_partitions(spark, path, [d for d in lake.dates(spark, path) if d not in days])
+    old = lake.dates(spark, path)
+    if old and not days:
+        raise EmptySnapshotError(f"no cleaned events below {clean}; the daily sums stay as they are")
+    drop_partitions(spark, path, [d for d in old if d not in days])
     events = spark.read.schema(CLEAN_SCHEMA).parquet(clean)
     if since is not None and lake.dates(spark, path):
         events = events.where(F.col("dt").isNull() | (F.col("dt") >= F.lit(as_date(since))))

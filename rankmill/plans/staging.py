@@ -74,6 +74,9 @@ def stg_products(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
     )
 
 
+FULL_DATE = "^[ ]*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([^0-9]|$)"
+
+
 def parsed_events(raw: DataFrame) -> DataFrame:
     """Typed payload of every message that carries an event id, copies included.
 
@@ -90,7 +93,8 @@ def parsed_events(raw: DataFrame) -> DataFrame:
         .selectExpr(
             f"{field['event_id']} as event_id",
             f"{field['event_type']} as event_type",
-            f"try_to_timestamp({field['event_ts']}) as event_ts",
+            # time or year alone would be completed with today's date or January
+            f"if({field['event_ts']} rlike '{FULL_DATE}', try_to_timestamp({field['event_ts']}), null) as event_ts",
             f"{field['user_id']} as user_id",
             f"{field['skin_type']} as skin_type",
             f"{field['product_id']} as product_id",

@@ -115,6 +115,11 @@ def write_snapshot(lake: Lake, rows: DataFrame, source: str, day: dt.date | str)
     return _replace_partition(rows, lake.landing(source), day, "json", source)
 
 
+def write_snapshot_lines(lake: Lake, lines: DataFrame, source: str, day: dt.date | str) -> int:
+    """Land one snapshot from JSON lines (one text column) as they are, with all their fields."""
+    return _replace_partition(lines, lake.landing(source), day, "text", source)
+
+
 def read_snapshot(
     spark: SparkSession, lake: Lake, source: str, day: dt.date | str | None = None, infer: bool = False
 ) -> DataFrame:
@@ -132,8 +137,19 @@ def read_snapshot(
 
 
 def load_snapshot(spark: SparkSession, lake: Lake, source: str, day: dt.date | str) -> int:
-    """Load a landed snapshot into the raw table, replacing only that date."""
-    landed = read_snapshot(spark, lake, source, day).drop("dt")
+    """Load a landed snapshot into the raw table, replacing only that date.
+
+    Fields beyond the known columns are kept as JSON text in `rest`. A line that is no
+    JSON object, or whose value does not fit its column, fails the load as a whole.
+    """
+    schema = SNAPSHOTS[source].schema
+    lines = spark.read.text(lake.snapshot(source, day)).where("trim(value) <> ''")
+    known = schema.fieldNames()
+    other = F.map_filter(F.from_json("value", "map<string,string>"), lambda k, _: ~k.isin(known))
+    landed = lines.select(
+        F.from_json("value", schema, {"mode": "FAILFAST"}).alias("row"),
+        F.when(F.size(other) > 0, F.to_json(other)).alias("rest"),
+    ).select("row.*", "rest")
     return _replace_partition(landed, lake.table(source, "raw"), day, "parquet", source)
 
 

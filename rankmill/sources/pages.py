@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankmill.functions.scalars import parse_json_text
-from rankmill.sources.lake import Lake, write_snapshot
+from rankmill.operators.dedup import first_per_key
+from rankmill.session import fresh_dir
+from rankmill.sources.lake import Lake, write_snapshot_lines
 
 # Result codes that mean success.
 OK_CODES = ("00", "0")
@@ -32,9 +34,12 @@ def parse_pages(pages: DataFrame) -> DataFrame:
         "response string, header string, body string, items string, totalCount string, bad string",
         {"columnNameOfCorruptRecord": "bad"},
     )
-    opened = pages.select("source", "page_no", "payload", top.alias("top"))
-    legacy = F.col("top.response").isNotNull()
-    headed = F.col("top.header").isNotNull()
+    keys = F.coalesce(F.json_object_keys("payload"), F.array().cast("array<string>"))
+    opened = _one_copy(pages).select("source", "page_no", "payload", top.alias("top"), keys.alias("keys"))
+    # an envelope is told by its key; one that is there and null holds nothing readable
+    legacy = F.array_contains("keys", "response")
+    headed = F.array_contains("keys", "header")
+    hollow = (legacy & F.col("top.response").isNull()) | (~legacy & headed & F.col("top.header").isNull())
     inner = parse_json_text(F.col("top.response"), ("header", "body"))
     opened = opened.withColumn("inner", inner).select(
         "source",
@@ -42,7 +47,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
         F.when(legacy, F.col("inner.header")).when(headed, F.col("top.header")).alias("header"),
         F.when(legacy, F.col("inner.body")).when(headed, F.col("top.body")).alias("body"),
         (~legacy & ~headed).alias("bare"),
-        (F.col("top.bad").isNotNull() | F.col("payload").isNull() | F.col("top").isNull()).alias("bad"),
+        (F.col("top.bad").isNotNull() | F.col("payload").isNull() | F.col("top").isNull() | hollow).alias("bad"),
         F.col("top.items").alias("bare_items"),
         F.col("top.totalCount").alias("bare_total"),
     )
@@ -71,6 +76,16 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def _one_copy(pages: DataFrame) -> DataFrame:
+    """A page that landed more than once counts once: of its payloads the first in text order.
+
+    Pages without a number are told apart by their payload.
+    """
+    page = F.coalesce(F.col("page_no").cast("string"), F.concat(F.lit("?"), F.col("payload")))
+    numbered = pages.select("source", "page_no", "payload", page.alias("page"))
+    return first_per_key(numbered, ["source", "page"], [F.col("payload").asc_nulls_last()]).drop("page")
+
+
 def _row_texts(items: Column) -> Column:
     """Array of row texts: `[..]`, `{"item": [..]}`, `{"item": {..}}`, otherwise empty."""
     def starts(text: Column, mark: str) -> Column:
@@ -109,25 +124,38 @@ def page_errors(pages: DataFrame) -> DataFrame:
 
 
 def page_completeness(pages: DataFrame) -> DataFrame:
-    """Per source: rows collected against the announced total."""
+    """Per source: rows collected against the announced total; a refused page is a missing one."""
+    good = F.col("code").isin(*OK_CODES)
     return (
         parse_pages(pages)
-        .where(F.col("code").isin(*OK_CODES))
         .groupBy("source")
         .agg(
-            F.count(F.lit(1)).alias("pages"),
-            F.sum(F.size("rows")).cast("bigint").alias("collected"),
-            F.max("total").alias("announced"),
+            F.count_if(good).alias("pages"),
+            F.coalesce(F.sum(F.when(good, F.size("rows"))), F.lit(0)).cast("bigint").alias("collected"),
+            F.coalesce(F.max(F.when(good, F.col("total"))), F.lit(0)).alias("announced"),
+            F.bool_and(good).alias("readable"),
         )
-        .withColumn("complete", F.col("collected") >= F.col("announced"))
+        .withColumn("complete", F.col("readable") & (F.col("collected") >= F.col("announced")))
+        .drop("readable")
     )
 
 
-def land_pages(lake: Lake, pages: DataFrame, source: str, schema: T.StructType, day: dt.date | str) -> int:
-    """Turn the pages of one source into its dated snapshot; refuse on any refused page."""
-    own = pages.where(F.col("source") == source)
-    refused = page_errors(own).head(1)
+def land_pages(lake: Lake, pages: DataFrame, source: str, day: dt.date | str, partial: bool = False) -> int:
+    """Turn the pages of one source into its dated snapshot: every row as it is, with all its fields.
+
+    Refused pages stop it, and so do fewer rows than announced unless `partial` allows them.
+    The pages are parsed once, into the shared folder.
+    """
+    spark = pages.sparkSession
+    path = fresh_dir(spark, "parsed-pages")
+    parsed = parse_pages(pages.where(F.col("source") == source))
+    parsed.write.parquet(path)
+    parsed = spark.read.schema(parsed.schema).parquet(path)
+    refused = parsed.where(~F.col("code").isin(*OK_CODES)).orderBy("page_no").head(1)
     if refused:
         page = refused[0]
         raise PageError(f"[{source}] page {page.page_no}: code {page.code} {page.message or ''}".strip())
-    return write_snapshot(lake, typed_rows(unwrap_pages(own), schema), source, day)
+    got = parsed.agg(F.coalesce(F.sum(F.size("rows")), F.lit(0)).alias("rows"), F.max("total").alias("total")).head()
+    if got["rows"] < (got["total"] or 0) and not partial:
+        raise PageError(f"[{source}] {got['rows']} of {got['total']} announced rows")
+    return write_snapshot_lines(lake, parsed.select(F.explode("rows").alias("value")), source, day)

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from test_staging import message, payload
@@ -140,3 +141,24 @@ def test_refresh_drops_partitions_whose_messages_expired(spark, lake):
 
 def test_payload_text_is_json():
     assert json.loads(message(payload())[3])["event_id"] == "e1"
+
+
+def test_a_missing_raw_table_leaves_everything_as_it_was(spark, lake):
+    land_day(spark, lake, DAY)
+    land_events(spark, lake, [message(payload("a")), message(payload("b", product_id="p2"))])
+    first = daily.run_daily(spark, lake, DAY, catalog=True)
+    before = {n: values(m) for n, m in first.models.items()}
+    raw = lake.table("events", "raw")
+    os.rename(raw, raw + "_away")
+    for refresh in (daily.refresh_events, daily.run_daily):
+        with pytest.raises(lakes.EmptySnapshotError):
+            refresh(spark, lake, *([DAY] if refresh is daily.run_daily else []))
+    assert {n: values(m) for n, m in first.models.items()} == before
+
+
+@pytest.mark.parametrize("text,kept", [
+    ("12:30:45", False), ("2026", False), ("2026-07", False), ("T12:30", False), ("soon", False),
+    ("2026-07-07", True), ("2026-07-07 12:30:45", True), ("2026-07-07T12:30:45Z", True)])
+def test_event_times_need_a_full_date(spark, text, kept):
+    row = stg_events(spark.createDataFrame([message(payload("a", event_ts=text))], EVENT_MESSAGE)).first()
+    assert (row.event_ts is not None) == kept
