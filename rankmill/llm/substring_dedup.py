@@ -39,8 +39,8 @@ BLOCK_LOG2 = 19
 GRAM = 4  # words of the pieces whose smallest hash deals out the windows
 PARTS_PER_PARTITION = 4
 CHUNK_WORDS = 500_000
-FLUSH_WINDOWS = 3_000_000
-MEMO = 300_000
+FLUSH_WINDOWS = 2_000_000
+MEMO = 200_000
 M1, M2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F  # odd multipliers of the two window hashes
 
 
