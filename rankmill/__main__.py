@@ -7,7 +7,7 @@ import argparse
 from rankmill.plans import daily, serving
 from rankmill.session import build_session
 from rankmill.sources import lake as lakes
-from rankmill.sources.schemas import EVENTS, SNAPSHOTS
+from rankmill.sources.schemas import SNAPSHOTS
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -25,7 +25,9 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--source", default="all", choices=["all", *SNAPSHOTS])
     run = job("daily", "load, clean, build the marts, check")
     run.add_argument("--catalog", action="store_true", help="also load the product catalog")
-    run.add_argument("--events-since", help="refresh the cleaned events from this date on only")
+    run.add_argument("--events-since", help="refresh the cleaned events from this date on (default: what changed)")
+    run.add_argument("--rebuild", action="store_true", help="clean all events again")
+    run.add_argument("--as-of", help="use the lists of this date or the newest before it")
     origin = job("origin-report", "regulated ingredients per origin, from the landed files")
     origin.add_argument("--single-file", action="store_true")
     top = job("recommend", "best products of a segment", dated=False)
@@ -46,7 +48,9 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{lakes.partition_address(name, args.date)}: {rows} rows")
         print(f"total: {sum(loaded.values())} rows")
     elif args.job == "daily":
-        run = daily.run_daily(spark, lake, args.date, args.catalog, args.events_since)
+        run = daily.run_daily(
+            spark, lake, args.date, args.catalog, args.events_since, as_of=args.as_of, rebuild=args.rebuild
+        )
         print(f"loaded {run.total_rows} rows, all checks passed")
     elif args.job == "origin-report":
         daily.regulated_origin_report(spark, lake, args.date, preview=20, single_file=args.single_file)
@@ -56,7 +60,7 @@ def main(argv: list[str] | None = None) -> int:
             print(row["rank"], row.product_id, row.product_name, row.score, sep="\t")
     elif args.job == "retention":
         paths = [lake.landing(s) for s in SNAPSHOTS]
-        paths += [lake.table(s, "raw") for s in (*SNAPSHOTS, EVENTS)]
+        paths += [lake.table(s, "raw") for s in SNAPSHOTS] + lakes.event_tables(lake)
         for path in paths:
             expired = lakes.expired_dates(spark, lake, path, args.date, args.days)
             for day in expired:

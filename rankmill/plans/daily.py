@@ -30,19 +30,23 @@ from rankmill.sources.lake import (
     Lake,
     as_date,
     drop_partitions,
+    event_dates,
+    event_tables,
+    landed_files,
     load_snapshot,
     load_sources,
     partition_files,
+    path_exists,
     read_events,
     read_raw_date,
     read_snapshot,
     write_report,
     write_table,
 )
-from rankmill.sources.schemas import EVENTS
 
 STAGING, MARTS = "staging", "marts"
-CLEAN_EVENTS, ACTIVITY = "stg_events", "segment_activity"
+CLEAN_EVENTS, ACTIVITY, REFRESHED = "stg_events", "segment_activity", "event_refresh"
+REFRESHED_SCHEMA = "dt date, files string"
 
 # Columns of the cleaned event table.
 CLEAN_SCHEMA = (
@@ -84,16 +88,16 @@ def regulated_origin_report(
     return write_report(report, lake, "regulated_origin", day, single_file, preview)
 
 
-def staging_views(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+def staging_views(spark: SparkSession, lake: Lake, as_of: dt.date | str | None = None) -> dict[str, DataFrame]:
     """Snapshot models over the newest partition of each raw table, also as temp views.
 
-    The newest date comes from the folder names, so only that partition is opened.
+    With `as_of` it is the newest one up to that date. The date comes from the folder
+    names, so only that partition is opened.
     """
     views = {}
     for source, model in _SNAPSHOT_MODELS.items():
-        raw = read_raw_date(spark, lake, source)
-        day = lake.latest_date(spark, lake.table(source, "raw"))
-        views[f"stg_{source}"] = model(raw, as_of=day)
+        day = lake.latest_date(spark, lake.table(source, "raw"), as_of)
+        views[f"stg_{source}"] = model(read_raw_date(spark, lake, source, day), as_of=day)
     for name, view in views.items():
         view.createOrReplaceTempView(name)
     return views
@@ -111,14 +115,14 @@ def refresh_events(spark: SparkSession, lake: Lake, since: dt.date | str | None
     is found at all while the cleaned table has dates, the refresh is refused.
 
     `since` has to reach back to the earliest publication date that received messages
-    after the last refresh; the day before the previous run is a safe habit.
+    after the last refresh; `changed_since` finds it.
     """
     use_utc(spark)
     path = lake.table(CLEAN_EVENTS, STAGING)
-    landed = set(lake.dates(spark, lake.table(EVENTS, "raw")))
+    landed = set(event_dates(spark, lake))
     held_dates = lake.dates(spark, path)
     if held_dates and not landed:
-        raise EmptySnapshotError(f"no landed events below {lake.table(EVENTS, 'raw')}; the cleaned table stays as it is")
+        raise EmptySnapshotError(f"no landed events below {' or '.join(event_tables(lake))}; the cleaned table stays as it is")
     expired = [d for d in held_dates if d not in landed]
     known = [d for d in held_dates if d in landed]
     since = as_date(since) if since is not None and known else None
@@ -150,6 +154,24 @@ def refresh_events(spark: SparkSession, lake: Lake, since: dt.date | str | None
     return spark.read.schema(CLEAN_SCHEMA).parquet(path).drop("dt")
 
 
+def changed_since(spark: SparkSession, lake: Lake, landed: dict[dt.date, str]) -> dt.date | None:
+    """The first publication date whose files differ from those of the last complete refresh.
+
+    None asks for a rebuild, as there was no refresh yet. If nothing changed, it is the newest date.
+    """
+    path = lake.table(REFRESHED, STAGING)
+    if not landed or not path_exists(spark, path):
+        return None
+    seen = {row.dt: row.files for row in spark.read.schema(REFRESHED_SCHEMA).parquet(path).collect()}
+    return min((day for day, files in landed.items() if seen.get(day) != files), default=max(landed))
+
+
+def remember_refresh(spark: SparkSession, lake: Lake, landed: dict[dt.date, str]) -> None:
+    """Note what the tables derived from the events now cover: one row per publication date."""
+    rows = spark.createDataFrame(sorted(landed.items()), REFRESHED_SCHEMA)
+    rows.coalesce(1).write.mode("overwrite").parquet(lake.table(REFRESHED, STAGING))
+
+
 def refresh_activity(spark: SparkSession, lake: Lake, since: dt.date | str | None = None) -> DataFrame:
     """Daily sums per segment and product, recomputed for the cleaned days from `since` on.
 
@@ -207,21 +229,32 @@ def run_daily(
     events_since: dt.date | str | None = None,
     weights: Weights = Weights(),
     check: bool = True,
+    as_of: dt.date | str | None = None,
+    rebuild: bool = False,
 ) -> DailyRun:
     """Load one day's landed snapshots, rebuild the models, run the checks.
 
-    A stage that fails stops the later ones. The date is explicit, so any day can be run
-    again with the same outcome. The catalog has its own rhythm and is loaded on request.
+    A stage that fails stops the later ones. The date is explicit, so the load of any day can
+    be run again. The models take the newest lists that are loaded, which may be later than
+    `day`; `as_of` takes the newest ones up to that date instead. The catalog has its own
+    rhythm and is loaded on request.
+
+    Events are refreshed from the first publication date that received files since the last
+    run, unless `events_since` names another date; `rebuild` starts over.
     """
     use_utc(spark)
     loaded = load_sources(spark, lake, day)
     if catalog:
         loaded["products"] = load_snapshot(spark, lake, "products", day)
-    staging = staging_views(spark, lake)
+    staging = staging_views(spark, lake, as_of)
     if staging["stg_products"].isEmpty():
         raise EmptySnapshotError("the product catalog is empty")
-    staging[CLEAN_EVENTS] = refresh_events(spark, lake, events_since)
-    activity = refresh_activity(spark, lake, events_since)
+    # listed before it is read: files that land in between are read again by the next run
+    landed = landed_files(read_events(spark, lake))
+    since = None if rebuild else events_since or changed_since(spark, lake, landed)
+    staging[CLEAN_EVENTS] = refresh_events(spark, lake, since)
+    activity = refresh_activity(spark, lake, since)
+    remember_refresh(spark, lake, landed)
     models = {**staging, **build_marts(spark, lake, staging, activity, weights)}
     report = write_table(quality_report(models), lake, "quality_report", MARTS)
     if check:

@@ -18,7 +18,13 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 # Sizes are left to AQE: it coalesces small shuffle partitions, splits skewed join and
 # rebalance partitions, and turns a join into a broadcast only after measuring the side.
+# Aggregations and windows are never split at run time, so their partitions have to be small
+# enough to begin with: see `shuffle_partitions`.
+LEAST_PARTITIONS = 200
+PARTITION_BYTES = 128 * 2**20
+
 DEFAULTS = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     UTC_KEY: "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
@@ -31,8 +37,20 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "rankmill", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the models rely on; keyword names use `__` for dots."""
+def shuffle_partitions(input_bytes: int) -> int:
+    """Partitions of a shuffle that moves the whole input; AQE merges those that stay small."""
+    return max(LEAST_PARTITIONS, -(-input_bytes // PARTITION_BYTES))
+
+
+def build_session(
+    app: str = "rankmill", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings the models rely on; keyword names use `__` for dots.
+
+    `input_bytes`, the size of the largest table, sets the number of shuffle partitions.
+    """
+    if input_bytes is not None:
+        conf = {"spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes)), **conf}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

@@ -8,8 +8,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import re
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from rankmill.sources.schemas import (
     EVENT_MESSAGE,
     EVENTS,
     SNAPSHOTS,
+    STREAMED,
     pick,
     with_partition,
 )
@@ -42,6 +45,11 @@ def partition_address(table: str, day: dt.date | str) -> str:
     return f"{table}${as_date(day):%Y%m%d}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def _folders(spark: SparkSession, path: str) -> list[str]:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -75,10 +83,11 @@ class Lake:
         names = [name for name in _folders(spark, path) if name != NO_DATE]
         return sorted(dt.date.fromisoformat(name.removeprefix("dt=")) for name in names)
 
-    def latest_date(self, spark: SparkSession, path: str) -> dt.date:
-        dates = self.dates(spark, path)
+    def latest_date(self, spark: SparkSession, path: str, as_of: dt.date | str | None = None) -> dt.date:
+        """The newest partition, or the newest one up to `as_of`."""
+        dates = [d for d in self.dates(spark, path) if as_of is None or d <= as_date(as_of)]
         if not dates:
-            raise EmptySnapshotError(f"no partition below {path}")
+            raise EmptySnapshotError(f"no partition below {path}" + (f" up to {as_of}" if as_of else ""))
         return dates[-1]
 
 
@@ -176,24 +185,43 @@ def read_raw_date(spark: SparkSession, lake: Lake, name: str, day: dt.date | str
     return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/dt={day.isoformat()}")
 
 
+def event_tables(lake: Lake) -> list[str]:
+    return [lake.table(EVENTS, "raw"), lake.table(STREAMED, "raw")]
+
+
+def event_dates(spark: SparkSession, lake: Lake) -> list[dt.date]:
+    return sorted({day for path in event_tables(lake) for day in lake.dates(spark, path)})
+
+
 def read_events(spark: SparkSession, lake: Lake, since: dt.date | str | None = None) -> DataFrame:
     """Landed event messages, optionally from the partition `since` on.
 
-    Partition folders are read by name. A half-finished micro-batch may show up as extra
-    copies, which the at-least-once contract allows and the dedup by event id removes.
-    Messages without a publication time are always included.
+    A streamed table is read through its commit log, so files of a batch that has not
+    finished are not seen, and this can run at any time beside the stream. The log may
+    still list dates that retention has deleted; they lie before the first folder and are
+    pruned. Messages without a publication time are always included.
     """
-    path = lake.table(EVENTS, "raw")
-    first = f"dt={as_date(since).isoformat()}" if since is not None else ""
-    wanted = sorted(name for name in _folders(spark, path) if name == NO_DATE or name >= first)
     schema = with_partition(EVENT_MESSAGE)
-    if not wanted:
-        return spark.createDataFrame([], schema)
-    return (
-        spark.read.schema(schema)
-        .option("basePath", path)
-        .parquet(*[f"{path}/{name}" for name in wanted])
-    )
+    found = []
+    for path in event_tables(lake):
+        if not _folders(spark, path):
+            continue
+        wanted = [*lake.dates(spark, path)[:1], *([as_date(since)] if since is not None else [])]
+        part = spark.read.schema(schema).parquet(path)
+        if wanted:
+            part = part.where(F.col("dt").isNull() | (F.col("dt") >= F.lit(max(wanted))))
+        found.append(part)
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
+
+
+def landed_files(events: DataFrame) -> dict[dt.date, str]:
+    """Per publication date a digest of the names of the files that `events` reads."""
+    names: dict[dt.date, list[str]] = {}
+    for path in events.inputFiles():
+        folder = re.search(r"/dt=(\d{4}-\d\d-\d\d)/", path)
+        if folder:
+            names.setdefault(as_date(folder[1]), []).append(path)
+    return {day: hashlib.sha256("\n".join(sorted(n)).encode()).hexdigest() for day, n in names.items()}
 
 
 def write_events(lake: Lake, messages: DataFrame) -> None:
@@ -225,7 +253,7 @@ def write_report(
     The preview comes from the written rows, so the plan does not run a second time.
     """
     path = lake.report(name, day)
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(path)
+    (df.repartition(1) if single_file else df).write.mode("overwrite").parquet(path)
     written = df.sparkSession.read.schema(df.schema).parquet(path)
     if preview:
         written.show(preview, truncate=False)

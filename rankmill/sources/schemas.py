@@ -78,26 +78,26 @@ EVENT_FIELDS = (
 class Source:
     name: str
     schema: T.StructType
-    description: str
 
 
 # Master lists pulled in full every day.
 SOURCES = {
     s.name: s
     for s in (
-        Source("ingredient", INGREDIENT, "ingredient dictionary"),
-        Source("regulation", REGULATION, "prohibited and restricted ingredients by country"),
-        Source("manufacturer", MANUFACTURER, "licensed manufacturers"),
+        Source("ingredient", INGREDIENT),
+        Source("regulation", REGULATION),
+        Source("manufacturer", MANUFACTURER),
     )
 }
 
 # All daily snapshot tables: the master lists plus the product catalog.
 SNAPSHOTS = {
     **SOURCES,
-    "products": Source("products", PRODUCTS, "product catalog"),
+    "products": Source("products", PRODUCTS),
 }
 
-EVENTS = "events"
+# Event messages appended in batches, and those that the landing stream writes.
+EVENTS, STREAMED = "events", "events_stream"
 
 
 def pick(source: str) -> list[Source]:

@@ -8,14 +8,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rankmill.plans.staging import parsed_events
 from rankmill.sources.lake import RETENTION_DAYS, Lake
-from rankmill.sources.schemas import EVENT_MESSAGE, EVENTS
+from rankmill.sources.schemas import EVENT_MESSAGE, STREAMED
 
 
-def message_files(spark: SparkSession, path: str, fmt: str = "json", files_per_batch: int = 1000) -> DataFrame:
-    """A stream over message files that keep arriving in a folder."""
+def message_files(
+    spark: SparkSession, path: str, fmt: str = "json", files_per_batch: int = 1000, max_age: str = "3650d"
+) -> DataFrame:
+    """A stream over message files that keep arriving in a folder.
+
+    Spark passes over files that are older than the newest one by more than `max_age`; its own
+    default of a week would lose files that arrive late.
+    """
     return (
         spark.readStream.schema(EVENT_MESSAGE)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", max_age)
         .format(fmt)
         .load(path)
     )
@@ -61,7 +68,7 @@ def land_events(
         .option("retention", f"{retention_days}d")
     )
     timed = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return timed.start(lake.table(EVENTS, "raw"))
+    return timed.start(lake.table(STREAMED, "raw"))
 
 
 def dedup_stream(messages: DataFrame, horizon: str = "1 hour") -> DataFrame:

@@ -161,3 +161,38 @@ def test_a_missing_raw_table_leaves_everything_as_it_was(spark, lake):
 def test_event_times_need_a_full_date(spark, text, kept):
     row = stg_events(spark.createDataFrame([message(payload("a", event_ts=text))], EVENT_MESSAGE)).first()
     assert (row.event_ts is not None) == kept
+
+
+def test_a_run_refreshes_from_the_first_changed_day(spark, lake):
+    day = 86400
+    land_day(spark, lake, DAY)
+    land_events(spark, lake, [message(payload(f"e{i}"), i * day) for i in range(4)])
+
+    def since():
+        return daily.changed_since(spark, lake, lakes.landed_files(lakes.read_events(spark, lake)))
+
+    assert since() is None
+    daily.run_daily(spark, lake, DAY, catalog=True)
+    assert str(since()) == "2026-07-11"
+    # files that arrive late, for a day long published
+    land_events(spark, lake, [message(payload("late"), day + 7), message(payload("e3"), day + 8)])
+    assert str(since()) == "2026-07-09"
+    run = daily.run_daily(spark, lake, DAY)
+    assert values(run.models["stg_events"]) == values(stg_events(lakes.read_events(spark, lake)))
+    part = values(run.models["stg_events"])
+    assert len(part) == 5
+    assert str(since()) == "2026-07-11"
+    assert values(daily.run_daily(spark, lake, DAY, rebuild=True).models["stg_events"]) == part
+
+
+def test_an_older_day_can_use_its_own_lists(spark, lake):
+    land_day(spark, lake, DAY)
+    land_events(spark, lake, [message(payload("a")), message(payload("b", product_id="p2"))])
+    daily.run_daily(spark, lake, DAY, catalog=True)
+    land_day(spark, lake, NEXT, catalog=False)
+    lakes.write_snapshot(lake, spark.createDataFrame([("other", "O", "EU", None)], REGULATION), "regulation", NEXT)
+    daily.run_daily(spark, lake, NEXT)
+    old = daily.run_daily(spark, lake, DAY, as_of=DAY)
+    assert [r.product_id for r in lookup(old.models["recommendations"], "dry")] == ["p1"]
+    with pytest.raises(lakes.EmptySnapshotError, match="up to 2026-01-01"):
+        daily.staging_views(spark, lake, "2026-01-01")

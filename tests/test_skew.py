@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from test_staging import T0, payload
 
 from rankmill.operators.delivery import delivery_reconcile
-from rankmill.operators.joins import SALTS
+from rankmill.operators.joins import join_lookup
 from rankmill.operators.profile import table_profile
 from rankmill.operators.quality import quality_report
 from rankmill.plans import analysis, marts
 from rankmill.plans.staging import stg_events
+from rankmill.session import shuffle_partitions
 from rankmill.sources.schemas import EVENT_MESSAGE
 
 N = 6000
@@ -106,9 +107,11 @@ def test_hot_ingredient_beyond_the_broadcast_size_is_salted(spark):
     finally:
         spark.conf.set(threshold, before)
     contents = products.select("product_id", F.explode("key_ingredients").alias("k"))
-    salted = contents.withColumn("s", F.pmod(F.xxhash64("product_id"), F.lit(SALTS)))
-    largest = salted.groupBy("k", "s").count().agg(F.max("count")).first()[0]
-    assert largest < 20_000 / SALTS * 1.5
+    rules = regulation.select(F.col("ingredient_std_name").alias("k")).distinct()
+    joined = join_lookup(contents, rules, "k", 3000, "product_id", broadcast_rows=10)
+    # half of all rows have one key: it gets 500 parts, the other keys stay whole
+    assert joined.count() == contents.join(rules, "k").count()
+    assert "__parts" in plan_of(joined)
 
 
 def test_pairs_of_a_hot_name_are_counted_not_built(spark):
@@ -130,3 +133,14 @@ def test_scores_are_combined_before_the_exchange(spark):
     plan = plan_of(marts.skin_product_scores(events))
     assert plan.index("partial_count") > plan.index("Exchange hashpartitioning(skin_type")
     assert sorted(r.views for r in marts.skin_product_scores(events).collect()) == [100, 900]
+
+
+def test_shuffles_are_sized_by_the_input(spark, copies):
+    assert shuffle_partitions(0) == 200
+    assert shuffle_partitions(100 * 2**40) == 819_200
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(30 * 2**30)))
+    try:
+        assert re.search(r"Exchange hashpartitioning\(event_id#\d+, 240\)", plan_of(stg_events(copies[1])))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

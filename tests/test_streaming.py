@@ -95,3 +95,18 @@ def test_kafka_records_become_messages(spark):
     row = out.first()
     assert (row.subscription_name, row.message_id, row.publish_time) == ("sub", "events-3-42", T0)
     assert json.loads(row.data)["event_id"] == "a" and json.loads(row.attributes) == [{"key": "trace", "value": "x1"}]
+
+
+def test_files_of_an_unfinished_batch_are_not_read(spark, lake, tmp_path):
+    folder = str(tmp_path / "in")
+    drop(spark, folder, [message(payload("a")), message(payload("b"), 86400)])
+    streams.land_events(streams.message_files(spark, folder, "parquet"), lake, str(tmp_path / "c")).awaitTermination()
+    lakes.write_events(lake, spark.createDataFrame([message(payload("c"), 5)], EVENT_MESSAGE))
+    streamed = lake.table("events_stream", "raw")
+    with open(f"{streamed}/dt=2026-07-09/part-in-flight.parquet", "wb") as out:
+        out.write(b"PAR1 and no footer")
+    assert lakes.read_events(spark, lake).count() == 3
+    assert lakes.read_events(spark, lake, "2026-07-09").count() == 1
+    # dates that retention deleted are still in the log
+    lakes.drop_partitions(spark, streamed, lake.dates(spark, streamed)[:1])
+    assert lakes.read_events(spark, lake).count() == 2

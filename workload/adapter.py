@@ -173,6 +173,21 @@ class Tables:
 
     # -- API pages
 
+    def company_pages(self) -> DataFrame:
+        """Suppliers as pages of five of one complete feed, each row with a field no table knows."""
+        rows = self.read("supplier").selectExpr(
+            "cast(s_suppkey div 5 as int) as page_no",
+            "to_json(struct(cast(s_suppkey as string) as ENTP_SEQ, s_name as ENTP_NAME, "
+            "cast(s_nationkey as string) as HOME)) as row_text",
+        )
+        total = rows.agg(F.count(F.lit(1)).alias("total"))
+        # a page holds five rows at most
+        pages = rows.groupBy("page_no").agg(F.array_join(F.collect_list("row_text"), ",").alias("items"))
+        head = '{"response":{"header":{"resultCode":"00"},"body":{"totalCount":%d,"items":[%s]}}}'
+        return pages.join(F.broadcast(total)).select(
+            F.lit("manufacturer").alias("source"), "page_no", F.format_string(head, "total", "items").alias("payload")
+        )
+
     def api_pages(self) -> DataFrame:
         """Customers as pages of ten in four feeds: three envelopes, refusals, a short feed."""
         rows = self.read("customer").selectExpr(

@@ -32,11 +32,12 @@ def _events(t: Tables) -> DataFrame:
     return staging.stg_events(t.raw_events())
 
 
-def _mart(t: Tables) -> DataFrame:
+def _mart(t: Tables, events: DataFrame | None = None, **bounds: int) -> DataFrame:
     return marts.recommendations(
-        _events(t),
+        _events(t) if events is None else events,
         staging.stg_products(t.products(), NEW_DAY),
         staging.stg_regulation(t.regulation(), NEW_DAY),
+        **bounds,
     )
 
 
@@ -51,6 +52,21 @@ def product_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def product_risk_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a rule list too long to broadcast: hot ingredients are split."""
+    t = Tables(spark, sf_dir)
+    return marts.product_risk(
+        staging.stg_products(t.products(), NEW_DAY),
+        staging.stg_regulation(t.regulation(), NEW_DAY),
+        broadcast_rows=0,
+    )
+
+
+def recommendations_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a catalog too large for one sort task: ranks by key ranges."""
+    return _mart(Tables(spark, sf_dir), rows_per_task=0)
+
+
 def skin_product_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.skin_product_scores(_events(Tables(spark, sf_dir)))
 
@@ -142,6 +158,11 @@ def catalog_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.catalog_names(stg_ingredient(spark, sf_dir))
 
 
+def catalog_names_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog names with a limit that cuts."""
+    return analysis.catalog_names(stg_ingredient(spark, sf_dir), limit=150)
+
+
 def topk_match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return analysis.topk_match_rate(_mart(t), staging.stg_products(t.products(), NEW_DAY))
@@ -149,15 +170,19 @@ def topk_match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    mart = _mart(t)
+    # three models read the cleaned events, so they are written once
+    path = fresh_dir(spark, "clean-events")
+    clean = _events(t)
+    clean.write.parquet(path)
+    events = spark.read.schema(clean.schema).parquet(path)
     models = {
         "stg_ingredient": staging.stg_ingredient(t.ingredient(), NEW_DAY),
         "stg_regulation": staging.stg_regulation(t.regulation(), NEW_DAY),
         "stg_manufacturer": staging.stg_manufacturer(t.manufacturer(), NEW_DAY),
         "stg_products": staging.stg_products(t.products(), NEW_DAY),
-        "stg_events": _events(t),
-        "recommendations": mart,
-        "dashboard_events_daily": marts.events_daily(_events(t)),
+        "stg_events": events,
+        "recommendations": _mart(t, events),
+        "dashboard_events_daily": marts.events_daily(events),
     }
     return quality_report(models)
 
@@ -296,6 +321,36 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(lines, "table_name string, address string, loaded_rows bigint")
 
 
+def load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that all loads of a date report together."""
+    lake = lakes.Lake(fresh_dir(spark, "totals"))
+    _land_snapshots(Tables(spark, sf_dir), lake)
+    totals = [
+        (lakes.as_date(day), sum(lakes.load_sources(spark, lake, day).values())) for day in (OLD_DAY, NEW_DAY)
+    ]
+    return spark.createDataFrame(totals, "dt date, loaded_rows bigint")
+
+
+def staging_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staging view read by SQL, over raw tables of two dates."""
+    lake = lakes.Lake(fresh_dir(spark, "views"))
+    _land_snapshots(Tables(spark, sf_dir), lake)
+    for day in (OLD_DAY, NEW_DAY):
+        lakes.load_sources(spark, lake, day)
+        lakes.load_snapshot(spark, lake, "products", day)
+    daily.staging_views(spark, lake)
+    return spark.sql("select industry, permit_date, count(*) as companies from stg_manufacturer group by all")
+
+
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API pages landed as a snapshot, loaded and read back, unknown fields included."""
+    lake = lakes.Lake(fresh_dir(spark, "landed-pages"))
+    pages.land_pages(lake, Tables(spark, sf_dir).company_pages(), "manufacturer", NEW_DAY)
+    lakes.load_snapshot(spark, lake, "manufacturer", NEW_DAY)
+    raw = spark.read.parquet(lake.table("manufacturer", "raw"))
+    return raw.select("ENTP_SEQ", "ENTP_NAME", "rest", "dt")
+
+
 def landed_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot written as JSON lines and read back for one date."""
     lake = lakes.Lake(fresh_dir(spark, "jsonl"))
@@ -329,6 +384,17 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.run_daily(spark, lake, NEW_DAY, catalog=True).models["recommendations"]
 
 
+def daily_run_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An older day run again after a newer one, with the lists of its own date."""
+    t = Tables(spark, sf_dir)
+    lake = lakes.Lake(fresh_dir(spark, "as-of"))
+    _land_snapshots(t, lake)
+    lakes.write_events(lake, t.raw_events(dirty=False))
+    daily.run_daily(spark, lake, OLD_DAY, catalog=True)
+    daily.run_daily(spark, lake, NEW_DAY, catalog=True)
+    return daily.run_daily(spark, lake, OLD_DAY, as_of=OLD_DAY).models["recommendations"]
+
+
 # -- API pages ----------------------------------------------------------------------------
 
 
@@ -350,6 +416,8 @@ def api_page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "recommendations": recommendations,
     "product_risk": product_risk,
+    "product_risk_split": product_risk_split,
+    "recommendations_ranged": recommendations_ranged,
     "skin_product_scores": skin_product_scores,
     "stg_events": stg_events,
     "stg_ingredient": stg_ingredient,
@@ -367,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "top_scores_per_segment": top_scores_per_segment,
     "rank_in_segment": rank_in_segment,
     "catalog_names": catalog_names,
+    "catalog_names_first": catalog_names_first,
     "topk_match_rate": topk_match_rate,
     "quality_report": quality,
     "quality_report_raw": quality_of_raw,
@@ -380,10 +449,14 @@ QUERIES: dict[str, Query] = {
     "incremental_scores": incremental_scores,
     "partition_replace": partition_replace,
     "load_counts": load_counts,
+    "load_totals": load_totals,
+    "staging_view": staging_view,
+    "landed_pages": landed_pages,
     "landed_snapshot": landed_snapshot,
     "partition_keys": partition_keys,
     "retention_expired": retention_expired,
     "daily_run": daily_run,
+    "daily_run_as_of": daily_run_as_of,
     "api_pages_unwrap": api_pages_unwrap,
     "api_page_errors": api_page_errors,
     "api_page_completeness": api_page_completeness,
