@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankmill.llm.common import LAST_ID, order_id, packed, ship_package, stored, text_of, unpacked
@@ -38,6 +38,7 @@ SEGMENTS = 4
 SIMILAR = 0.8
 SLOTS, SAMPLE = 8, 3
 SMALL = 32  # members of an index entry that are paired with one another
+ENTRY = ["slot", "word"]
 #: hashes that are unpacked to bits at once, which bounds the memory of a very long text
 CHUNK = 65536
 
@@ -202,6 +203,15 @@ def _shared_share():
     return compute
 
 
+def _listed():
+    @F.pandas_udf("array<int>")
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([np.frombuffer(x, "<i4") for x in batch])
+
+    return compute
+
+
 def _sized(entries: DataFrame, keys: list[str], label: str) -> DataFrame:
     """Entries of the keys that have two members or more, with the count and both end members."""
     counts = entries.groupBy(*keys).agg(
@@ -218,18 +228,21 @@ def _all_pairs(sized: DataFrame, keys: list[str]) -> DataFrame:
     return heads.select("version", F.explode(F.slice("m", F.col("k") + 2, SMALL)).alias("end"))
 
 
-def _candidates(texts: DataFrame) -> DataFrame:
+def _sample_entries(texts: DataFrame) -> DataFrame:
+    slots = F.posexplode("samples").alias("slot", "word")
+    return stored(_sized(texts.select("version", "samples", slots), ENTRY, "samples"), "sample-entries")
+
+
+def _candidates(texts: DataFrame, first: DataFrame) -> DataFrame:
     """(a, b) text hashes that an index brings together, each pair once.
 
     All members of a small entry are paired. Those of a larger one are entered again under their word
     and that of every other slot; where this still leaves a large entry, its members are very much
     alike and each is paired with the smallest and with the largest one. So pairs grow in proportion
-    to the texts.
+    to the texts. What this leaves of the large entries is up to `_rest_pairs`.
     """
-    keys = ["slot", "word"]
-    slots = F.posexplode("samples").alias("slot", "word")
-    first = stored(_sized(texts.select("version", "samples", slots), keys, "samples"), "sample-entries")
-    more = ["slot", "word", "slot2", "word2"]
+    keys = ENTRY
+    more = [*ENTRY, "slot2", "word2"]
     second = (
         first.filter(F.col("n") > SMALL)
         .select("version", *keys, F.posexplode("samples").alias("slot2", "word2"))
@@ -252,6 +265,84 @@ def _candidates(texts: DataFrame) -> DataFrame:
     return pairs.select(F.least("version", "end").alias("a"), F.greatest("version", "end").alias("b")).distinct()
 
 
+def _sets_of(docs: DataFrame, texts: DataFrame, shingle: int, label: str) -> DataFrame:
+    """(version, shingles) of the `texts` (id, version), each read once from its document."""
+    keys = [order_id().alias("id"), F.xxhash64(text_of()).alias("version")]
+    return stored(
+        docs.select(*keys, text_of().alias("text"))
+        .join(texts, ["id", "version"], "left_semi")
+        .select("version", _shingle_set(shingle)("text").alias("shingles"))
+        .dropDuplicates(["version"]),
+        label,
+    )
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    return (
+        pairs.join(sets.select(F.col("version").alias("a"), F.col("shingles").alias("x")), "a")
+        .join(sets.select(F.col("version").alias("b"), F.col("shingles").alias("y")), "b")
+        .select("a", "b", _shared_share()("x", "y").alias("similarity"))
+        .filter(F.col("similarity") >= similarity)
+        .select("a", "b")
+    )
+
+
+def _members(texts: DataFrame, links: DataFrame) -> DataFrame:
+    """(version, id, root) of every text; one without links is its own root."""
+    roots = component_roots(links)
+    return stored(
+        texts.join(roots, texts["version"] == roots["node"], "left").select(
+            "version", "id", F.coalesce("root", "version").alias("root")
+        ),
+        "similar-members",
+    )
+
+
+def _rest(first: DataFrame, member: DataFrame) -> DataFrame:
+    """Texts of the large entries that hold more than one component so far: their links may be missing."""
+    large = stored(first.filter(F.col("n") > SMALL).select("version", *ENTRY).join(member, "version"), "large-members")
+    split = large.groupBy(*ENTRY).agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = stored(split.filter(F.col("low") != F.col("high")).select(*ENTRY), "split-entries")
+    return stored(large.join(mixed, ENTRY, "left_semi").select("version", "id", "root").distinct(), "rest")
+
+
+def _rest_pairs(rest: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of texts of different components that may reach the similarity: a prefix filter.
+
+    With a text's shingles in one common order, a similar text shares one of the first
+    n - ceil(similarity * n) + 1 of its n, and the first one they share has enough after it in both.
+    The rarest come first, so passages that many texts share hardly bring any together; within a
+    component nothing is paired.
+    """
+    tokens = stored(sets.select("version", F.explode(_listed()("shingles")).alias("token")), "rest-shingles")
+    counts = stored(tokens.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > 1), "rest-counts")
+    sizes = sets.select("version", (F.octet_length("shingles") / 4).cast("int").alias("size"))
+    owners = stored(rest.select("version", "root").join(sizes, "version"), "rest-sizes")
+    rarest = Window.partitionBy("version").orderBy(F.coalesce("n", F.lit(1)), "token")
+    heads = (
+        tokens.join(counts, "token", "left")
+        .withColumn("place", F.row_number().over(rarest))
+        .join(owners, "version")
+        .filter(F.col("place") <= F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1)
+        .filter(F.col("n") > 1)
+        .select("token", "version", "root", "size", "place")
+    )
+    heads = stored(heads, "rest-heads")
+    split = heads.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = stored(split.filter(F.col("low") != F.col("high")).select("token"), "split-tokens")
+    heads = stored(heads.join(mixed, "token", "left_semi"), "split-heads")
+    left = heads.select("token", *[F.col(c).alias(f"{c}_a") for c in ("version", "root", "size", "place")])
+    right = heads.select("token", *[F.col(c).alias(f"{c}_b") for c in ("version", "root", "size", "place")])
+    after = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) + 1
+    enough = after >= F.ceil((F.col("size_a") + F.col("size_b")) * (similarity / (1 + similarity)) - 1e-9)
+    return (
+        left.join(right, "token")
+        .filter((F.col("root_a") < F.col("root_b")) & enough)
+        .select(F.col("version_a").alias("a"), F.col("version_b").alias("b"))
+        .distinct()
+    )
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = SIMILAR) -> DataFrame:
     """(id, version, first) of every document: the smallest id of its group of similar texts.
 
@@ -259,7 +350,9 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = SIMILA
     cannot be enumerated. So each text has, besides its whole fingerprint, `SLOTS` fingerprints of
     small samples of shingles; a sample falls alike in similar texts with probability
     similarity ** SAMPLE, which leaves one pair in four hundred at 0.8 unmet. Pairs that meet are
-    verified by the share of common shingles.
+    verified by the share of common shingles. Entries too large to pair all members are linked to
+    few of them first; where that leaves more than one component, all pairs across components that
+    may reach the similarity are verified as well.
     """
     ship_package(docs.sparkSession)
     keys = [order_id().alias("id"), F.xxhash64(text_of()).alias("version")]
@@ -269,28 +362,17 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = SIMILA
         printed.groupBy("version").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("samples").alias("samples")),
         "texts",
     )
-    pairs = stored(_candidates(texts), "pairs")
+    first = _sample_entries(texts)
+    pairs = stored(_candidates(texts, first), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("version")).distinct().join(texts.select("version", "id"), "version")
-    sets = stored(
-        docs.select(*keys, text_of().alias("text"))
-        .join(ends, ["id", "version"], "left_semi")
-        .select("version", _shingle_set(shingle)("text").alias("shingles"))
-        .dropDuplicates(["version"]),
-        "shingle-sets",
-    )
-    verified = (
-        pairs.join(sets.select(F.col("version").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(sets.select(F.col("version").alias("b"), F.col("shingles").alias("y")), "b")
-        .select("a", "b", _shared_share()("x", "y").alias("similarity"))
-        .filter(F.col("similarity") >= similarity)
-    )
-    roots = component_roots(stored(verified.select("a", "b"), "similar-pairs"))
-    member = stored(
-        texts.join(roots, texts["version"] == roots["node"], "left").select(
-            "version", "id", F.coalesce("root", "version").alias("root")
-        ),
-        "similar-members",
-    )
+    links = stored(_verified(pairs, _sets_of(docs, ends, shingle, "shingle-sets"), similarity), "similar-pairs")
+    member = _members(texts, links)
+    rest = _rest(first, member)
+    if not rest.isEmpty():
+        sets = _sets_of(docs, rest, shingle, "rest-sets")
+        pairs = stored(_rest_pairs(rest, sets, similarity), "rest-pairs")
+        more = stored(_verified(pairs, sets, similarity), "rest-links")
+        member = _members(texts, links.unionByName(more))
     least = stored(member.groupBy("root").agg(F.min("id").alias("first")), "similar-firsts")
     named = stored(member.join(least, "root").select("version", "first"), "similar-names")
     return printed.select("id", "version").join(named, "version")

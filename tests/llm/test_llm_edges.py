@@ -171,6 +171,25 @@ def test_one_large_group_of_near_copies(spark):
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(table).collect()} == groups
 
 
+def test_links_inside_large_entries_are_not_lost(spark, monkeypatch):
+    """Copies of copies drift apart: many are similar to few others and not to the ends of their entry."""
+    rnd = random.Random(4)
+    texts = [[f"w{rnd.randint(0, 999)}" for _ in range(120)]]
+    for k in range(1, 240):
+        words = list(rnd.choice(texts))
+        for _ in range(rnd.choice((1, 2, 4))):
+            words[rnd.randrange(len(words))] = f"x{k}-{rnd.random()}"
+        texts.append(words)
+    rows = [(k, " ".join(words)) for k, words in enumerate(texts)]
+    monkeypatch.setattr(simhash, "SMALL", 4)
+    rests, rest_pairs = [], simhash._rest_pairs
+    monkeypatch.setattr(simhash, "_rest_pairs", lambda *a: rests.append(a[0].count()) or rest_pairs(*a))
+    expected = brute.similar_groups(rows)
+    got = simhash.similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.id: r.first for r in got} == expected
+    assert rests and rests[0] and 1 < len(set(expected.values())) < len(rows)
+
+
 def test_mix_meets_targets(spark, docs):
     rows = [(k, ("a", "b", None)[k % 3 if k % 7 else 0], "word " * (k % 50)) for k in range(400)]
     table = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
