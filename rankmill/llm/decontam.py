@@ -8,6 +8,11 @@ are retrieved, then verified on the whole document: five-word shingles of questi
 occur in it. An item leaked if 0.8 of all its shingles occur, or 0.8 of those of a question of eight
 words or more.
 
+A document can meet the leak rule below that score: by a long answer without its question, or without
+the few rare words of the question. So the shingles of both parts are indexed as well, and the
+document's are counted by item; every item whose count may meet the leak rule is verified, and listed
+if it leaked, whatever its score.
+
 Pruning, as in WAND: terms are split so that all non-essential (frequent) ones together can't reach
 half of any item's threshold. Postings of essential terms only are followed, block by block of
 items of similar length; a block whose summed block maxima, with the most that non-essential terms
@@ -60,6 +65,15 @@ def shingles(words: list[str]) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))}
 
 
+def _hashes(ids: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the `length` word numbers that begin at each place."""
+    out = np.full(len(at), length, np.uint64)
+    for k in range(length):
+        out = (out ^ ids[at + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
 class Item:
     def __init__(self, item_id: int | None, text: str):
         question, _, answer = text.strip().rpartition("\n")
@@ -107,6 +121,7 @@ class Index:
         self.postings = postings
         self._split()
         self._block_maxima()
+        self._shingle_lists()
 
     def _split(self) -> None:
         """Frequent terms are non-essential while they can't add half of any item's threshold."""
@@ -141,6 +156,73 @@ class Index:
         self.firsts = np.cumsum(counts) - counts
         self.lists = [dict(self.postings[t]) for t in range(len(self.terms))]
 
+    def _shingle_lists(self) -> None:
+        """Hashes of all shingles, the parts that hold them, and how many each item needs to leak.
+
+        A part shorter than a shingle counts as one; it is taken as held until verified. Items of such
+        parts only are found by their question.
+        """
+        answers = (w for x in self.items for w in x.answer if w not in self.terms)
+        self.words = self.terms | {w: len(self.terms) + k for k, w in enumerate(dict.fromkeys(answers))}
+        self.lengths: set[int] = set()
+        self.needs = np.full((len(self.items), 2), np.inf)  # of both parts, of the question
+        holders: dict[int, list[int]] = defaultdict(list)
+        for n, x in enumerate(self.items):
+            parts = [p for p in (x.question, x.answer) if p]
+            longs = [len(p) >= SHINGLE for p in parts]
+            whole = SIMILAR * (len(x.question_shingles) + len(x.answer_shingles))
+            self.needs[n, 0] = whole - longs.count(False) if any(longs) else 1
+            if len(x.question) >= ENOUGH_WORDS:
+                self.needs[n, 1] = SIMILAR * len(x.question_shingles)
+            for k, part in enumerate(parts):
+                if longs[k] or (k == 0 and not any(longs)):
+                    length = min(len(part), SHINGLE)
+                    self.lengths.add(length)
+                    ids = np.array([self.words[w] for w in part], np.int64)
+                    for gram in set(_hashes(ids, np.arange(len(part) - length + 1), length).tolist()):
+                        holders[gram].append(2 * n + k)
+        self.grams = np.array(sorted(holders), np.uint64)
+        lists = [holders[g] for g in self.grams.tolist()]
+        self.gram_counts = np.array([len(x) for x in lists], np.int64)
+        self.gram_firsts = np.cumsum(self.gram_counts) - self.gram_counts
+        self.gram_parts = np.array([part for x in lists for part in x], np.int64)
+
+    def may_leak(self, texts: list[np.ndarray]) -> set[tuple[int, int]]:
+        """(text, item) of all pairs that can meet the leak rule, from the word numbers of the texts."""
+        # a word of no item between two texts, so that no shingle spans them
+        ids = np.concatenate([x for ids in texts for x in (ids, [-1])])
+        starts = np.cumsum([0] + [len(x) + 1 for x in texts[:-1]])
+        keys = []
+        for length in self.lengths:
+            whole = ids[: max(len(ids) - length + 1, 0)] >= 0
+            for k in range(1, length):
+                whole &= ids[k : k + len(whole)] >= 0
+            at = np.flatnonzero(whole)
+            hashes = _hashes(ids, at, length)
+            gram = np.minimum(np.searchsorted(self.grams, hashes), len(self.grams) - 1)
+            same = self.grams[gram] == hashes
+            keys.append((np.searchsorted(starts, at[same], "right") - 1) * len(self.grams) + gram[same])
+        held = np.unique(np.concatenate(keys))
+        gram, text = held % len(self.grams), held // len(self.grams)
+        counts = self.gram_counts[gram]
+        at = np.repeat(self.gram_firsts[gram] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        part = self.gram_parts[at]
+        pairs, where = np.unique(np.repeat(text, counts) * len(self.items) + part // 2, return_inverse=True)
+        asked = np.bincount(where, part % 2 == 0, len(pairs))
+        whole = np.bincount(where, minlength=len(pairs))
+        text, item = pairs // len(self.items), pairs % len(self.items)
+        enough = (whole >= self.needs[item, 0] - 1e-9) | (asked >= self.needs[item, 1] - 1e-9)
+        return set(zip(text[enough].tolist(), item[enough].tolist(), strict=True))
+
+    def score(self, ids: np.ndarray, item: int) -> float:
+        """The best score of an item over all passages of a text, relative to the threshold."""
+        impacts = {self.terms[w]: self.lists[self.terms[w]][item] for w in self.items[item].question}
+        held: dict[int, set[int]] = defaultdict(set)
+        for at in np.flatnonzero(np.isin(ids, list(impacts))).tolist():
+            for part in (at // self.longest, at // self.longest - 1):
+                held[part].add(int(ids[at]))
+        return max((sum(impacts[t] for t in sorted(terms)) for part, terms in held.items() if part >= 0), default=0.0)
+
     def retrieve(self, passages: np.ndarray, terms: np.ndarray) -> list[tuple[int, int, float]]:
         """(passage, item, score relative to the threshold) with a score of one or more.
 
@@ -186,12 +268,13 @@ class _Terms(dict):
 def _leaks_of(index: Index, texts: list[str], memo: _Terms) -> Iterator[tuple[int, int, float, float, float | None, bool]]:
     """(text, item, best score, overlaps, leaked) for a batch of texts."""
     stride = index.longest
-    numbers, places, owners, base = [], [], [], 0
+    numbers, places, owners, base, bodies = [], [], [], 0, []
     for n, text in enumerate(texts):
         words = text.split()
         ids = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
         ids = ids[ids > -2]
-        known = np.flatnonzero(ids >= 0)
+        bodies.append(ids)
+        known = np.flatnonzero((ids >= 0) & (ids < len(index.terms)))
         parts = len(ids) // stride + 1
         # a word belongs to the passage that begins at its stride and to the one before
         for back in (0, 1):
@@ -209,11 +292,14 @@ def _leaks_of(index: Index, texts: list[str], memo: _Terms) -> Iterator[tuple[in
         n = owners[int(np.searchsorted(starts, passage, "right")) - 1][1]
         best[n, item] = max(best.get((n, item), 0.0), score)
     current, held, plain = -1, set(), ""
-    for (n, item), score in sorted(best.items()):
+    for n, item in sorted(best.keys() | index.may_leak(bodies)):
         if n != current:
             words = bare_words(texts[n])
             current, held, plain = n, shingles(words), f" {' '.join(words)} "
-        yield n, item, score * SCORE, *index.items[item].overlaps(held, plain)
+        *overlaps, leaked = index.items[item].overlaps(held, plain)
+        if leaked or (n, item) in best:
+            score = best[n, item] if (n, item) in best else index.score(bodies[n], item)
+            yield n, item, score * SCORE, *overlaps, leaked
 
 
 def _slices(items: DataFrame) -> Iterator[DataFrame]:
@@ -227,7 +313,8 @@ def _slices(items: DataFrame) -> Iterator[DataFrame]:
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap, leaked) of all retrieved pairs.
 
-    The score is relative to the item's own; only pairs of a passage at `SCORE` or more are listed.
+    The score is relative to the item's own; pairs of a passage at `SCORE` or more are listed, and all
+    that leaked.
     """
     ship_package(docs.sparkSession)
     texts = docs.select("doc_id", text_of().alias("text"))
@@ -237,7 +324,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         index = texts.sparkSession.sparkContext.broadcast(Index(rows))
 
         def leaks(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            memo = _Terms(index.value.terms)
+            memo = _Terms(index.value.words)
             for batch in batches if index.value.items else ():
                 ids, column = batch.column(0), batch.column(1)
                 for at in range(0, batch.num_rows, 256):
