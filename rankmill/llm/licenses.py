@@ -6,8 +6,13 @@ identifiers found, in the order of the text, form a sequence; a rule names ident
 occur in that order, others may lie between. Rules are tried in the order given; one that contains
 another comes first and rules the other out.
 
-Sentences are taken twice, with line breaks as spaces (wrapped license files) and with line breaks as
-ends (one-line notices below other text); what only the second way finds is appended.
+Sentences are taken three ways: with line breaks as spaces (wrapped license files), with line breaks
+as ends (one-line notices below other text), and with lines without letters and digits as ends and other
+line breaks as spaces (paragraphs below a title, a copyright line or an address). What only a later way
+finds is appended; rules are tried on all that was found and on the paragraphs' sentences in their order.
+Long sentences are in the table as the ends of their original punctuation cut them, and without it.
+
+The SQL twin knows the first two ways only.
 
 Null and empty texts have no sentences and no license. Rows are judged one by one: the operator is a
 narrow projection. The table and the rules are fixed lists in this file.
@@ -15,6 +20,9 @@ narrow projection. The table and the rules are fixed lists in this file.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +42,20 @@ SENTENCES = {
     "apache-compliance": "you may not use this file except in compliance with the license",
     "apache-copy": "you may obtain a copy of the license at",
     "apache-as-is": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+    "apache-copy-as-is": "you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+    "apache-copy-as-is-https": "you may obtain a copy of the license at https www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
     "apache-title": "apache license",
     "gpl3-work": "this work is licensed under the gnu general public license version 3",
     "gpl3-licensed": "licensed under the gnu general public license version 3",
     "gpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl2-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
     "gpl-no-warranty": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "gpl3-redistribute": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl2-redistribute": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "gpl-redistribute": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+    "gpl3-either": "either version 3 of the license or at your option any later version",
+    "gpl2-either": "either version 2 of the license or at your option any later version",
+    "gpl-implied": "without even the implied warranty of merchantability or fitness for a particular purpose",
     "gpl-see": "see the gnu general public license for more details",
     "cc-by-nc": "licensed under cc by nc 4 0",
     "cc-by-sa": "licensed under cc by sa 4 0",
@@ -52,6 +68,7 @@ SENTENCES = {
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
     "bsd-endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "mpl-subject": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "mpl-subject-v": "this source code form is subject to the terms of the mozilla public license v",
     "unlicense": "this is free and unencumbered software released into the public domain",
     "isc-permission": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
     "reserved": "all rights reserved",
@@ -65,14 +82,24 @@ RULES = (
     ("mit-notice", ("mit-released",), ("mit",)),
     ("mit-notice", ("mit-licensed",), ("mit",)),
     ("apache-2.0", ("apache-licensed-the-license", "apache-compliance", "apache-as-is"), ()),
+    ("apache-2.0", ("apache-licensed-the-license", "apache-compliance", "apache-copy-as-is"), ()),
+    ("apache-2.0", ("apache-licensed-the-license", "apache-compliance", "apache-copy-as-is-https"), ()),
     ("apache-2.0-notice", ("apache-licensed",), ("apache-2.0",)),
     ("apache-2.0-notice", ("apache-licensed-the-license",), ("apache-2.0",)),
     ("gpl-3.0", ("gpl-free", "gpl-no-warranty", "gpl-see"), ()),
+    ("gpl-3.0", ("gpl3-redistribute", "gpl-implied", "gpl-see"), ()),
+    ("gpl-3.0", ("gpl-redistribute", "gpl3-either", "gpl-implied", "gpl-see"), ()),
     ("gpl-3.0-notice", ("gpl3-work",), ("gpl-3.0",)),
     ("gpl-3.0-notice", ("gpl3-licensed",), ("gpl-3.0",)),
     ("gpl-3.0-notice", ("gpl-free",), ("gpl-3.0",)),
+    ("gpl-3.0-notice", ("gpl3-redistribute",), ("gpl-3.0",)),
+    ("gpl-3.0-notice", ("gpl-redistribute", "gpl3-either"), ("gpl-3.0",)),
     ("gpl-2.0", ("gpl2-free", "gpl-no-warranty", "gpl-see"), ()),
+    ("gpl-2.0", ("gpl2-redistribute", "gpl-implied", "gpl-see"), ()),
+    ("gpl-2.0", ("gpl-redistribute", "gpl2-either", "gpl-implied", "gpl-see"), ()),
     ("gpl-2.0-notice", ("gpl2-free",), ("gpl-2.0",)),
+    ("gpl-2.0-notice", ("gpl2-redistribute",), ("gpl-2.0",)),
+    ("gpl-2.0-notice", ("gpl-redistribute", "gpl2-either"), ("gpl-2.0",)),
     ("cc-by-nc-4.0", ("cc-by-nc",), ()),
     ("cc-by-nc-4.0", ("cc-by-nc-work",), ()),
     ("cc-by-sa-4.0", ("cc-by-sa",), ()),
@@ -80,6 +107,7 @@ RULES = (
     ("cc-by-4.0", ("cc-by",), ()),
     ("cc-by-4.0", ("cc-by-work",), ()),
     ("mpl-2.0", ("mpl-subject",), ()),
+    ("mpl-2.0", ("mpl-subject-v",), ()),
     ("unlicense", ("unlicense",), ()),
     ("isc", ("isc-permission",), ()),
 )
@@ -87,6 +115,7 @@ RULES = (
 # every sentence of the table has one of these stems, so a text without any has no known sentence
 CUE = r"(?i)licen[cs]|permission|permitted|copyright|warrant|distribut|domain|rights"
 ENDS = r"([.!?;:])[\x20\x09-\x0D]"
+BLANK_LINES = r"\n([^A-Za-z0-9\n]*\n)+"
 
 
 def normalised(text: Column) -> Column:
@@ -105,10 +134,11 @@ def rule_pattern(names: tuple[str, ...]) -> str:
     return r"\|" + r"(.*\|)?".join(name.replace(".", r"\.") + r"\|" for name in names)
 
 
-def _licenses(sequence: Column) -> Column:
+def _licenses(*sequences: Column) -> Column:
+    """Names of the rules that any of the sequences meets."""
     found: dict[str, Column] = {}
     for name, names, over in RULES:
-        hit = sequence.rlike(rule_pattern(names))
+        hit = reduce(or_, [sequence.rlike(rule_pattern(names)) for sequence in sequences])
         for other in over:
             hit = hit & ~found[other]
         found[name] = found[name] | hit if name in found else hit
@@ -118,15 +148,25 @@ def _licenses(sequence: Column) -> Column:
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """(doc_id, n_sentences, sentences, licenses) per row of `docs`; lists are comma-joined."""
     cued = opened(docs.select("doc_id", text_of().alias("text")), told=F.when(F.col("text").rlike(CUE), F.col("text")))
-    wrapped = F.regexp_replace(F.regexp_replace("told", r"[\x20\x09-\x0D]+", " "), ENDS, "$1\n")
+
+    def wrapped_from(text: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "), ENDS, "$1\n")
+
+    wrapped = wrapped_from(F.col("told"))
+    # a zero byte holds the place of blank lines, as it is no white space
+    paragraphs = F.translate(wrapped_from(F.regexp_replace("told", BLANK_LINES, "\0")), "\0", "\n")
     lines = F.regexp_replace("told", ENDS, "$1\n")
     none = F.array().cast("array<string>")
-    found = opened(cued, a=F.coalesce(_identifiers(wrapped), none), b=F.coalesce(_identifiers(lines), none))
-    found = opened(found, ids=F.concat("a", F.array_except("b", "a")))
-    sequence = F.concat(F.lit("|"), F.array_join("ids", "|"), F.lit("|"))
-    return opened(found, sequence=sequence).select(
+    ways = {"a": wrapped, "b": lines, "c": paragraphs}
+    found = opened(cued, **{way: F.coalesce(_identifiers(text), none) for way, text in ways.items()})
+    found = opened(found, ids=F.concat("a", F.array_except(F.concat("b", "c"), "a")))
+
+    def sequence(ids: str) -> Column:
+        return F.concat(F.lit("|"), F.array_join(ids, "|"), F.lit("|"))
+
+    return opened(found, sequence=sequence("ids"), ordered=sequence("c")).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_sentences"),
         F.array_join("ids", ",").alias("sentences"),
-        F.array_join(_licenses(F.col("sequence")), ",").alias("licenses"),
+        F.array_join(_licenses(F.col("sequence"), F.col("ordered")), ",").alias("licenses"),
     )

@@ -4,7 +4,7 @@ import random
 
 import brute
 
-from rankmill.llm import decontam
+from rankmill.llm import decontam, licenses
 
 
 def leak_tables(spark):
@@ -41,3 +41,136 @@ def test_leaks_of_any_part_equal_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in rows if r.leaked} == expected
     assert len(rows) == len({(r.doc_id, r.item_id) for r in rows})
     assert any(r.leaked and r.score < decontam.SCORE for r in rows)
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD_2 = """Copyright (c) 2020, Jane Doe
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_3 = f"""{BSD_2}
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+DISCLAIMER = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.
+"""
+APACHE = """Copyright 2020 Jane Doe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL_3 = """Copyright (C) 2020  Jane Doe
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+GPL_2 = GPL_3.replace("software:", "software;").replace("Foundation,", "Foundation;").replace("version 3", "version 2")
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+ISC = """ISC License
+
+Copyright (c) 2020, Jane Doe
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+"""
+UNLICENSE = "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy.\n"
+CREATIVE = "Jane Doe\n\nThis work is licensed under a Creative Commons Attribution{} 4.0 International License.\n"
+STANDARD = [
+    (MIT, "mit"),
+    (BSD_2 + DISCLAIMER, "bsd-2-clause"),
+    (BSD_3 + DISCLAIMER, "bsd-3-clause"),
+    (APACHE, "apache-2.0"),
+    (APACHE.replace("\n\n    http", "\n    https").replace("2.0\n\n", "2.0\n"), "apache-2.0"),
+    (GPL_3, "gpl-3.0"),
+    (GPL_2, "gpl-2.0"),
+    (GPL_2.replace("Foundation;", "Foundation,"), "gpl-2.0"),
+    (GPL_3.split("\n\nThis program is distributed")[0], "gpl-3.0-notice"),
+    (GPL_2.split("\n\nThis program is distributed")[0], "gpl-2.0-notice"),
+    ("This work is licensed under the GNU General Public License, version 3.", "gpl-3.0-notice"),
+    ("Licensed under the GNU General Public License, version 3.", "gpl-3.0-notice"),
+    (MPL, "mpl-2.0"),
+    (ISC, "isc"),
+    (UNLICENSE, "unlicense"),
+    (CREATIVE.format(""), "cc-by-4.0"),
+    (CREATIVE.format("-ShareAlike"), "cc-by-sa-4.0"),
+    (CREATIVE.format("-NonCommercial"), "cc-by-nc-4.0"),
+    ("Licensed under CC BY 4.0.", "cc-by-4.0"),
+    ("Licensed under CC BY-SA 4.0.", "cc-by-sa-4.0"),
+    ("Licensed under CC BY-NC 4.0.", "cc-by-nc-4.0"),
+    ("Released under the MIT License.", "mit-notice"),
+    ("Licensed under the MIT License.", "mit-notice"),
+    ("Licensed under the Apache License, Version 2.0.", "apache-2.0-notice"),
+]
+
+
+def test_standard_texts_give_their_licenses(spark):
+    def commented(text, lead):
+        return "\n".join(f"{lead} {line}".rstrip() for line in text.split("\n"))
+
+    rows, expected = [], {}
+    for text, name in STANDARD:
+        for form in (text, text.replace("\n", "\r\n"), commented(text, "#"), f"/*\n{commented(text, ' *')}\n */\nint x;\n", f"code\n\n{text}\n\nmore"):
+            expected[len(rows)] = name
+            rows.append((len(rows), form))
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == expected
+    assert {name for name, _, _ in licenses.RULES} == set(expected.values())
