@@ -21,12 +21,14 @@ row; a component of null ids only has a null component id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankmill.llm.common import LAST_ID, order_id, packed, ship_package, stored, text_of, unpacked
@@ -39,6 +41,7 @@ SIMILAR = 0.8
 SLOTS, SAMPLE = 8, 3
 SMALL = 32  # members of an index entry that are paired with one another
 ENTRY = ["slot", "word"]
+BUCKETS_LOG2, BUCKET_BLOCKS = 22, 64  # counters of shingles by their hash, for the order of the prefix filter
 #: hashes that are unpacked to bits at once, which bounds the memory of a very long text
 CHUNK = 65536
 
@@ -169,22 +172,14 @@ def sample_fingerprints(hashes: np.ndarray) -> list[int]:
 
 
 def _sampled(shingle: int):
-    @F.pandas_udf("fp bigint, samples array<bigint>")
+    @F.pandas_udf("fp bigint, samples array<bigint>, shingles binary")
     def compute(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             prints = np.array([fingerprint_of(t, shingle) for t in batch], dtype=np.uint64).view(np.int64)
-            samples = [sample_fingerprints(shingle_hashes(t, shingle)) for t in batch]
-            yield pd.DataFrame({"fp": prints, "samples": samples})
-
-    return compute
-
-
-def _shingle_set(shingle: int):
-    @F.pandas_udf("binary")
-    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            sets = [np.unique((shingle_hashes(t, shingle) >> np.uint64(32)).astype(np.uint32)) for t in batch]
-            yield pd.Series([x.astype("<u4").tobytes() for x in sets])
+            hashes = [shingle_hashes(t, shingle) for t in batch]
+            samples = [sample_fingerprints(x) for x in hashes]
+            sets = [np.unique((x >> np.uint64(32)).astype("<u4")).tobytes() for x in hashes]
+            yield pd.DataFrame({"fp": prints, "samples": samples, "shingles": sets})
 
     return compute
 
@@ -203,13 +198,63 @@ def _shared_share():
     return compute
 
 
-def _listed():
-    @F.pandas_udf("array<int>")
-    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _token_counts(sets: DataFrame) -> np.ndarray:
+    """How many texts hold a shingle of each bucket of hashes, at most 65535."""
+    size, width = 2**BUCKETS_LOG2, 2**BUCKETS_LOG2 // BUCKET_BLOCKS
+    most = np.iinfo(np.uint16).max
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(size, np.int64)
+        for batch in batches:
+            tokens = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")
+            counts += np.bincount(tokens >> np.uint32(32 - BUCKETS_LOG2), minlength=size)
+        blocks = np.minimum(counts, most).astype("<u2").reshape(-1, width)
+        names = pa.array(range(len(blocks)), pa.int32())
+        yield pa.RecordBatch.from_arrays([names, pa.array([x.tobytes() for x in blocks], pa.binary())], ["block", "counts"])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            yield pd.Series([np.frombuffer(x, "<i4") for x in batch])
+            for block, counts in zip(*batch.columns, strict=True):
+                new = np.frombuffer(counts.as_py(), "<u2").astype(np.int64)
+                sums[block.as_py()] = sums.get(block.as_py(), 0) + new
+        arrays = [np.minimum(x, most).astype("<u2").tobytes() for x in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(arrays, pa.binary())], ["block", "counts"])
+
+    kind = "block int, counts binary"
+    rows = sets.select("shingles").mapInArrow(counted, kind).repartition("block").mapInArrow(merged, kind)
+    out = np.zeros((BUCKET_BLOCKS, width), np.uint16)
+    for row in rows.toLocalIterator():
+        out[row["block"]] = np.frombuffer(row["counts"], "<u2")
+    return out.reshape(-1)
 
-    return compute
+
+def _heads(sets: DataFrame, similarity: float) -> DataFrame:
+    """(token, version, size, place): the prefix of every text in the common order of shingles."""
+    shared = sets.sparkSession.sparkContext.broadcast(_token_counts(sets))
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                versions, texts = (column.slice(at, 1024).to_pylist() for column in batch.columns)
+                tokens, sizes, lengths = [], [], []
+                for text in texts:
+                    own = np.frombuffer(text, "<u4")
+                    first = len(own) - math.ceil(len(own) * similarity - 1e-9) + 1 if len(own) else 0
+                    order = np.lexsort((own, shared.value[own >> np.uint32(32 - BUCKETS_LOG2)]))[:first]
+                    tokens.append(own[order].view("<i4"))
+                    sizes.append(len(own))
+                    lengths.append(first)
+                places = np.arange(sum(lengths)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1
+                columns = [
+                    pa.array(np.concatenate(tokens), pa.int32()),
+                    pa.array(np.repeat(np.array(versions, np.int64), lengths), pa.int64()),
+                    pa.array(np.repeat(sizes, lengths), pa.int32()),
+                    pa.array(places, pa.int32()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "version", "size", "place"])
+
+    return sets.select("version", "shingles").mapInArrow(heads, "token int, version bigint, size int, place int")
 
 
 def _sized(entries: DataFrame, keys: list[str], label: str) -> DataFrame:
@@ -239,7 +284,7 @@ def _candidates(texts: DataFrame, first: DataFrame) -> DataFrame:
     All members of a small entry are paired. Those of a larger one are entered again under their word
     and that of every other slot; where this still leaves a large entry, its members are very much
     alike and each is paired with the smallest and with the largest one. So pairs grow in proportion
-    to the texts. What this leaves of the large entries is up to `_rest_pairs`.
+    to the texts. What this leaves is up to `_rest_pairs`.
     """
     keys = ENTRY
     more = [*ENTRY, "slot2", "word2"]
@@ -265,18 +310,6 @@ def _candidates(texts: DataFrame, first: DataFrame) -> DataFrame:
     return pairs.select(F.least("version", "end").alias("a"), F.greatest("version", "end").alias("b")).distinct()
 
 
-def _sets_of(docs: DataFrame, texts: DataFrame, shingle: int, label: str) -> DataFrame:
-    """(version, shingles) of the `texts` (id, version), each read once from its document."""
-    keys = [order_id().alias("id"), F.xxhash64(text_of()).alias("version")]
-    return stored(
-        docs.select(*keys, text_of().alias("text"))
-        .join(texts, ["id", "version"], "left_semi")
-        .select("version", _shingle_set(shingle)("text").alias("shingles"))
-        .dropDuplicates(["version"]),
-        label,
-    )
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return (
         pairs.join(sets.select(F.col("version").alias("a"), F.col("shingles").alias("x")), "a")
@@ -298,36 +331,18 @@ def _members(texts: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def _rest(first: DataFrame, member: DataFrame) -> DataFrame:
-    """Texts of the large entries that hold more than one component so far: their links may be missing."""
-    large = stored(first.filter(F.col("n") > SMALL).select("version", *ENTRY).join(member, "version"), "large-members")
-    split = large.groupBy(*ENTRY).agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = stored(split.filter(F.col("low") != F.col("high")).select(*ENTRY), "split-entries")
-    return stored(large.join(mixed, ENTRY, "left_semi").select("version", "id", "root").distinct(), "rest")
-
-
 def _rest_pairs(rest: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """All pairs (a, b) of texts of different components that may reach the similarity: a prefix filter.
 
     With a text's shingles in one common order, a similar text shares one of the first
     n - ceil(similarity * n) + 1 of its n, and the first one they share has enough after it in both.
-    The rarest come first, so passages that many texts share hardly bring any together; within a
-    component nothing is paired.
+    Those of the least filled buckets of hashes come first, so passages that many texts share hardly
+    bring any together; the order decides how many pairs there are, never which links are found.
+    Within a component nothing is paired.
     """
-    tokens = stored(sets.select("version", F.explode(_listed()("shingles")).alias("token")), "rest-shingles")
-    counts = stored(tokens.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > 1), "rest-counts")
-    sizes = sets.select("version", (F.octet_length("shingles") / 4).cast("int").alias("size"))
-    owners = stored(rest.select("version", "root").join(sizes, "version"), "rest-sizes")
-    rarest = Window.partitionBy("version").orderBy(F.coalesce("n", F.lit(1)), "token")
-    heads = (
-        tokens.join(counts, "token", "left")
-        .withColumn("place", F.row_number().over(rarest))
-        .join(owners, "version")
-        .filter(F.col("place") <= F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1)
-        .filter(F.col("n") > 1)
-        .select("token", "version", "root", "size", "place")
-    )
-    heads = stored(heads, "rest-heads")
+    heads = stored(_heads(sets, similarity), "prefixes")
+    repeated = stored(heads.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("token"), "rest-tokens")
+    heads = stored(heads.join(repeated, "token", "left_semi").join(rest.select("version", "root"), "version"), "rest-heads")
     split = heads.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = stored(split.filter(F.col("low") != F.col("high")).select("token"), "split-tokens")
     heads = stored(heads.join(mixed, "token", "left_semi"), "split-heads")
@@ -349,10 +364,9 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = SIMILA
     At a similarity of 0.8 fingerprints differ in some ten bits, and Hamming balls of that size
     cannot be enumerated. So each text has, besides its whole fingerprint, `SLOTS` fingerprints of
     small samples of shingles; a sample falls alike in similar texts with probability
-    similarity ** SAMPLE, which leaves one pair in four hundred at 0.8 unmet. Pairs that meet are
-    verified by the share of common shingles. Entries too large to pair all members are linked to
-    few of them first; where that leaves more than one component, all pairs across components that
-    may reach the similarity are verified as well.
+    similarity ** SAMPLE. Pairs that meet are verified by the share of common shingles. That links
+    most of what is similar; a prefix filter then goes over all texts, and every pair of different
+    components that may reach the similarity is verified as well, so no link is lost.
     """
     ship_package(docs.sparkSession)
     keys = [order_id().alias("id"), F.xxhash64(text_of()).alias("version")]
@@ -362,17 +376,12 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = SIMILA
         printed.groupBy("version").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("samples").alias("samples")),
         "texts",
     )
-    first = _sample_entries(texts)
-    pairs = stored(_candidates(texts, first), "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("version")).distinct().join(texts.select("version", "id"), "version")
-    links = stored(_verified(pairs, _sets_of(docs, ends, shingle, "shingle-sets"), similarity), "similar-pairs")
+    sets = stored(printed.select("version", "shingles").dropDuplicates(["version"]), "shingle-sets")
+    pairs = stored(_candidates(texts, _sample_entries(texts)), "pairs")
+    links = stored(_verified(pairs, sets, similarity), "similar-pairs")
     member = _members(texts, links)
-    rest = _rest(first, member)
-    if not rest.isEmpty():
-        sets = _sets_of(docs, rest, shingle, "rest-sets")
-        pairs = stored(_rest_pairs(rest, sets, similarity), "rest-pairs")
-        more = stored(_verified(pairs, sets, similarity), "rest-links")
-        member = _members(texts, links.unionByName(more))
+    more = stored(_verified(stored(_rest_pairs(member, sets, similarity), "rest-pairs"), sets, similarity), "rest-links")
+    member = _members(texts, links.unionByName(more))
     least = stored(member.groupBy("root").agg(F.min("id").alias("first")), "similar-firsts")
     named = stored(member.join(least, "root").select("version", "first"), "similar-names")
     return printed.select("id", "version").join(named, "version")
