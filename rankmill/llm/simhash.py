@@ -192,7 +192,8 @@ def _shared_share():
             for a, b in zip(left, right, strict=True):
                 x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                values.append(both / max(len(x) + len(y) - both, 1))
+                either = len(x) + len(y) - both
+                values.append(both / either if either else 1.0)  # texts without words are alike
             yield pd.Series(values, dtype="float64")
 
     return compute

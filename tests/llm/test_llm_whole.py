@@ -190,3 +190,9 @@ def test_similar_texts_that_share_no_sample(spark):
     assert len(rows) >= 6
     assert {r.id: r.first for r in simhash.similar_groups(table).collect()} == {k: k - k % 2 for k, _ in rows}
     assert simhash.keep_first_copies(table).count() == len(rows) / 2
+
+
+def test_texts_without_words_are_one_group(spark):
+    texts = ["", " ", None, "\n\n", "\t \r\n", "some words", "  \x0b"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in simhash.keep_first_copies(table).collect()) == [0, 5]
