@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankmill.llm import decontam, licenses, line_dedup, mixing, pii, quality, secret_scan, simhash, substring_dedup, warc
+from rankmill.llm import (
+    decontam,
+    hard_negatives,
+    licenses,
+    line_dedup,
+    mixing,
+    pii,
+    quality,
+    quality_model,
+    secret_scan,
+    simhash,
+    substring_dedup,
+    token_alignment,
+    warc,
+)
 from rankmill.llm.common import ROW, documents, sha256, span_text
 
 
@@ -76,6 +90,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = hard_negatives.scaled_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return hard_negatives.mine_hard_negatives(hard_negatives.moved_labels(vectors), F.col("id") % 100 == 0)
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokenizers(documents(spark, sf_dir), token_alignment.Vocabularies.read())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -89,5 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_quality_rules,
         op10_simhash,
+        op11_hard_negatives,
+        op12_quality_classifier,
+        op13_tokenizer_alignment,
     )
 }
