@@ -41,7 +41,8 @@ FEATURES = 2 * DIMENSIONS + 2
 SIGNS = 4  # cells of an index vector that are not zero
 REACH = 2
 BLOCK_BUCKETS = 256
-SLICE_WORDS = 2**19
+SLICE_WORDS = 2**19  # words whose neighbours are counted together
+POOL_WORDS = 2**16  # words whose vectors are held at once
 UNIT = 2**10  # a word vector of length one
 
 TRAINING_ROWS = 20_000
@@ -77,8 +78,8 @@ def _flat(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _slices(words: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Slices of bounded size: words, and the row of each."""
-    for at in range(0, len(words), SLICE_WORDS):
-        places = np.arange(at, min(at + SLICE_WORDS, len(words)))
+    for at in range(0, len(words), POOL_WORDS):
+        places = np.arange(at, min(at + POOL_WORDS, len(words)))
         yield words[places], np.searchsorted(offsets, places, "right") - 1
 
 

@@ -217,3 +217,80 @@ def mix(docs):
         taken[d] = epochs * sizes[d] + max(0, min(sizes[d], rest - ahead[s]))
         ahead[s] += sizes[d]
     return taken, target, of
+
+
+def hard_negatives(rows, k=5, low=80, high=100):
+    """(anchor, positive, rank, negative, scores) of (id, label, vector) rows; anchors are ids divisible by 100."""
+
+    def score(a, b):
+        return sum(x * y for x, y in zip(a, b, strict=False))
+
+    found = []
+    for anchor, label, vector in rows:
+        if anchor % 100:
+            continue
+        scored = sorted((-score(vector, v), i, own == label) for i, own, v in rows if i != anchor)
+        for minus, positive, _ in [s for s in scored if s[2]][:k]:
+            fits = [s for s in scored if not s[2] and -low * minus <= -100 * s[0] <= -high * minus][:k]
+            found += [(anchor, positive, n, i, -minus, -s) for n, (s, i, _) in enumerate(fits, 1)]
+    return sorted(found)
+
+
+def aligned_tokens(rows, folder):
+    """The digest rows of two tokenizers by plain loops over tokens."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a_side = Tokenizer.from_file(f"{folder}/byte_bpe_50k.json")
+    a_side.encode_special_tokens = True
+    b_side = sentencepiece.SentencePieceProcessor(model_file=f"{folder}/piece_bpe_32k.model")
+    signs, free = {}, 256
+    for byte in range(256):
+        shown = 33 <= byte < 127 or 161 <= byte < 173 or byte >= 174
+        signs[chr(byte if shown else free)] = byte
+        free += not shown
+    a_bytes = {i: w.encode() if w == "<|endoftext|>" else bytes(signs[c] for c in w) for w, i in a_side.get_vocab().items()}
+
+    def b_bytes(i):
+        piece = b_side.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if b_side.is_byte(i) else piece.replace("\u2581", " ").encode()
+
+    counts, docs = Counter(), []
+    for doc_id, text in rows:
+        docs.append((doc_id, None))
+        if not text:
+            continue
+        a, b = a_side.encode(" " + text, add_special_tokens=False).ids, b_side.encode(text)
+        plain = (" " + text).encode()
+        if b"".join(a_bytes[i] for i in a) != plain or b"".join(map(b_bytes, b)) != plain:
+            continue
+        groups, left, right, end_a, end_b = [], [], [], 0, 0
+        rest_a, rest_b = list(reversed(a)), list(reversed(b))
+        while rest_a or rest_b:
+            if end_a <= end_b and rest_a:
+                left.append(rest_a.pop())
+                end_a += len(a_bytes[left[-1]])
+            else:
+                right.append(rest_b.pop())
+                end_b += len(b_bytes(right[-1]))
+            if end_a == end_b:
+                groups.append((left, right))
+                left, right = [], []
+        links = Counter((x, y) for g, h in groups for x in g for y in h)
+        counts.update(links.keys())
+        docs[-1] = doc_id, (len(a), len(b), groups, links)
+    best = Counter()
+    for (x, _), n in counts.items():
+        best[x] = max(best[x], n)
+    found = []
+    for doc_id, entry in docs:
+        if entry is None:
+            found.append((doc_id, 0, 0, 0, 0, 0, 0, ""))
+            continue
+        n_a, n_b, groups, links = entry
+        text = ";".join(",".join(map(str, g)) + "|" + ",".join(map(str, h)) for g, h in groups)
+        top = sum(n for pair, n in links.items() if counts[pair] == best[pair[0]])
+        total = sum(n * counts[pair] for pair, n in links.items())
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        found.append((doc_id, n_a, n_b, len(groups), sum(links.values()), top, total, digest))
+    return found
