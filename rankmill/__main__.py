@@ -21,9 +21,12 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument("--date", required=True, help="snapshot date, YYYY-MM-DD")
         return sub
 
+    land = job("land", "land the pages of the master lists as the snapshots of a day")
+    land.add_argument("pages", help="Parquet folder of (source, page_no, payload)")
     load = job("load", "load landed snapshots into the raw tables")
-    load.add_argument("--source", default="all", choices=["all", *SNAPSHOTS])
-    run = job("daily", "load, clean, build the marts, check")
+    load.add_argument("sources", nargs="*", metavar="source", help=f"of {', '.join(SNAPSHOTS)}; none means all master lists")
+    run = job("daily", "land if pages are given, load, clean, build the marts, check, publish")
+    run.add_argument("--pages", help="Parquet folder of (source, page_no, payload) to land first")
     run.add_argument("--catalog", action="store_true", help="also load the product catalog")
     run.add_argument("--events-since", help="refresh the cleaned events from this date on (default: what changed)")
     run.add_argument("--rebuild", action="store_true", help="clean all events again")
@@ -40,22 +43,31 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> int:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if unknown := set(getattr(args, "sources", ())) - set(SNAPSHOTS):
+        parser.error(f"unknown source: {', '.join(sorted(unknown))}")
     spark, lake = build_session(), lakes.Lake(args.root.rstrip("/"))
-    if args.job == "load":
-        loaded = lakes.load_sources(spark, lake, args.date, args.source)
+    if args.job == "land":
+        for name, rows in daily.land_day(spark, lake, spark.read.parquet(args.pages), args.date).items():
+            print(f"{lake.snapshot(name, args.date)}: {rows} rows")
+    elif args.job == "load":
+        loaded = {}
+        for source in args.sources or ["all"]:
+            loaded |= lakes.load_sources(spark, lake, args.date, source)
         for name, rows in loaded.items():
             print(f"{lakes.partition_address(name, args.date)}: {rows} rows")
         print(f"total: {sum(loaded.values())} rows")
     elif args.job == "daily":
         run = daily.run_daily(
-            spark, lake, args.date, args.catalog, args.events_since, as_of=args.as_of, rebuild=args.rebuild
-        )
+            spark, lake, args.date, args.catalog, args.events_since, as_of=args.as_of, rebuild=args.rebuild,
+            pages=spark.read.parquet(args.pages) if args.pages else None,
+        )
         print(f"loaded {run.total_rows} rows, all checks passed")
     elif args.job == "origin-report":
         daily.regulated_origin_report(spark, lake, args.date, preview=20, single_file=args.single_file)
     elif args.job == "recommend":
-        mart = spark.read.parquet(lake.table("recommendations", daily.MARTS))
+        mart = daily.read_mart(spark, lake, daily.RECOMMENDATIONS)
         for row in serving.lookup(mart, args.segment, args.limit):
             print(row["rank"], row.product_id, row.product_name, row.score, sep="\t")
     elif args.job == "retention":

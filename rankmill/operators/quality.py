@@ -59,10 +59,11 @@ def violating(df: DataFrame, check: Check) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("copies"))
             .where("copies > 1")
         )
-    return df.where(_breaks(check))
+    return df.where(breaks(check))
 
 
-def _breaks(check: Check) -> Column:
+def breaks(check: Check) -> Column:
+    """Whether a row violates a check of single rows."""
     column = F.col(check.column)
     if check.kind == NOT_NULL:
         return column.isNull()
@@ -80,12 +81,12 @@ def _count_row(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     names = [f"v{i}" for i in range(len(checks))]
     keyed = next((c for c in checks if c.kind == UNIQUE), None)
     if keyed is None:
-        return df.agg(*[F.count_if(_breaks(c)).alias(n) for n, c in zip(names, checks, strict=True)])
+        return df.agg(*[F.count_if(breaks(c)).alias(n) for n, c in zip(names, checks, strict=True)])
     key = F.col(keyed.column)
     # A NOT NULL check of the key itself falls out of the per-key counts.
     on_key = [c.kind == NOT_NULL and c.column == keyed.column for c in checks]
     carried = [
-        F.count_if(_breaks(c)).alias(n)
+        F.count_if(breaks(c)).alias(n)
         for n, c, k in zip(names, checks, on_key, strict=True)
         if c.kind != UNIQUE and not k
     ]
@@ -102,6 +103,16 @@ def _count_row(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return per_key.agg(*totals)
 
 
+def report_line(check: Check, violations: Column) -> Column:
+    """The report's line of a check, as a struct."""
+    return F.struct(
+        F.lit(check.model).alias("model"),
+        F.lit(check.column).alias("column_name"),
+        F.lit(check.kind).alias("check_name"),
+        violations.alias("violations"),
+    )
+
+
 def quality_report(models: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> DataFrame:
     """`(model, column_name, check_name, violations)` for each check on a given model.
 
@@ -113,17 +124,7 @@ def quality_report(models: Mapping[str, DataFrame], checks: Sequence[Check] = CH
         own = [c for c in checks if c.model == model]
         if len({c.column for c in own if c.kind == UNIQUE}) > 1:
             raise ValueError(f"{model}: one uniqueness column per model is supported")
-        lines = F.array(
-            *[
-                F.struct(
-                    F.lit(model).alias("model"),
-                    F.lit(c.column).alias("column_name"),
-                    F.lit(c.kind).alias("check_name"),
-                    F.col(f"v{i}").alias("violations"),
-                )
-                for i, c in enumerate(own)
-            ]
-        )
+        lines = F.array(*[report_line(c, F.col(f"v{i}")) for i, c in enumerate(own)])
         parts.append(_count_row(models[model], own).select(F.inline(lines)))
     return reduce(DataFrame.unionAll, parts)
 

@@ -1,24 +1,36 @@
-"""The daily run: load, clean, build marts, check."""
+"""The daily run: land, load, clean, build marts, check, publish."""
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankmill.operators.quality import enforce, quality_report
 from rankmill.plans.analysis import regulated_origin
+from rankmill.plans.checks import check_history
+from rankmill.plans.history import (
+    CLEAN_EVENTS,
+    CLEAN_SCHEMA,
+    apply_changes,
+    changed_dates,
+    clean_events,
+    refresh_activity,
+    refresh_events,
+    refresh_per_day,
+    remember_refresh,
+)
 from rankmill.plans.marts import (
     Weights,
-    daily_activity,
-    events_daily,
     rank_products,
     scores_from_activity,
 )
 from rankmill.plans.staging import (
-    stg_events,
     stg_ingredient,
     stg_manufacturer,
     stg_products,
@@ -29,30 +41,25 @@ from rankmill.sources.lake import (
     EmptySnapshotError,
     Lake,
     as_date,
-    drop_partitions,
     event_dates,
-    event_tables,
     landed_files,
+    list_folder,
     load_snapshot,
-    load_sources,
-    partition_files,
-    path_exists,
+    publish_tables,
     read_events,
+    read_published,
     read_raw_date,
     read_snapshot,
     write_report,
-    write_table,
 )
+from rankmill.sources.notes import read_note, write_note
+from rankmill.sources.pages import land_pages
+from rankmill.sources.schemas import SNAPSHOTS, SOURCES
 
-STAGING, MARTS = "staging", "marts"
-CLEAN_EVENTS, ACTIVITY, REFRESHED = "stg_events", "segment_activity", "event_refresh"
-REFRESHED_SCHEMA = "dt date, files string"
+__all__ = ["changed_dates", "refresh_activity", "refresh_events", "run_daily", "staging_views"]
 
-# Columns of the cleaned event table.
-CLEAN_SCHEMA = (
-    "event_id string, event_type string, event_ts timestamp, user_id string, skin_type string, "
-    "product_id string, session_id string, rating bigint, publish_time timestamp, dt date"
-)
+STAGING, MARTS = "staging", "marts"
+RECOMMENDATIONS, PER_DAY, REPORT = "recommendations", "dashboard_events_daily", "quality_report"
 
 _SNAPSHOT_MODELS = {
     "ingredient": stg_ingredient,
@@ -62,13 +69,18 @@ _SNAPSHOT_MODELS = {
 }
 
 
+class StageError(RuntimeError):
+    """A stage of the run failed; the message names the stage and each source that failed in it."""
+
+
 @dataclass(frozen=True)
 class DailyRun:
-    """What a run did: rows loaded per source, the models, and the check report."""
+    """What a run did: rows loaded per source, the models, the check report, stages it found done."""
 
     loaded: dict[str, int]
     models: dict[str, DataFrame]
     report: DataFrame
+    skipped: tuple[str, ...] = ()
 
     @property
     def total_rows(self) -> int:
@@ -103,124 +115,112 @@ def staging_views(spark: SparkSession, lake: Lake, as_of: dt.date | str | None =
     return views
 
 
-def refresh_events(spark: SparkSession, lake: Lake, since: dt.date | str | None = None) -> DataFrame:
-    """Bring the deduplicated event table up to date from the partition `since` on.
-
-    Without `since` (or without a table) everything is rebuilt. With it, only messages
-    from that publication date on are parsed and deduplicated, and ids that the older
-    partitions already hold are dropped: an older partition holds the earlier
-    publication, so this equals the full rebuild. Of the history only the id column is
-    read. All partitions from `since` on are replaced, and dates whose messages are gone
-    from the raw table (retention) leave the cleaned table as well. If no landed message
-    is found at all while the cleaned table has dates, the refresh is refused.
-
-    `since` has to reach back to the earliest publication date that received messages
-    after the last refresh; `changed_since` finds it.
-    """
-    use_utc(spark)
-    path = lake.table(CLEAN_EVENTS, STAGING)
-    landed = set(event_dates(spark, lake))
-    held_dates = lake.dates(spark, path)
-    if held_dates and not landed:
-        raise EmptySnapshotError(f"no landed events below {' or '.join(event_tables(lake))}; the cleaned table stays as it is")
-    expired = [d for d in held_dates if d not in landed]
-    known = [d for d in held_dates if d in landed]
-    since = as_date(since) if since is not None and known else None
-    raw = read_events(spark, lake, since)
-    clean = stg_events(raw).withColumn("dt", F.to_date("publish_time"))
-    if since is not None:
-        history = [d for d in known if d < since]
-        if history:
-            folders = [f"{path}/dt={d.isoformat()}" for d in history]
-            held = spark.read.schema("event_id string").parquet(*folders)
-            # First the few old ids that are new messages' ids, then the anti join: the small
-            # side of the semi join prunes the history, which a direct anti join would shuffle.
-            repeated = held.join(clean.select("event_id"), "event_id", "left_semi")
-            clean = clean.join(repeated, "event_id", "left_anti")
-    rebuilt = [d for d in known if since is None or d >= since]
-    before = partition_files(spark, path, rebuilt)
-    (
-        clean.hint("rebalance", "dt")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(path)
-    )
-    # The overwrite leaves a date alone that has no rows any more, which happens when late
-    # copies move all its events to an earlier date. Its files are still the old ones.
-    after = partition_files(spark, path, rebuilt)
-    # Whatever goes, goes after the new rows are safe.
-    drop_partitions(spark, path, expired + [d for d in rebuilt if after[d] == before[d]])
-    return spark.read.schema(CLEAN_SCHEMA).parquet(path).drop("dt")
-
-
 def changed_since(spark: SparkSession, lake: Lake, landed: dict[dt.date, str]) -> dt.date | None:
     """The first publication date whose files differ from those of the last complete refresh.
 
     None asks for a rebuild, as there was no refresh yet. If nothing changed, it is the newest date.
     """
-    path = lake.table(REFRESHED, STAGING)
-    if not landed or not path_exists(spark, path):
-        return None
-    seen = {row.dt: row.files for row in spark.read.schema(REFRESHED_SCHEMA).parquet(path).collect()}
-    return min((day for day, files in landed.items() if seen.get(day) != files), default=max(landed))
+    dates = changed_dates(spark, lake, landed)
+    return None if dates is None or not landed else min(dates & landed.keys(), default=max(landed))
+
 
+# -- stages -------------------------------------------------------------------------------
 
-def remember_refresh(spark: SparkSession, lake: Lake, landed: dict[dt.date, str]) -> None:
-    """Note what the tables derived from the events now cover: one row per publication date."""
-    rows = spark.createDataFrame(sorted(landed.items()), REFRESHED_SCHEMA)
-    rows.coalesce(1).write.mode("overwrite").parquet(lake.table(REFRESHED, STAGING))
 
+class StageLedger:
+    """Which stages of a day are done, and with what input; a stage whose input is the same is skipped."""
+
+    def __init__(self, spark: SparkSession, lake: Lake, day: dt.date | str):
+        self.spark, self.folder = spark, lake.run(day)
+        self.done: dict[str, dict] = read_note(spark, self.folder) or {}
+        self.skipped: list[str] = []
+
+    def rows(self, stage: str, digest: str) -> int | None:
+        """Rows of a stage that was done with this input, else None."""
+        entry = self.done.get(stage)
+        if entry and entry["input"] == digest:
+            self.skipped.append(stage)
+            return entry["rows"]
+        return None
+
+    def add(self, finished: Mapping[str, tuple[str, int]]) -> None:
+        if finished:
+            self.done |= {stage: {"input": digest, "rows": rows} for stage, (digest, rows) in finished.items()}
+            write_note(self.spark, self.folder, self.done)
 
-def refresh_activity(spark: SparkSession, lake: Lake, since: dt.date | str | None = None) -> DataFrame:
-    """Daily sums per segment and product, recomputed for the cleaned days from `since` on.
 
-    Older days keep their sums, so the scores of all history cost a scan of the new days
-    and of these sums.
+def _side_by_side(
+    spark: SparkSession, ledger: StageLedger, stage: str, digests: Mapping[str, str], job: Callable[[str], int]
+) -> dict[str, int]:
+    """Run a stage for all sources that are not done; rows per source.
+
+    Every source is tried. What succeeded is noted before the failed ones are raised by name.
     """
-    clean, path = lake.table(CLEAN_EVENTS, STAGING), lake.table(ACTIVITY, STAGING)
-    days = set(lake.dates(spark, clean))
-    old = lake.dates(spark, path)
-    if old and not days:
-        raise EmptySnapshotError(f"no cleaned events below {clean}; the daily sums stay as they are")
-    drop_partitions(spark, path, [d for d in old if d not in days])
-    events = spark.read.schema(CLEAN_SCHEMA).parquet(clean)
-    if since is not None and lake.dates(spark, path):
-        events = events.where(F.col("dt").isNull() | (F.col("dt") >= F.lit(as_date(since))))
-    activity = daily_activity(events)
-    (
-        activity.hint("rebalance", "dt")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(path)
+    rows = {name: ledger.rows(f"{stage} {name}", digest) for name, digest in digests.items()}
+
+    def tried(name: str) -> int | Exception:
+        try:
+            return job(name)
+        except Exception as failure:  # reported below, with its source
+            return failure
+
+    results = run_together(spark, {n: partial(tried, n) for n, done in rows.items() if done is None})
+    ledger.add({f"{stage} {n}": (digests[n], r) for n, r in results.items() if not isinstance(r, Exception)})
+    failed = {n: r for n, r in results.items() if isinstance(r, Exception)}
+    if failed:
+        told = "; ".join(f"{name}: {failure}" for name, failure in failed.items())
+        raise StageError(f"{stage} failed for {told}") from next(iter(failed.values()))
+    return {name: results.get(name, done) for name, done in rows.items()}
+
+
+def _page_digests(pages: DataFrame, sources: Iterable[str]) -> dict[str, str]:
+    """Per source a digest of its pages that does not depend on their order."""
+    each = F.xxhash64("page_no", "payload")
+    sums = pages.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(each).alias("x"), F.sum(each.cast("decimal(38,0)")).alias("s"))
+    found = {r["source"]: f"{r['n']} {r['x']} {r['s']}" for r in sums.collect()}
+    return {name: found.get(name, "no pages") for name in sources}
+
+
+def _folder_digest(spark: SparkSession, path: str) -> str:
+    files = sorted(
+        f"{s.getPath().getName()} {s.getLen()} {s.getModificationTime()}"
+        for s in list_folder(spark, path)
+        if not s.getPath().getName().startswith(("_", "."))
     )
-    return spark.read.schema(activity.schema).parquet(path)
+    return hashlib.sha256("\n".join(files).encode()).hexdigest()
 
 
-def build_marts(
-    spark: SparkSession,
-    lake: Lake,
-    staging: dict[str, DataFrame],
-    activity: DataFrame,
-    weights: Weights = Weights(),
-) -> dict[str, DataFrame]:
-    """Rebuild both marts: ranks from the daily sums, daily activity from the events."""
+def land_day(spark: SparkSession, lake: Lake, pages: DataFrame, day: dt.date | str, partial_feeds: bool = False) -> dict[str, int]:
+    """Land the pages of all master lists as the snapshots of a day; rows per source.
 
-    def ranked() -> DataFrame:
-        scores = scores_from_activity(activity, weights)
-        return rank_products(scores, staging["stg_products"], staging["stg_regulation"])
+    A refused page, a short feed or a source without pages fails that source by name; the others
+    are landed, and a rerun with the same pages does not land them again.
+    """
+    ledger = StageLedger(spark, lake, day)
+    return _land(spark, lake, ledger, pages, day, partial_feeds)
 
-    def activity_per_day() -> DataFrame:
-        return events_daily(staging[CLEAN_EVENTS])
 
-    marts = {"recommendations": ranked, "dashboard_events_daily": activity_per_day}
-    return run_together(
-        spark,
-        {name: lambda n=name, m=model: write_table(m(), lake, n, MARTS) for name, model in marts.items()},
+def _land(spark, lake: Lake, ledger: StageLedger, pages: DataFrame, day, partial_feeds: bool) -> dict[str, int]:
+    named = [name for name in SNAPSHOTS if name in SOURCES]
+    return _side_by_side(
+        spark, ledger, "land", _page_digests(pages, named), lambda name: land_pages(lake, pages, name, day, partial_feeds)
     )
 
 
+def _load(spark: SparkSession, lake: Lake, ledger: StageLedger, day, catalog: bool) -> dict[str, int]:
+    named = [*SOURCES, *(["products"] if catalog else [])]
+    digests = {name: _folder_digest(spark, lake.snapshot(name, day)) for name in named}
+    return _side_by_side(spark, ledger, "load", digests, lambda name: load_snapshot(spark, lake, name, day))
+
+
+# -- marts --------------------------------------------------------------------------------
+
+
+def read_mart(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    """A mart as it was published last."""
+    return read_published(spark, lake, name, MARTS)
+
+
 def run_daily(
     spark: SparkSession,
     lake: Lake,
@@ -231,32 +231,56 @@ def run_daily(
     check: bool = True,
     as_of: dt.date | str | None = None,
     rebuild: bool = False,
+    pages: DataFrame | None = None,
 ) -> DailyRun:
-    """Load one day's landed snapshots, rebuild the models, run the checks.
+    """Land one day's pages, load them, bring the models up to date, check them, publish the marts.
 
-    A stage that fails stops the later ones. The date is explicit, so the load of any day can
+    Without `pages` the landed snapshots of the day are taken. A stage that fails stops the later ones;
+    a rerun skips what is done with the same input. The date is explicit, so the load of any day can
     be run again. The models take the newest lists that are loaded, which may be later than
     `day`; `as_of` takes the newest ones up to that date instead. The catalog has its own
     rhythm and is loaded on request.
 
-    Events are refreshed from the first publication date that received files since the last
-    run, unless `events_since` names another date; `rebuild` starts over.
+    Of the events only publication dates whose files changed since the last run are read, unless
+    `events_since` names a date to start from; `rebuild` starts over. Marts and report are written
+    aside and published together once the checks hold; readers see the last version until then.
     """
     use_utc(spark)
-    loaded = load_sources(spark, lake, day)
-    if catalog:
-        loaded["products"] = load_snapshot(spark, lake, "products", day)
+    ledger = StageLedger(spark, lake, day)
+    if pages is not None:
+        _land(spark, lake, ledger, pages, day, False)
+    loaded = _load(spark, lake, ledger, day, catalog)
     staging = staging_views(spark, lake, as_of)
     if staging["stg_products"].isEmpty():
         raise EmptySnapshotError("the product catalog is empty")
     # listed before it is read: files that land in between are read again by the next run
     landed = landed_files(read_events(spark, lake))
-    since = None if rebuild else events_since or changed_since(spark, lake, landed)
-    staging[CLEAN_EVENTS] = refresh_events(spark, lake, since)
-    activity = refresh_activity(spark, lake, since)
+    changed = None if rebuild else changed_dates(spark, lake, landed)
+    if events_since and not rebuild:
+        changed = {d for d in event_dates(spark, lake) if d >= as_date(events_since)} | (changed or set())
+    changes = apply_changes(spark, lake, changed)
+    dates, happened = (None, None) if changed is None else (changes.published, changes.happened)
+    derived = run_together(
+        spark,
+        {
+            "activity": lambda: refresh_activity(spark, lake, dates=dates),
+            "per_day": lambda: refresh_per_day(spark, lake, dates, happened),
+            "checks": lambda: check_history(spark, lake, CLEAN_EVENTS, CLEAN_SCHEMA),
+        },
+    )
     remember_refresh(spark, lake, landed)
-    models = {**staging, **build_marts(spark, lake, staging, activity, weights)}
-    report = write_table(quality_report(models), lake, "quality_report", MARTS)
-    if check:
-        enforce(report)
-    return DailyRun(loaded, models, report)
+
+    scores = scores_from_activity(derived["activity"], weights)
+    ranked = rank_products(scores, staging["stg_products"], staging["stg_regulation"])
+    report: list[DataFrame] = []
+
+    def audit(marts: Mapping[str, DataFrame]) -> None:
+        lines = quality_report({**staging, **marts}).unionAll(derived["checks"])
+        report.append(spark.createDataFrame(lines.collect(), lines.schema))  # a line per check
+        if check:
+            enforce(report[0])
+
+    marts = publish_tables(spark, lake, MARTS, {RECOMMENDATIONS: ranked, PER_DAY: derived["per_day"]}, audit)
+    return DailyRun(
+        loaded, {**staging, CLEAN_EVENTS: clean_events(spark, lake).drop("dt"), **marts}, report[0], tuple(ledger.skipped)
+    )

@@ -2,7 +2,12 @@
 
     {root}/raw/{source}/dt=YYYY-MM-DD/          landed snapshots, JSON lines
     {root}/warehouse/{layer}/{table}/[dt=...]   Parquet tables
+    {root}/warehouse/{layer}/versions/{id}/     tables that are rebuilt as a whole, published by a note
     {root}/labs/{report}/dt=YYYY-MM-DD/         one-off reports
+    {root}/runs/dt=YYYY-MM-DD/                  which stages of a day's run are done
+
+A date of a snapshot table is loaded aside, audited and then moved into place; `_staged` and
+`_replaced` below a table hold what is on its way in or out, and Spark does not read them.
 """
 
 from __future__ import annotations
@@ -10,13 +15,16 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import re
+import uuid
+from collections.abc import Callable, Collection, Iterable, Mapping
 from dataclasses import dataclass
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rankmill.session import run_together
+from rankmill.sources.notes import note_number, read_note, write_note
 from rankmill.sources.schemas import (
     EVENT_MESSAGE,
     EVENTS,
@@ -31,6 +39,11 @@ RETENTION_DAYS = 90
 # Fixed value: the folder Spark writes rows without a partition date to.
 NO_DATE = "dt=__HIVE_DEFAULT_PARTITION__"
 
+STAGED, REPLACED = "_staged", "_replaced"
+KEPT_VERSIONS = 3
+
+Audit = Callable[[DataFrame], None]
+
 
 class EmptySnapshotError(RuntimeError):
     """A snapshot without rows is refused: it would hide a failed pull downstream."""
@@ -50,15 +63,42 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
+def list_folder(spark: SparkSession, path: str) -> list:
+    """File statuses of a folder; none if it is not there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return list(fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    names = [status.getPath().getName() for status in list_folder(spark, path)]
     return [name for name in names if name.startswith("dt=")]
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(new.getParent())
+    if fs.exists(new) or not fs.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def date_folder(day: dt.date | None) -> str:
+    return NO_DATE if day is None else f"dt={day.isoformat()}"
+
+
+def in_dates(dates: Iterable[dt.date | None], column: str = "dt") -> Column:
+    """Rows of the given partition dates; None stands for rows without one."""
+    known = sorted(d for d in set(dates) if d is not None)
+    inside = F.col(column).isin(known) if known else F.lit(False)
+    return F.col(column).isNull() | inside if None in set(dates) else inside
+
+
 @dataclass(frozen=True)
 class Lake:
     """Paths of one lake. A named layer is used as it is, no layer means the default."""
@@ -78,6 +118,12 @@ class Lake:
     def report(self, name: str, day: dt.date | str) -> str:
         return f"{self.root}/labs/{name}/dt={as_date(day).isoformat()}"
 
+    def version(self, name: str, version: str, layer: str) -> str:
+        return f"{self.root}/warehouse/{layer}/versions/{version}/{name}"
+
+    def run(self, day: dt.date | str) -> str:
+        return f"{self.root}/runs/dt={as_date(day).isoformat()}"
+
     def dates(self, spark: SparkSession, path: str) -> list[dt.date]:
         """Partition dates of a table, from one directory listing (no file is opened)."""
         names = [name for name in _folders(spark, path) if name != NO_DATE]
@@ -100,23 +146,60 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def _replace_partition(df: DataFrame, path: str, day: dt.date | str, fmt: str, label: str) -> int:
+def _replace_partition(
+    df: DataFrame, path: str, day: dt.date | str, fmt: str, label: str, audit: Audit | None = None
+) -> int:
     """Replace exactly one date of a partitioned table; return the rows written.
 
-    An empty frame is refused first, since a dynamic overwrite would keep the old rows.
+    The rows are written aside and audited there. Only then does their folder take the place of the old
+    one, which is moved away first and comes back if the move fails. An empty frame, a failed
+    write or audit leaves the date as it was.
     """
-    if df.isEmpty():
-        raise EmptySnapshotError(f"[{label}] 0 rows for dt={day}, nothing written")
-    counted, seen = _counted(df.withColumn("dt", F.lit(as_date(day))), f"{label} rows")
-    (
-        counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("ignoreNullFields", "false")
-        .partitionBy("dt")
-        .format(fmt)
-        .save(path)
-    )
-    return seen.get["rows"]
+    spark, day = df.sparkSession, as_date(day)
+    restore_partitions(spark, path, day)
+    aside = f"{path}/{STAGED}/{uuid.uuid4().hex}"
+    counted, seen = _counted(df, f"{label} rows")
+    try:
+        counted.write.option("ignoreNullFields", "false").format(fmt).save(aside)
+        rows = seen.get["rows"]
+        if not rows:
+            raise EmptySnapshotError(f"[{label}] 0 rows for dt={day}, nothing written")
+        if audit:
+            audit(spark.read.schema(df.schema).format(fmt).load(aside))
+        _publish_partition(spark, aside, path, day)
+    finally:
+        _remove(spark, aside)
+    return rows
+
+
+def _publish_partition(spark: SparkSession, aside: str, path: str, day: dt.date) -> None:
+    live, away = f"{path}/{date_folder(day)}", f"{path}/{REPLACED}/{date_folder(day)}"
+    if path_exists(spark, live):
+        _move(spark, live, away)
+    try:
+        _move(spark, aside, live)
+    except Exception:
+        restore_partitions(spark, path, day)
+        raise
+    _remove(spark, away)
+
+
+def restore_partitions(spark: SparkSession, path: str, day: dt.date | None = None) -> list[str]:
+    """Bring back dates that a failed replacement moved away and did not replace: one date, or all.
+
+    A load does this for its own date first. Do not restore all while other loads of the table run.
+    """
+    restored = []
+    for name in _folders(spark, f"{path}/{REPLACED}"):
+        if day is not None and name != date_folder(day):
+            continue
+        away = f"{path}/{REPLACED}/{name}"
+        if path_exists(spark, f"{path}/{name}"):
+            _remove(spark, away)
+        else:
+            _move(spark, away, f"{path}/{name}")
+            restored.append(name)
+    return restored
 
 
 def write_snapshot(lake: Lake, rows: DataFrame, source: str, day: dt.date | str) -> int:
@@ -145,9 +228,13 @@ def read_snapshot(
 # -- raw tables ---------------------------------------------------------------------------
 
 
-def load_snapshot(spark: SparkSession, lake: Lake, source: str, day: dt.date | str) -> int:
+def load_snapshot(
+    spark: SparkSession, lake: Lake, source: str, day: dt.date | str, audit: Audit | None = None
+) -> int:
     """Load a landed snapshot into the raw table, replacing only that date.
 
+    `audit` gets the rows as they will be read and raises if they must not replace the old ones.
+
     Fields beyond the known columns are kept as JSON text in `rest`. A line that is no
     JSON object, or whose value does not fit its column, fails the load as a whole.
     """
@@ -159,7 +246,7 @@ def load_snapshot(spark: SparkSession, lake: Lake, source: str, day: dt.date | s
         F.from_json("value", schema, {"mode": "FAILFAST"}).alias("row"),
         F.when(F.size(other) > 0, F.to_json(other)).alias("rest"),
     ).select("row.*", "rest")
-    return _replace_partition(landed, lake.table(source, "raw"), day, "parquet", source)
+    return _replace_partition(landed, lake.table(source, "raw"), day, "parquet", source, audit)
 
 
 def load_sources(spark: SparkSession, lake: Lake, day: dt.date | str, source: str = "all") -> dict[str, int]:
@@ -193,8 +280,13 @@ def event_dates(spark: SparkSession, lake: Lake) -> list[dt.date]:
     return sorted({day for path in event_tables(lake) for day in lake.dates(spark, path)})
 
 
-def read_events(spark: SparkSession, lake: Lake, since: dt.date | str | None = None) -> DataFrame:
-    """Landed event messages, optionally from the partition `since` on.
+def read_events(
+    spark: SparkSession,
+    lake: Lake,
+    since: dt.date | str | None = None,
+    dates: Collection[dt.date | None] | None = None,
+) -> DataFrame:
+    """Landed event messages, optionally from the partition `since` on or of some dates only.
 
     A streamed table is read through its commit log, so files of a batch that has not
     finished are not seen, and this can run at any time beside the stream. The log may
@@ -210,6 +302,8 @@ def read_events(spark: SparkSession, lake: Lake, since: dt.date | str | None = N
         part = spark.read.schema(schema).parquet(path)
         if wanted:
             part = part.where(F.col("dt").isNull() | (F.col("dt") >= F.lit(max(wanted))))
+        if dates is not None:
+            part = part.where(in_dates([*dates, None]))
         found.append(part)
     return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
 
@@ -245,6 +339,56 @@ def write_table(df: DataFrame, lake: Lake, name: str, layer: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def publish_tables(
+    spark: SparkSession,
+    lake: Lake,
+    layer: str,
+    tables: Mapping[str, DataFrame],
+    audit: Callable[[Mapping[str, DataFrame]], None] | None = None,
+    note: Mapping[str, str] | None = None,
+) -> dict[str, DataFrame]:
+    """Write a new version of all tables, audit it, and let readers switch to it at once.
+
+    Readers follow a note that names the version. Until it is written they see the last version as it
+    was, also if a write or the audit fails. The last few versions stay for readers that have begun.
+    """
+    folder, version = lake.table("published", layer), uuid.uuid4().hex
+    number = note_number(spark, folder)
+
+    def written(name: str) -> DataFrame:
+        path = lake.version(name, version, layer)
+        tables[name].write.parquet(path)
+        return spark.read.schema(tables[name].schema).parquet(path)
+
+    try:
+        result = run_together(spark, {name: partial(written, name) for name in tables})
+        if audit:
+            audit(result)
+        before = read_note(spark, folder) or {"versions": []}
+        kept = [version, *before["versions"]][:KEPT_VERSIONS]
+        write_note(spark, folder, {"versions": kept, "tables": sorted(tables), **(note or {})}, after=number)
+    except Exception:
+        _remove(spark, lake.version("", version, layer).rstrip("/"))
+        raise
+    for old in before["versions"]:
+        if old not in kept:
+            _remove(spark, lake.version("", old, layer).rstrip("/"))
+    return result
+
+
+def published(spark: SparkSession, lake: Lake, layer: str) -> dict | None:
+    """The note of the version that readers follow."""
+    return read_note(spark, lake.table("published", layer))
+
+
+def read_published(spark: SparkSession, lake: Lake, name: str, layer: str) -> DataFrame:
+    """A table of the published version."""
+    note = published(spark, lake, layer)
+    if not note:
+        raise EmptySnapshotError(f"nothing was published in {layer}")
+    return spark.read.parquet(lake.version(name, note["versions"][0], layer))
+
+
 def write_report(
     df: DataFrame, lake: Lake, name: str, day: dt.date | str, single_file: bool = False, preview: int = 0
 ) -> DataFrame:
@@ -288,20 +432,43 @@ def expired_dates(
     return [d for d in dates[:-1] if d < cutoff]
 
 
-def partition_files(spark: SparkSession, path: str, dates: list[dt.date]) -> dict[dt.date, frozenset[str]]:
+def partition_files(
+    spark: SparkSession, path: str, dates: Iterable[dt.date | None]
+) -> dict[dt.date | None, frozenset[str]]:
     """Names of the data files of the given dates."""
-    files = {}
-    for day in dates:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dt={day.isoformat()}")
-        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        found = fs.listStatus(folder) if fs.exists(folder) else []
-        files[day] = frozenset(status.getPath().getName() for status in found)
-    return files
+    return {
+        day: frozenset(status.getPath().getName() for status in list_folder(spark, f"{path}/{date_folder(day)}"))
+        for day in dates
+    }
+
+
+def held_dates(spark: SparkSession, lake: Lake, path: str) -> set[dt.date | None]:
+    """Partition dates of a table, None among them if it has rows without a date."""
+    return {*lake.dates(spark, path), *([None] if NO_DATE in _folders(spark, path) else [])}
+
+
+def replace_dates(df: DataFrame, path: str, dates: Collection[dt.date | None]) -> None:
+    """Put the rows of `df` in place of those dates it has, and drop the given ones it has no rows of.
+
+    `df` may be derived from the table itself; dates that are neither given nor in it stay. The
+    overwrite leaves a date alone that has no rows any more: its files are still the old ones, and they
+    go after the new rows are safe.
+    """
+    spark = df.sparkSession
+    before = partition_files(spark, path, dates)
+    (
+        df.hint("rebalance", "dt")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt")
+        .parquet(path)
+    )
+    after = partition_files(spark, path, dates)
+    drop_partitions(spark, path, [d for d in dates if after[d] and after[d] == before[d]])
 
 
-def drop_partitions(spark: SparkSession, path: str, dates: list[dt.date]) -> None:
+def drop_partitions(spark: SparkSession, path: str, dates: Iterable[dt.date | None]) -> None:
     """Delete the given date folders of a table (only on explicit request)."""
     for day in dates:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dt={day.isoformat()}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _remove(spark, f"{path}/{date_folder(day)}")
 

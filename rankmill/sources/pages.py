@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,6 +140,40 @@ def page_completeness(pages: DataFrame) -> DataFrame:
     )
 
 
+def missing_pages(pages: DataFrame, first_page: int | None = None) -> DataFrame:
+    """One row per run of missing pages: `(source, kind, first_page, last_page, pages)`.
+
+    `refused` pages came with an error code; `absent` ones did not come at all, between the pages that did
+    or after them, as far as the announced total asks for pages of the largest size seen. Numbering starts
+    at `first_page`, by default at the smallest number of the source. Pages without a number are left
+    out. The page numbers of a source, not its payloads, are sorted together.
+    """
+    good = F.col("code").isin(*OK_CODES)
+    seen = parse_pages(pages.where("page_no is not null")).select(
+        "source", F.col("page_no").cast("bigint").alias("page"), good.alias("good"), "total", F.size("rows").alias("size")
+    )
+    starts = F.min("page") if first_page is None else F.lit(first_page).cast("bigint")
+    feeds = seen.groupBy("source").agg(
+        starts.alias("start"), F.max("page").alias("end"), F.max(F.when(F.col("good"), F.col("total"))).alias("total"), F.max("size").alias("size")
+    )
+    due = F.when(F.col("size") > 0, F.col("start") + F.ceil(F.col("total") / F.col("size")) - 1)
+    feeds = feeds.select("source", "start", "end", F.greatest("end", F.coalesce(due, "end")).alias("due"))
+
+    by_page = Window.partitionBy("source").orderBy("page")
+    numbered = seen.select("source", "page", "good", F.lag("page").over(by_page).alias("before"))
+    inner = numbered.join(feeds, "source").select(
+        "source", (F.coalesce("before", F.col("start") - 1) + 1).alias("first_page"), (F.col("page") - 1).alias("last_page")
+    )
+    after = feeds.select("source", (F.col("end") + 1).alias("first_page"), F.col("due").alias("last_page"))
+    absent = inner.unionByName(after).where("first_page <= last_page").select("source", F.lit("absent").alias("kind"), "first_page", "last_page")
+
+    # neighbours keep their distance to their place in the order
+    refused = seen.where("not good").withColumn("island", F.col("page") - F.row_number().over(by_page))
+    refused = refused.groupBy("source", "island").agg(F.min("page").alias("first_page"), F.max("page").alias("last_page"))
+    refused = refused.select("source", F.lit("refused").alias("kind"), "first_page", "last_page")
+    return absent.unionByName(refused).withColumn("pages", F.col("last_page") - F.col("first_page") + 1)
+
+
 def land_pages(lake: Lake, pages: DataFrame, source: str, day: dt.date | str, partial: bool = False) -> int:
     """Turn the pages of one source into its dated snapshot: every row as it is, with all its fields.
 

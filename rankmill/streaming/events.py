@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rankmill.plans import history
 from rankmill.plans.staging import parsed_events
 from rankmill.sources.lake import RETENTION_DAYS, Lake
+from rankmill.sources.notes import read_note, write_note
 from rankmill.sources.schemas import EVENT_MESSAGE, STREAMED
 
+MERGED = history.Tables("merged_events", "merged_events_repeats")
+
 
 def message_files(
     spark: SparkSession, path: str, fmt: str = "json", files_per_batch: int = 1000, max_age: str = "3650d"
@@ -71,6 +75,32 @@ def land_events(
     return timed.start(lake.table(STREAMED, "raw"))
 
 
+def merge_stream(messages: DataFrame, lake: Lake, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """One row per event id over the whole history, kept up to date batch by batch.
+
+    The table equals the batch model over all messages: copies count however far apart they arrive, as
+    there is no horizon and no state beside the tables. A batch that is delivered again after a failure
+    merges the same rows; one that the ledger lists as done is passed over. Read it with `merged_events`.
+    """
+    ledger = lake.table("merged_batches", history.STAGING)
+
+    def merge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        done = read_note(spark, ledger) or {"checkpoint": checkpoint, "batch": -1}
+        if done["checkpoint"] == checkpoint and number <= done["batch"]:
+            return
+        history.merge_parsed(spark, lake, parsed_events(batch), MERGED)
+        write_note(spark, ledger, {"checkpoint": checkpoint, "batch": number})
+
+    writer = messages.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def merged_events(spark: SparkSession, lake: Lake) -> DataFrame:
+    """What `merge_stream` has merged so far."""
+    return MERGED.read(spark, lake)[0].drop("dt")
+
+
 def dedup_stream(messages: DataFrame, horizon: str = "1 hour") -> DataFrame:
     """Parsed events, one per id, for copies that arrive within `horizon` of each other.
 

@@ -10,7 +10,7 @@ def test_jobs_from_the_command_line(spark, lake, capsys):
     land_day(spark, lake, "2026-01-01")
     land_events(spark, lake, [message(payload("a"))])
     root = ["--root", lake.root]
-    assert main(["load", *root, "--date", DAY, "--source", "manufacturer"]) == 0
+    assert main(["load", *root, "--date", DAY, "manufacturer"]) == 0
     assert "manufacturer$20260707: 2 rows" in capsys.readouterr().out
     main(["daily", *root, "--date", DAY, "--catalog"])
     assert "loaded 6 rows" in capsys.readouterr().out
@@ -26,4 +26,4 @@ def test_jobs_from_the_command_line(spark, lake, capsys):
     with pytest.raises(ValueError):
         main(["recommend", *root, "robot"])
     with pytest.raises(SystemExit):
-        main(["load", *root, "--date", DAY, "--source", "nowhere"])
+        main(["load", *root, "--date", DAY, "nowhere"])

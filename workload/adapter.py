@@ -6,11 +6,15 @@ data; every input row contributes. `oracles.py` states the same choices in plain
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rankmill.operators.snapshot import latest_snapshot
 from rankmill.session import use_utc
+from rankmill.sources.schemas import SOURCES
 
 # The two snapshot dates of the derived tables.
 OLD_DAY, NEW_DAY = "2026-07-06", "2026-07-07"
@@ -188,6 +192,22 @@ class Tables:
             F.lit("manufacturer").alias("source"), "page_no", F.format_string(head, "total", "items").alias("payload")
         )
 
+    def snapshot_pages(self, page_rows: int = 100) -> DataFrame:
+        """The newer snapshot of each master list as the pages of one feed, about `page_rows` rows each."""
+        parts = []
+        for source in SOURCES:
+            rows = latest_snapshot(getattr(self, source)(), NEW_DAY).drop("dt")
+            text = rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row_text"))
+            total = text.agg(F.count(F.lit(1)).alias("total"))
+            # repeated rows share a page, as they share their text
+            paged = text.join(F.broadcast(total)).withColumn(
+                "page_no", F.expr(f"cast(crc32(row_text) % (1 + total div {page_rows}) as int)")
+            )
+            one = paged.groupBy("page_no", "total").agg(F.array_join(F.collect_list("row_text"), ",").alias("items"))
+            head = '{"header":{"resultCode":"00"},"body":{"totalCount":%d,"items":[%s]}}'
+            parts.append(one.select(F.lit(source).alias("source"), "page_no", F.format_string(head, "total", "items").alias("payload")))
+        return reduce(DataFrame.unionAll, parts)
+
     def api_pages(self) -> DataFrame:
         """Customers as pages of ten in four feeds: three envelopes, refusals, a short feed."""
         rows = self.read("customer").selectExpr(

@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 from rankmill.functions.scalars import partition_key
 from rankmill.operators.delivery import arrival_lag, delivery_reconcile, delivery_status, lost_keys
 from rankmill.operators.profile import table_profile
-from rankmill.operators.quality import quality_report
+from rankmill.operators.quality import ACCEPTED, Check, DataQualityError, enforce, quality_report
 from rankmill.operators.ranking import rank_within, top_n_per_group
 from rankmill.operators.snapshot import latest_snapshot
-from rankmill.plans import analysis, daily, marts, serving, staging
+from rankmill.plans import analysis, checks, daily, history, marts, serving, staging
 from rankmill.session import fresh_dir, run_together
 from rankmill.sources import lake as lakes
 from rankmill.sources import pages
 from rankmill.sources.schemas import SNAPSHOTS
 from rankmill.streaming import events as streams
+from rankmill.streaming import popularity as live
 from workload.adapter import NEW_DAY, OLD_DAY, Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -288,6 +289,80 @@ def incremental_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.scores_from_activity(daily.refresh_activity(spark, lake, since="2024-01-20"))
 
 
+def _two_batches(t: Tables) -> list[DataFrame]:
+    """The messages in two batches: each has copies of the other's events, on the same days and others."""
+    messages = t.raw_events()
+    number = "(cast(substring_index(substr(message_id, 3), '-', 1) as bigint) + cast(right(message_id, 1) as int))"
+    return [messages.where(f"{number} % 3 <> 0"), messages.where(f"{number} % 3 = 0")]
+
+
+def _refreshed(t: Tables, lake: lakes.Lake) -> None:
+    """Cleaned events and what follows them after two batches and the expiry of the first three days."""
+    spark, raw = t.spark, lake.table("events", "raw")
+
+    def refresh() -> None:
+        landed = lakes.landed_files(lakes.read_events(spark, lake))
+        changed = history.changed_dates(spark, lake, landed)
+        changes = history.apply_changes(spark, lake, changed)
+        dates = (None, None) if changed is None else (changes.published, changes.happened)
+        history.refresh_per_day(spark, lake, *dates)
+        checks.check_history(spark, lake, history.CLEAN_EVENTS, history.CLEAN_SCHEMA)
+        history.remember_refresh(spark, lake, landed)
+
+    for batch in _two_batches(t):
+        lakes.write_events(lake, batch)
+        refresh()
+    lakes.drop_partitions(spark, raw, lake.dates(spark, raw)[:3])
+    refresh()
+
+
+def events_daily_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity per event date, of which each refresh computed only the dates that changed."""
+    lake = lakes.Lake(fresh_dir(spark, "per-day"))
+    _refreshed(Tables(spark, sf_dir), lake)
+    return history.per_day(spark, lake)
+
+
+def events_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned events after late, moved and expired messages."""
+    lake = lakes.Lake(fresh_dir(spark, "changes"))
+    _refreshed(Tables(spark, sf_dir), lake)
+    return history.clean_events(spark, lake).drop("dt")
+
+
+def quality_report_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of a table with repeated ids within and across dates, from a ledger of two checks."""
+    lake = lakes.Lake(fresh_dir(spark, "ledger"))
+    for batch in _two_batches(Tables(spark, sf_dir)):
+        # copies are kept, so the check has something to find
+        parsed = staging.parsed_events(batch).withColumn("dt", F.to_date("publish_time"))
+        parsed.write.mode("append").partitionBy("dt").parquet(lake.table(history.CLEAN_EVENTS, "staging"))
+        report = checks.check_history(spark, lake, history.CLEAN_EVENTS, history.CLEAN_SCHEMA)
+    return report
+
+
+def stream_merged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned events of a stream in several batches, without a horizon; the last batch comes twice."""
+    t = Tables(spark, sf_dir)
+    lake, folder = lakes.Lake(fresh_dir(spark, "merge")), fresh_dir(spark, "merge-messages")
+    for run, batch in enumerate([*_two_batches(t), _two_batches(t)[1]]):
+        batch.coalesce(1).write.mode("append").parquet(folder)
+        messages = streams.message_files(spark, folder, "parquet")
+        streams.merge_stream(messages, lake, f"{lake.root}/checkpoint").awaitTermination()
+    return streams.merged_events(spark, lake)
+
+
+def live_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity per day of a stream whose second batch holds old events: those are late, and counted."""
+    t = Tables(spark, sf_dir)
+    lake, folder = lakes.Lake(fresh_dir(spark, "popularity")), fresh_dir(spark, "popular-messages")
+    for batch in _two_batches(t):
+        batch.write.mode("append").parquet(folder)
+        messages = streams.message_files(spark, folder, "parquet")
+        live.follow_popularity(messages, lake, f"{lake.root}/checkpoint", horizon="5 days").awaitTermination()
+    return live.popularity(spark, lake)
+
+
 # -- lake ---------------------------------------------------------------------------------
 
 
@@ -342,6 +417,60 @@ def staging_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("select industry, permit_date, count(*) as companies from stg_manufacturer group by all")
 
 
+def load_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newer date holds an earlier delivery; a load whose audit fails leaves that in place."""
+    t = Tables(spark, sf_dir)
+    lake, raw = lakes.Lake(fresh_dir(spark, "audited")), t.manufacturer()
+    earlier = latest_snapshot(raw, OLD_DAY).drop("dt")
+    for day in (OLD_DAY, NEW_DAY):
+        lakes.write_snapshot(lake, earlier, "manufacturer", day)
+        lakes.load_snapshot(spark, lake, "manufacturer", day)
+    lakes.write_snapshot(lake, latest_snapshot(raw, NEW_DAY).drop("dt"), "manufacturer", NEW_DAY)
+
+    def only_traders(rows: DataFrame) -> None:
+        enforce(quality_report({"manufacturer": rows}, [Check("manufacturer", "INDUTY", ACCEPTED, ("trade",))]))
+
+    try:
+        lakes.load_snapshot(spark, lake, "manufacturer", NEW_DAY, only_traders)
+    except DataQualityError:
+        return lakes.read_raw(spark, lake, "manufacturer")
+    raise RuntimeError("the audit found nothing")
+
+
+def refused_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty snapshot of each source is refused; the rows of the date that stand."""
+    t = Tables(spark, sf_dir)
+    lake, lines = lakes.Lake(fresh_dir(spark, "refused")), []
+    _land_snapshots(t, lake)
+    for name in SNAPSHOTS:
+        refused = False
+        try:
+            lakes.write_snapshot(lake, getattr(t, name)().drop("dt").limit(0), name, NEW_DAY)
+        except lakes.EmptySnapshotError:
+            refused = True
+        lines.append((name, refused, lakes.read_snapshot(spark, lake, name, NEW_DAY).count()))
+    return spark.createDataFrame(lines, "table_name string, refused boolean, rows bigint")
+
+
+def published_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart that readers see after one version replaced another and a third one failed its audit."""
+    t = Tables(spark, sf_dir)
+    lake, mart = lakes.Lake(fresh_dir(spark, "published")), _mart(t)
+    per_day = marts.events_daily(_events(t))
+    first = {"recommendations": analysis.dashboard_top(mart), "dashboard_events_daily": per_day.limit(1)}
+    lakes.publish_tables(spark, lake, "marts", first)
+    lakes.publish_tables(spark, lake, "marts", {"recommendations": mart, "dashboard_events_daily": per_day})
+
+    def refuse(tables) -> None:
+        raise DataQualityError("not good enough")
+
+    try:
+        lakes.publish_tables(spark, lake, "marts", first, audit=refuse)
+    except DataQualityError:
+        return daily.read_mart(spark, lake, "recommendations")
+    raise RuntimeError("the audit was not asked")
+
+
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API pages landed as a snapshot, loaded and read back, unknown fields included."""
     lake = lakes.Lake(fresh_dir(spark, "landed-pages"))
@@ -395,6 +524,26 @@ def daily_run_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.run_daily(spark, lake, OLD_DAY, as_of=OLD_DAY).models["recommendations"]
 
 
+def daily_run_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run from API pages that fails on a refused page, run again with good ones; its mart."""
+    t = Tables(spark, sf_dir)
+    lake = lakes.Lake(fresh_dir(spark, "resumed"))
+    lakes.write_events(lake, t.raw_events(dirty=False))
+    lakes.write_snapshot(lake, latest_snapshot(t.products(), NEW_DAY).drop("dt"), "products", NEW_DAY)
+    path = fresh_dir(spark, "feeds")
+    t.snapshot_pages().write.parquet(path)
+    good = spark.read.parquet(path)
+    refused = F.when(F.col("source") == "regulation", F.lit('{"header":{"resultCode":"22"}}')).otherwise(F.col("payload"))
+    try:
+        daily.run_daily(spark, lake, NEW_DAY, catalog=True, pages=good.withColumn("payload", refused))
+    except daily.StageError:
+        run = daily.run_daily(spark, lake, NEW_DAY, catalog=True, pages=good)
+        if run.skipped != ("land ingredient", "land manufacturer"):
+            raise RuntimeError(f"skipped {run.skipped}") from None
+        return run.models["recommendations"]
+    raise RuntimeError("the refused page was not noticed")
+
+
 # -- API pages ----------------------------------------------------------------------------
 
 
@@ -413,6 +562,12 @@ def api_page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.page_completeness(Tables(spark, sf_dir).api_pages())
 
 
+def api_pages_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of refused pages, and of pages that did not come: some are taken out of the feeds."""
+    pages_left = Tables(spark, sf_dir).api_pages().where("page_no % 40 not between 16 and 27 or page_no % 40 = 20")
+    return pages.missing_pages(pages_left)
+
+
 QUERIES: dict[str, Query] = {
     "recommendations": recommendations,
     "product_risk": product_risk,
@@ -460,4 +615,14 @@ QUERIES: dict[str, Query] = {
     "api_pages_unwrap": api_pages_unwrap,
     "api_page_errors": api_page_errors,
     "api_page_completeness": api_page_completeness,
+    "api_pages_missing": api_pages_missing,
+    "events_refreshed": events_refreshed,
+    "events_daily_refreshed": events_daily_refreshed,
+    "quality_report_history": quality_report_history,
+    "stream_merged_events": stream_merged_events,
+    "live_popularity": live_popularity,
+    "load_audited": load_audited,
+    "refused_snapshots": refused_snapshots,
+    "published_marts": published_marts,
+    "daily_run_resumed": daily_run_resumed,
 }
