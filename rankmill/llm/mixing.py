@@ -156,9 +156,16 @@ def _taken(drawn: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The last stage: every document with at least one taken word, and how many are taken.
 
-    An added column whose name `docs` has already is called `mix_...`.
+    An added column whose name `docs` has already, in any case, is called `mix_...`, with as many `mix_` as
+    it takes to be free; so the stage can work on its own result.
     """
     mixed = mix_sources(docs).filter(F.col("taken") > 0)
     fields = mixed.schema[ROW].dataType.fieldNames()
-    added = [F.col(c).alias(f"mix_{c}" if c in fields else c) for c in ("size", "source_size", "target", "taken")]
+    held, added = {f.lower() for f in fields}, []
+    for column in ("size", "source_size", "target", "taken"):
+        name = column
+        while name.lower() in held:
+            name = f"mix_{name}"
+        held.add(name.lower())
+        added.append(F.col(column).alias(name))
     return mixed.select(*[F.col(f"{ROW}.`{f}`").alias(f) for f in fields], *added)

@@ -190,6 +190,14 @@ def test_links_inside_large_entries_are_not_lost(spark, monkeypatch):
     assert rests and rests[0] and 1 < len(set(expected.values())) < len(rows)
 
 
+def test_the_mix_stage_takes_its_own_result(spark, docs):
+    once = mixing.mixed_documents(docs)
+    again = mixing.mixed_documents(once.withColumn("Mix_Target", F.lit(0)))
+    names = [c.lower() for c in again.columns]
+    assert len(set(names)) == len(names) and again.columns[-4:] == ["mix_mix_size", "mix_source_size", "mix_mix_target", "mix_mix_taken"]
+    assert again.count() > 0
+
+
 def test_mix_meets_targets(spark, docs):
     rows = [(k, ("a", "b", None)[k % 3 if k % 7 else 0], "word " * (k % 50)) for k in range(400)]
     table = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
