@@ -21,6 +21,8 @@ underestimate, so pruning loses no pair. It is evaluated for a whole batch of pa
 
 The index holds the items only. They are read to the driver when they have at most `INDEX_MB`
 of text; a larger benchmark is worked off in slices of that size, one pass over the documents each.
+Items per term, the mean and the longest question are those of the whole benchmark in every slice, so
+scores and retrieved pairs are the same for one slice or many.
 
 Null and empty texts leak nothing, null and empty items can't leak; rows that repeat a document or
 an item are reported each for itself. Words are compared lower-cased, without punctuation.
@@ -31,13 +33,14 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankmill.llm.common import packed, ship_package, text_of, unpacked
+from rankmill.llm.common import packed, ship_package, stored, text_of, unpacked
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -98,22 +101,44 @@ class Item:
         return q / n, (a / m if m else None), whole or asked
 
 
+def _items(rows: list[tuple[int | None, str]]) -> list[Item]:
+    return [item for item in (Item(i, t) for i, t in rows if t) if item.question]
+
+
+class Statistics(NamedTuple):
+    """Figures of a whole benchmark: items, words of their questions, the longest one, items per term."""
+
+    items: int
+    words: int
+    longest: int
+    df: dict[str, int]
+
+    @classmethod
+    def of(cls, items: list[Item]) -> Statistics:
+        lengths = [len(x.question) for x in items]
+        return cls(len(items), sum(lengths), max(lengths, default=0), Counter(w for x in items for w in set(x.question)))
+
+
 class Index:
-    """Inverted index over items with impacts relative to each item's threshold."""
+    """Inverted index over items with impacts relative to each item's threshold.
 
-    def __init__(self, rows: list[tuple[int | None, str]]):
-        items = [item for item in (Item(i, t) for i, t in rows if t) if item.question]
+    The items may be a slice of the benchmark; passages and impacts are those of the whole one if its
+    statistics are given, so that scores do not depend on the slices.
+    """
+
+    def __init__(self, rows: list[tuple[int | None, str]], statistics: Statistics | None = None):
+        items = _items(rows)
         self.items = sorted(items, key=lambda x: len(x.question))  # blocks of similar length
-        self.longest = len(self.items[-1].question) if self.items else 0
+        figures = statistics or Statistics.of(items)
+        self.longest, df = figures.longest, figures.df
         self.terms = {w: k for k, w in enumerate(dict.fromkeys(w for x in self.items for w in x.question))}
-        df = Counter(w for x in self.items for w in set(x.question))
-        mean = sum(len(x.question) for x in self.items) / max(len(self.items), 1)
+        mean = figures.words / max(figures.items, 1)
         postings: dict[int, list[tuple[int, float]]] = defaultdict(list)
         self.own = []
         for n, x in enumerate(self.items):
             impact = {}
             for w, tf in Counter(x.question).items():
-                idf = math.log(1 + (len(self.items) - df[w] + 0.5) / (df[w] + 0.5))
+                idf = math.log(1 + (figures.items - df[w] + 0.5) / (df[w] + 0.5))
                 impact[w] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(x.question) / mean))
             self.own.append(sum(impact.values()))
             for w, value in impact.items():
@@ -302,12 +327,33 @@ def _leaks_of(index: Index, texts: list[str], memo: _Terms) -> Iterator[tuple[in
             yield n, item, score * SCORE, *overlaps, leaked
 
 
-def _slices(items: DataFrame) -> Iterator[DataFrame]:
-    """The benchmark in parts whose text is within the bound."""
+def _question_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of words of each question, and its different ones."""
+    for batch in batches:
+        items = _items([(None, text) for text in batch.column(0).to_pylist()])
+        arrays = [pa.array([len(x.question) for x in items], pa.int64()), pa.array([sorted(set(x.question)) for x in items], pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(arrays, ["words", "terms"])
+
+
+def _slices(items: DataFrame) -> Iterator[Index]:
+    """Indexes of parts of the benchmark whose text is within the bound.
+
+    Items per term, the mean and the longest question are counted once, over all items; a part gets the
+    counts of its own terms.
+    """
     total = items.agg(F.sum(F.octet_length(text_of()))).head()[0] or 0
     parts = math.ceil(total / (INDEX_MB * 2**20)) or 1
+    if parts == 1:
+        yield Index([(r["item_id"], r["text"]) for r in items.collect()])
+        return
+    questions = stored(items.select("text").mapInArrow(_question_words, "words long, terms array<string>"), "benchmark-words")
+    n, words, longest = questions.agg(F.count("words"), F.sum("words"), F.max("words")).head()
+    df = stored(questions.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")), "benchmark-terms")
     for k in range(parts):
-        yield items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k) if parts > 1 else items
+        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
+        own = part.select("text").mapInArrow(_question_words, "words long, terms array<string>").select(F.explode("terms").alias("term"))
+        counts = {r["term"]: r["df"] for r in df.join(own.distinct(), "term", "left_semi").collect()}
+        yield Index([(r["item_id"], r["text"]) for r in part.collect()], Statistics(n, words or 0, longest or 0, counts))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -320,8 +366,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", text_of().alias("text"))
     found = None
     for part in _slices(benchmark.select(F.col("item_id").cast("long"), "text")):
-        rows = [(r["item_id"], r["text"]) for r in part.collect()]
-        index = texts.sparkSession.sparkContext.broadcast(Index(rows))
+        index = texts.sparkSession.sparkContext.broadcast(part)
 
         def leaks(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             memo = _Terms(index.value.words)
