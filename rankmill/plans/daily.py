@@ -69,6 +69,10 @@ _SNAPSHOT_MODELS = {
 }
 
 
+# The lookup asks for the first ranks of one segment.
+LAYOUTS = {RECOMMENDATIONS: ("skin_type", "rank")}
+
+
 class StageError(RuntimeError):
     """A stage of the run failed; the message names the stage and each source that failed in it."""
 
@@ -216,6 +220,17 @@ def _load(spark: SparkSession, lake: Lake, ledger: StageLedger, day, catalog: bo
 # -- marts --------------------------------------------------------------------------------
 
 
+def loaded_rows(spark: SparkSession, lake: Lake, as_of: dt.date | str | None = None) -> dict[str, int]:
+    """Rows of the snapshots the models take, as their loads counted them; sources without a count are left out."""
+    rows = {}
+    for source in _SNAPSHOT_MODELS:
+        day = lake.latest_date(spark, lake.table(source, "raw"), as_of)
+        done = (read_note(spark, lake.run(day)) or {}).get(f"load {source}")
+        if done:
+            rows[source] = done["rows"]
+    return rows
+
+
 def read_mart(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     """A mart as it was published last."""
     return read_published(spark, lake, name, MARTS)
@@ -271,7 +286,8 @@ def run_daily(
     remember_refresh(spark, lake, landed)
 
     scores = scores_from_activity(derived["activity"], weights)
-    ranked = rank_products(scores, staging["stg_products"], staging["stg_regulation"])
+    counted = loaded_rows(spark, lake, as_of)
+    ranked = rank_products(scores, staging["stg_products"], staging["stg_regulation"], loaded=counted)
     report: list[DataFrame] = []
 
     def audit(marts: Mapping[str, DataFrame]) -> None:
@@ -280,7 +296,7 @@ def run_daily(
         if check:
             enforce(report[0])
 
-    marts = publish_tables(spark, lake, MARTS, {RECOMMENDATIONS: ranked, PER_DAY: derived["per_day"]}, audit)
+    marts = publish_tables(spark, lake, MARTS, {RECOMMENDATIONS: ranked, PER_DAY: derived["per_day"]}, audit, LAYOUTS)
     return DailyRun(
         loaded, {**staging, CLEAN_EVENTS: clean_events(spark, lake).drop("dt"), **marts}, report[0], tuple(ledger.skipped)
     )

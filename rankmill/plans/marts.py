@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -22,14 +23,18 @@ class Weights(NamedTuple):
 
 
 def product_risk(
-    products: DataFrame, regulation: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+    products: DataFrame,
+    regulation: DataFrame,
+    broadcast_rows: int = BROADCAST_ROWS,
+    regulation_rows: int | None = None,
 ) -> DataFrame:
     """Per product with a regulated ingredient: does any rule prohibit or restrict it?
 
     Rules are folded to one row per ingredient before the join. OR does not care how often
     a rule is repeated, so this is exact, and an ingredient with very many rules no longer
     multiplies the products that contain it. The rows of the regulation list bound the
-    folded rules; an ingredient found in very many products is dealt with by the join.
+    folded rules; an ingredient found in very many products is dealt with by the join. Where
+    `regulation_rows` is known, as the load counted them, nothing is counted here.
     """
     rules = regulation.groupBy(F.col("ingredient_std_name").alias("ingredient_name")).agg(
         F.bool_or(F.col("prohibited_in_country").isNotNull()).alias("prohibited"),
@@ -42,7 +47,7 @@ def product_risk(
         contents,
         rules,
         "ingredient_name",
-        lookup_rows_bound=regulation.count(),
+        lookup_rows_bound=regulation.count() if regulation_rows is None else regulation_rows,
         spread_by="product_id",
         broadcast_rows=broadcast_rows,
     )
@@ -116,6 +121,7 @@ def rank_products(
     products: DataFrame,
     regulation: DataFrame,
     rows_per_task: int = ROWS_PER_SORT_TASK,
+    loaded: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Filter scored products by regulation and rank what remains.
 
@@ -124,8 +130,10 @@ def rank_products(
     are ordered by product id.
 
     A segment has at most one row per catalog row, so the size of the catalog bounds the
-    rows a rank sorts in one task.
+    rows a rank sorts in one task. `loaded` has the rows of the `products` and `regulation` snapshots
+    if their loads have counted them; the models have no more rows than that.
     """
+    known = loaded or {}
     catalog = products.select(
         "product_id", "product_name", "category", "target_skin_type", "price_krw"
     )
@@ -133,7 +141,7 @@ def rank_products(
     restricted = F.coalesce("has_restricted_ingredient", F.lit(False))
     allowed = (
         scores.join(catalog, "product_id")
-        .join(product_risk(products, regulation), "product_id", "left")
+        .join(product_risk(products, regulation, regulation_rows=known.get("regulation")), "product_id", "left")
         .where(~prohibited)
         .where(~((F.col("skin_type") == "sensitive") & restricted))
         .withColumn("has_restricted_ingredient", restricted)
@@ -143,7 +151,7 @@ def rank_products(
         ["skin_type"],
         [F.desc("score"), F.asc("product_id")],
         "rank",
-        group_rows_bound=catalog.count(),
+        group_rows_bound=known["products"] if "products" in known else catalog.count(),
         rows_per_task=rows_per_task,
     )
     return ranked.select(

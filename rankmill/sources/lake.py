@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
 import re
 import uuid
 from collections.abc import Callable, Collection, Iterable, Mapping
@@ -22,6 +23,7 @@ from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rankmill.session import run_together
 from rankmill.sources.notes import note_number, read_note, write_note
@@ -41,6 +43,8 @@ NO_DATE = "dt=__HIVE_DEFAULT_PARTITION__"
 
 STAGED, REPLACED = "_staged", "_replaced"
 KEPT_VERSIONS = 3
+# Small row groups: a lookup of the first ranks reads the first one of a segment.
+ROW_GROUP_BYTES = 2**20
 
 Audit = Callable[[DataFrame], None]
 
@@ -345,10 +349,12 @@ def publish_tables(
     layer: str,
     tables: Mapping[str, DataFrame],
     audit: Callable[[Mapping[str, DataFrame]], None] | None = None,
-    note: Mapping[str, str] | None = None,
+    layouts: Mapping[str, tuple[str, str]] | None = None,
 ) -> dict[str, DataFrame]:
     """Write a new version of all tables, audit it, and let readers switch to it at once.
 
+    A layout `(folder column, sort column)` puts the rows of each value of the first in a folder of its own,
+    sorted by the second in small row groups: a reader of few values opens few files and skips most of them.
     Readers follow a note that names the version. Until it is written they see the last version as it
     was, also if a write or the audit fails. The last few versions stay for readers that have begun.
     """
@@ -356,9 +362,14 @@ def publish_tables(
     number = note_number(spark, folder)
 
     def written(name: str) -> DataFrame:
-        path = lake.version(name, version, layer)
-        tables[name].write.parquet(path)
-        return spark.read.schema(tables[name].schema).parquet(path)
+        path, table = lake.version(name, version, layer), tables[name]
+        if name in (layouts or {}):
+            folder, by = layouts[name]
+            sorted_rows = table.repartitionByRange(folder, by).sortWithinPartitions(folder, by)
+            sorted_rows.write.option("parquet.block.size", ROW_GROUP_BYTES).partitionBy(folder).parquet(path)
+        else:
+            table.write.parquet(path)
+        return spark.read.schema(table.schema).parquet(path).select(table.columns)
 
     try:
         result = run_together(spark, {name: partial(written, name) for name in tables})
@@ -366,7 +377,8 @@ def publish_tables(
             audit(result)
         before = read_note(spark, folder) or {"versions": []}
         kept = [version, *before["versions"]][:KEPT_VERSIONS]
-        write_note(spark, folder, {"versions": kept, "tables": sorted(tables), **(note or {})}, after=number)
+        schemas = {name: table.schema.json() for name, table in result.items()}
+        write_note(spark, folder, {"versions": kept, "schemas": schemas}, after=number)
     except Exception:
         _remove(spark, lake.version("", version, layer).rstrip("/"))
         raise
@@ -386,7 +398,8 @@ def read_published(spark: SparkSession, lake: Lake, name: str, layer: str) -> Da
     note = published(spark, lake, layer)
     if not note:
         raise EmptySnapshotError(f"nothing was published in {layer}")
-    return spark.read.parquet(lake.version(name, note["versions"][0], layer))
+    schema = StructType.fromJson(json.loads(note["schemas"][name]))
+    return spark.read.schema(schema).parquet(lake.version(name, note["versions"][0], layer)).select(schema.fieldNames())
 
 
 def write_report(

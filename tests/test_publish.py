@@ -4,12 +4,14 @@ import json
 import os
 
 import pytest
+from conftest import plan_of
 from test_daily import DAY, land_day, land_events, values
 from test_lake import A, B, ingredients, names
 from test_staging import message, payload
 
 from rankmill.operators.quality import DataQualityError
-from rankmill.plans import daily
+from rankmill.plans import daily, marts
+from rankmill.plans.serving import recommend
 from rankmill.sources import lake as lakes
 from rankmill.sources import notes
 from rankmill.sources.pages import missing_pages
@@ -128,6 +130,38 @@ def test_a_run_whose_checks_fail_keeps_the_old_marts(spark, lake):
     assert values(daily.read_mart(spark, lake, "recommendations")) == values(run.models["recommendations"]) != before
 
 
+def test_a_lookup_opens_one_segment_and_skips_row_groups_by_rank(spark, lake):
+    rows = spark.range(20_000).selectExpr(
+        "case id % 4 when 0 then 'dry' when 1 then 'oily' when 2 then 'robot' end as skin_type", "id div 4 + 1 as rank", "cast(id as string) as product_id",
+        "repeat('n', 20) as product_name", "'c' as category", "id as price_krw", "cast(1.0 as double) as score", "false as has_restricted_ingredient")
+    lakes.publish_tables(spark, lake, "marts", {"recommendations": rows}, layouts=daily.LAYOUTS)
+    mart = daily.read_mart(spark, lake, "recommendations")
+    assert mart.columns == rows.columns and values(mart) == values(rows)
+    top = recommend(mart, "oily", 3)
+    assert [r.product_id for r in top.collect()] == ["1", "5", "9"]
+    plan = plan_of(top)
+    assert "skin_type#" in plan.split("PartitionFilters: [")[1].split("]")[0] and "LessThanOrEqual(rank,3)" in plan
+    folder = os.path.join(lake.root, "warehouse", "marts", "versions")
+    (version,) = os.listdir(folder)
+    parts = os.listdir(os.path.join(folder, version, "recommendations"))
+    assert {p for p in parts if "=" in p} == {f"skin_type={v}" for v in ("dry", "oily", "robot", "__HIVE_DEFAULT_PARTITION__")}
+
+
+def test_known_row_counts_are_taken_instead_of_counting(spark, lake, monkeypatch):
+    land_day(spark, lake, DAY)
+    land_events(spark, lake, [message(payload("a"))])
+    run = daily.run_daily(spark, lake, DAY, catalog=True)
+    assert daily.loaded_rows(spark, lake) == {"ingredient": 1, "regulation": 1, "manufacturer": 2, "products": 2}
+    scores = marts.skin_product_scores(run.models["stg_events"])
+
+    def refuse(self):
+        raise AssertionError("counted while the plan was made")
+
+    monkeypatch.setattr(type(scores), "count", refuse)
+    known = {"products": 2, "regulation": 1}
+    assert values(marts.rank_products(scores, run.models["stg_products"], run.models["stg_regulation"], loaded=known)) == values(run.models["recommendations"])
+
+
 # -- stages -------------------------------------------------------------------------------
 
 

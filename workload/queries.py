@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankmill.functions.scalars import partition_key
-from rankmill.operators.delivery import arrival_lag, delivery_reconcile, delivery_status, lost_keys
+from rankmill.operators.delivery import arrival_lag, delivery_reconcile, delivery_status, lost_keys, with_lag
 from rankmill.operators.profile import table_profile
 from rankmill.operators.quality import ACCEPTED, Check, DataQualityError, enforce, quality_report
 from rankmill.operators.ranking import rank_within, top_n_per_group
 from rankmill.operators.snapshot import latest_snapshot
-from rankmill.plans import analysis, checks, daily, history, marts, serving, staging
+from rankmill.plans import analysis, checks, daily, history, marts, serving, sketches, staging
 from rankmill.session import fresh_dir, run_together
 from rankmill.sources import lake as lakes
 from rankmill.sources import pages
@@ -363,6 +363,28 @@ def live_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.popularity(spark, lake)
 
 
+def range_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and distinct users of two weeks, from stored sketches per day, and how well they place the lags.
+
+    A quantile of a sketch is an estimate; what is compared is whether the share of lags up to it is
+    within two percent of what was asked for.
+    """
+    events = _events(Tables(spark, sf_dir))
+    path = fresh_dir(spark, "day-sketches")
+    days = sketches.day_sketches(events)
+    days.write.parquet(path)
+    first, last = "2024-01-08", "2024-01-21"
+    got = sketches.range_activity(spark.read.schema(days.schema).parquet(path), first, last)
+    lags = with_lag(events).where(F.to_date("event_ts").between(first, last)).select(F.col("event_type").alias("kind"), "lag_us")
+    placed = got.join(lags, F.col("event_type") == F.col("kind"))
+    shares = {}
+    for name, q in sketches.QUANTILES.items():
+        below, upto = (F.avg((F.col("lag_us") < F.col(name)).cast("int")), F.avg((F.col("lag_us") <= F.col(name)).cast("int")))
+        shares[name] = (below <= q + 0.02) & (upto >= q - 0.02)
+    known = ["event_type", "events", "active_users", "touched_products"]
+    return placed.groupBy(*known).agg(*[ok.alias(name.replace("_lag_us", "_ok")) for name, ok in shares.items()])
+
+
 # -- lake ---------------------------------------------------------------------------------
 
 
@@ -471,6 +493,13 @@ def published_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise RuntimeError("the audit was not asked")
 
 
+def serve_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup on a published mart that is laid out by segment and rank."""
+    lake = lakes.Lake(fresh_dir(spark, "clustered"))
+    lakes.publish_tables(spark, lake, "marts", {"recommendations": _mart(Tables(spark, sf_dir))}, layouts=daily.LAYOUTS)
+    return serving.recommend(daily.read_mart(spark, lake, "recommendations"), "sensitive", 20)
+
+
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API pages landed as a snapshot, loaded and read back, unknown fields included."""
     lake = lakes.Lake(fresh_dir(spark, "landed-pages"))
@@ -625,4 +654,6 @@ QUERIES: dict[str, Query] = {
     "refused_snapshots": refused_snapshots,
     "published_marts": published_marts,
     "daily_run_resumed": daily_run_resumed,
+    "range_activity": range_activity,
+    "serve_published": serve_published,
 }
