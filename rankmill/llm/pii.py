@@ -5,21 +5,31 @@ high recall propose further spans of the same kinds - written-out addresses, nat
 card and host numbers with unusual separators - which overlap one another and much that is harmless.
 Gradient boosted trees score a proposal by its format (digits, groups, separators, checksum) and its
 context (cue words before it, characters next to it). A proposal becomes a span when its score
-reaches the threshold of its kind; of overlapping ones the best scored stays, and none that touches a
-base span.
+reaches the threshold of its kind; of overlapping ones the one with the highest calibrated probability
+stays (ties: the kind listed first), and none that touches a base span.
 
 The trees are trained here: `TRAINING_ROWS` labelled texts are made by Spark from templates of
 personal data and of look-alikes (order numbers, dates, versions, prices, book numbers), cut by the
-same generators as the documents. Thresholds come from the held-out quarter: the lowest score at which
-precision is `PRECISION` or more. The fitted trees become nested CASE expressions, so documents are
-scored inside one projection: no shuffle, no Python, no state across rows.
-
-Null text is empty. Offsets are code points, ends exclusive.
+same generators as the documents. The held-out quarter calibrates the scores by isotonic regression and
+gives the thresholds: the lowest score at which precision is `PRECISION` or more. The fitted trees
+become nested CASE expressions, so documents are scored inside one projection: no shuffle, no Python,
+no state across rows.
+
+The work of a text grows with its length and, but for a logarithm, with its matches: offsets are running
+sums taken in blocks, overlaps are found by binary search in spans sorted by start, context is read
+from cells of the text and not from its beginning. A proposed mailbox has at most 64 characters and a
+host label at most 63, the limits of mail and host names.
+
+Null text is empty and has no spans. Offsets are code points, ends exclusive. Each row is judged by
+itself: repeated rows give repeated results, an empty table gives none. Of the input only `doc_id` and
+`text` are read, so further columns may have any name. Null ids stay null.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -36,8 +46,11 @@ TREES, DEPTH = 8, 3
 PRECISION = 0.98
 BINS = 50
 SEED = 7
+BLOCK = 128  # elements folded at a time by `_with_running`
+CELL = 256  # characters of a text cell; more than CONTEXT
+STEPS = [2**k for k in range(28, -1, -1)]  # binary search over as many spans as a text can hold
 
-SPAN = "array<struct<kind:string,start:int,end:int>>"
+SPAN = "array<struct<start:int,end:int,kind:string>>"
 
 # The base formats. `(?<!x)x++` starts at the first character of a run only and never gives one back,
 # which finds the same matches as `x+` without trying every start in a long run; `\G` admits the rest
@@ -54,7 +67,7 @@ PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 AT = r"(?:\x20?[\[({<]\x20?(?:at|AT|@)\x20?[\])}>]\x20?|\x20(?:at|AT)\x20)"
 DOT = r"(?:\x20?[\[({<]\x20?(?:dot|DOT|\.)\x20?[\])}>]\x20?|\x20(?:dot|DOT)\x20|\.)"
 PROPOSALS = {
-    "email": rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}+{AT}[A-Za-z0-9-]{{1,63}}(?:{DOT}[A-Za-z0-9-]{{1,63}}){{1,4}}",
+    "email": rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}+{AT}[A-Za-z0-9-]{{1,63}}(?:{DOT}[A-Za-z0-9-]{{1,63}})+",
     "ip": rf"(?<![0-9])[0-9]{{1,3}}(?:{DOT}[0-9]{{1,3}}){{3}}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}(?:[\x20._/-]{1,3}[0-9]{4}){2,3}(?:[\x20._/-]{1,3}[0-9]{1,3})?(?![0-9])",
     "phone": r"(?<![0-9])\(?[0-9]{2,5}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,5}\)?){1,4}(?![0-9])",
@@ -79,27 +92,95 @@ FEATURES = (
 class Model(NamedTuple):
     trees: list  # nested (feature, threshold, left, right) or a leaf value, with its weight
     thresholds: dict[str, float]
+    calibrated: dict[str, list[float]]  # kind: probability by score bin, never falling
     held_out: dict[str, tuple[int, int, int]]  # kind: found and right, found, right
 
 
 # -- spans --------------------------------------------------------------------------------
 
 
-def _found(text: Column, kind: str, pattern: str, hint: str) -> Column:
-    """Matches of a pattern with their offsets: what `split` leaves between them gives the places."""
-    hit = text.rlike(hint)
-    matches = F.when(hit, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    gaps = F.when(hit, F.split(text, pattern, -1)).otherwise(F.array().cast("array<string>"))
-    begun = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,start:int,end:int,m:string>>").alias("out"))
+def _scan(values: Column, first: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """`first` and what it becomes with each value; copies its result per value, so for short arrays only."""
+    return F.aggregate(values, F.array(first), lambda out, v: F.concat(out, F.array(combine(F.element_at(out, -1), v))))
+
+
+def _with_running(
+    df: DataFrame, values: dict[str, Column], combine: Callable[[Column, Column], Column] = lambda a, b: a + b
+) -> DataFrame:
+    """Adds per name the running sum (or other fold from zero) of an integer array, BLOCK values at a time."""
+
+    def blocks(name: str) -> Column:
+        last = F.greatest(F.ceil(F.size(name) / BLOCK).cast("int") - 1, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(name, k * BLOCK + 1, BLOCK))
+
+    def before(name: str) -> Column:
+        totals = F.transform(F.col(f"{name}_blocks"), lambda block: F.aggregate(block, F.lit(0), combine))
+        return _scan(totals, F.lit(0), combine)
+
+    def folded(name: str) -> Column:
+        start = F.col(f"{name}_before")
+        return F.flatten(
+            F.transform(f"{name}_blocks", lambda block, k: F.slice(_scan(block, F.get(start, k), combine), 2, BLOCK))
+        )
+
+    df = opened(df, **values)
+    df = opened(df, **{f"{name}_blocks": blocks(name) for name in values})
+    df = opened(df, **{f"{name}_before": before(name) for name in values})
+    rest = [c for c in df.columns if c not in values]
+    df = opened(df.withColumnsRenamed({name: f"{name}_values" for name in values}), **{name: folded(name) for name in values})
+    return df.select(*[c for c in rest if not c.endswith(("_blocks", "_before"))], *values)
+
+
+def _with_found(df: DataFrame, wanted: dict[str, tuple[str, str, str]]) -> DataFrame:
+    """Adds per name the matches of (kind, pattern, hint) in `text` as (kind, start, end, m); what
+    `split` leaves between matches gives the places."""
+
+    def strings(hint: str, value: Column) -> Column:
+        return F.when(F.col("text").rlike(hint), value).otherwise(F.array().cast("array<string>"))
+
+    cut = {}
+    for name, (_, pattern, hint) in wanted.items():
+        cut[f"{name}_m"] = strings(hint, F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
+        cut[f"{name}_g"] = strings(hint, F.split("text", pattern, -1))
+    df = opened(df, **cut)
+
+    def advance(name: str) -> Column:
+        gaps = F.col(f"{name}_g")
+        return F.transform(f"{name}_m", lambda m, i: F.char_length(m) + F.char_length(F.get(gaps, i)))
+
+    def spans(name: str, kind: str) -> Column:
+        ends = F.col(f"{name}_end")
+
+        def span(m: Column, i: Column) -> Column:
+            end = F.get(ends, i)
+            return F.struct(
+                F.lit(kind).alias("kind"), (end - F.char_length(m)).alias("start"), end.alias("end"), m.alias("m")
+            )
+
+        return F.transform(f"{name}_m", span)
+
+    df = _with_running(df, {f"{name}_end": advance(name) for name in wanted})
+    df = opened(df, **{name: spans(name, kind) for name, (kind, _, _) in wanted.items()})
+    return df.drop(*cut, *[f"{name}_end" for name in wanted])
 
-    def advance(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.char_length(pair["gap"])
-        end = start + F.char_length(pair["m"])
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), pair["m"].alias("m"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
-    pairs = F.filter(F.arrays_zip(gaps.alias("gap"), matches.alias("m")), lambda p: p["m"].isNotNull())
-    return F.aggregate(pairs, begun, advance, lambda state: state["out"])
+def _overlaps(s: Column, others: Column) -> Column:
+    """Whether a span touches one of `others`, which are sorted by start and free of overlaps."""
+
+    def further(low: Column, step: Column) -> Column:
+        ahead = (low + step <= F.size(others)) & (F.get(others, low + step - 1)["start"] < s["end"])
+        return F.when(ahead, low + step).otherwise(low)
+
+    low = F.aggregate(F.lit(STEPS), F.lit(0), further)
+    return F.when(F.size(others) == 0, False).otherwise(F.coalesce(F.get(others, low - 1)["end"] > s["start"], F.lit(False)))
+
+
+def _cells(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CELL}}}"), F.lit(0))
+
+
+def _cell(cells: Column, place: Column) -> Column:
+    return F.coalesce(F.get(cells, place), F.lit(""))
 
 
 def luhn_ok(digits: Column) -> Column:
@@ -118,7 +199,7 @@ def _valid(kind: str, match: Column) -> Column:
 
 
 def _base_of(kind: str) -> Column:
-    valid = F.filter(_found(F.col("text"), kind, BASE[kind], HINTS[kind]), lambda s: _valid(kind, s["m"]))
+    valid = F.filter(f"all_{kind}", lambda s: _valid(kind, s["m"]))
     return F.transform(
         valid, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
     )
@@ -130,21 +211,27 @@ def _of_kind(spans: str, kind: str) -> Column:
 
 def _spans_of(df: DataFrame) -> DataFrame:
     """Adds the base spans of each kind and `proposed`, spans with their match, for the column `text`."""
-    df = opened(df, **{f"base_{kind}": _base_of(kind) for kind in KINDS})
-    raw = {f"raw_{k}": _found(F.col("text"), k, PROPOSALS[k], PROPOSAL_HINTS[k]) for k in KINDS}
-    df = opened(df, base=F.concat(*[F.col(f"base_{kind}") for kind in KINDS]), **raw)
+    every = {f"all_{k}": (k, BASE[k], HINTS[k]) for k in KINDS}
+    raw = {f"raw_{k}": (k, PROPOSALS[k], PROPOSAL_HINTS[k]) for k in KINDS}
+    df = _with_found(df, every | raw)
+    df = opened(df, **{f"base_{kind}": _base_of(kind) for kind in KINDS}).drop(*every)
     free = F.filter(
         F.concat(*[F.col(name) for name in raw]),
-        lambda s: ~F.exists(F.col("base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+        lambda s: ~reduce(or_, [_overlaps(s, F.col(f"base_{kind}")) for kind in KINDS]),
     )
-    return opened(df.withColumn("free", free), proposed=_with_features(F.col("text"), F.col("free"))).drop("free", *raw)
+    df = opened(df, base=F.concat(*[F.col(f"base_{kind}") for kind in KINDS]), free=free)
+    df = opened(df, cells=F.when(F.size("free") > 0, _cells(F.col("text"))))
+    return opened(df, proposed=_with_features(F.col("cells"), F.col("free"))).drop("free", "cells", *raw)
 
 
-def _with_features(text: Column, spans: Column) -> Column:
+def _with_features(cells: Column, spans: Column) -> Column:
     def features(s: Column) -> Column:
         m = s["m"]
-        before = F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
-        last, following = F.right(before, F.lit(1)), F.substring(text, s["end"] + 1, F.lit(1))
+        here, there = F.floor(s["start"] / CELL).cast("int"), F.floor(s["end"] / CELL).cast("int")
+        lead = F.concat(_cell(cells, here - 1), F.substring(_cell(cells, here), F.lit(1), F.pmod(s["start"], F.lit(CELL))))
+        before = F.right(lead, F.lit(CONTEXT))
+        last = F.right(before, F.lit(1))
+        following = F.substring(_cell(cells, there), F.pmod(s["end"], F.lit(CELL)) + 1, F.lit(1))
         digits = F.regexp_replace(m, "[^0-9]", "")
         groups = F.regexp_extract_all(m, F.lit("[0-9]+"), F.lit(0))
         count = {
@@ -286,38 +373,69 @@ def train(spark: SparkSession, rows: int = TRAINING_ROWS) -> Model:
         .agg(F.sum("label").cast("int").alias("right"), F.count("*").alias("all"))
         .collect()  # at most four kinds times BINS rows
     )
-    thresholds, held_out = {}, {}
+    thresholds, calibrated, held_out = {}, {}, {}
     for kind in KINDS:
+        counts = {b["bin"]: (b["right"], b["all"]) for b in bins if b["kind"] == kind}
+        calibrated[kind] = isotonic([counts.get(n, (0, 0)) for n in range(BINS)])
         right = found = 0
-        thresholds[kind], held_out[kind] = 2.0, (0, 0, sum(b["right"] for b in bins if b["kind"] == kind))
-        for b in sorted((b for b in bins if b["kind"] == kind), key=lambda b: -b["bin"]):
-            right, found = right + b["right"], found + b["all"]
-            if right >= PRECISION * found and b["bin"] >= BINS // 2:
-                thresholds[kind] = b["bin"] / BINS
+        thresholds[kind], held_out[kind] = 2.0, (0, 0, sum(r for r, _ in counts.values()))
+        for n in sorted(counts, reverse=True):
+            right, found = right + counts[n][0], found + counts[n][1]
+            if right >= PRECISION * found and n >= BINS // 2:
+                thresholds[kind] = n / BINS
                 held_out[kind] = (right, found, held_out[kind][2])
-    return Model(trees, thresholds, held_out)
+    return Model(trees, thresholds, calibrated, held_out)
+
+
+def isotonic(counts: list[tuple[int, int]]) -> list[float]:
+    """Shares of (right, all) by bin, made never falling by pooling neighbours; a bin without rows
+    joins the bin below it, at the low end the one above."""
+    pools: list[list[int]] = []  # right, all, bins
+    for right, found in counts:
+        pools.append([right, found, 1])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+            right, found, bins = pools.pop()
+            pools[-1] = [pools[-1][0] + right, pools[-1][1] + found, pools[-1][2] + bins]
+    return [right / found if found else 0.0 for right, found, bins in pools for _ in range(bins)]
 
 
 # -- documents ----------------------------------------------------------------------------
 
 
-def _accepted(model: Model) -> Column:
-    """Proposals at their threshold or above; the best scored of those that overlap."""
+def _accepted(model: Model) -> tuple[Column, Column]:
+    """`good`, the proposals at their threshold or above, and of those that overlap the likeliest.
+
+    Proposals of one kind never overlap. So all of one kind and probability are settled at once
+    against what was accepted before, which is free of overlaps and sorted by start.
+    """
     limit = F.create_map(*[F.lit(v) for kind in KINDS for v in (kind, model.thresholds[kind])])
-    scored = F.transform(
-        "proposed",
-        lambda p: F.struct(
-            (-score(model.trees, p["x"])).alias("s"), p["start"].alias("start"), p["end"].alias("end"), p["kind"].alias("kind")
-        ),
+    # the turn of a kind and score bin: likeliest first, then kinds as listed
+    turns = F.create_map(
+        *[
+            v
+            for place, kind in enumerate(KINDS)
+            for v in (F.lit(kind), F.lit([round((1 - p) * 1e6) * len(KINDS) + place for p in model.calibrated[kind]]))
+        ]
     )
-    good = F.sort_array(F.filter(scored, lambda p: -p["s"] >= F.element_at(limit, p["kind"])))
 
-    def add(out: Column, p: Column) -> Column:
-        clash = F.exists(out, lambda o: (o["start"] < p["end"]) & (p["start"] < o["end"]))
-        span = F.struct(p["kind"].alias("kind"), p["start"].alias("start"), p["end"].alias("end"))
-        return F.when(clash, out).otherwise(F.concat(out, F.array(span)))
+    def scored(p: Column) -> Column:
+        span = F.struct(p["start"].alias("start"), p["end"].alias("end"), p["kind"].alias("kind"))
+        return F.struct(score(model.trees, p["x"]).alias("score"), span.alias("span"))
+
+    def queued(p: Column) -> Column:
+        place = F.least(F.floor(p["score"] * BINS), F.lit(BINS - 1)).cast("int")
+        return F.struct(F.get(F.element_at(turns, p["span"]["kind"]), place).alias("turn"), p["span"].alias("span"))
+
+    reached = F.filter(F.transform("proposed", scored), lambda p: p["score"] >= F.element_at(limit, p["span"]["kind"]))
+    good = F.transform(reached, queued)
+
+    def settle(out: Column, turn: Column) -> Column:
+        next_ones = F.transform(F.filter("good", lambda p: p["turn"] == turn), lambda p: p["span"])
+        return F.array_sort(F.concat(out, F.filter(next_ones, lambda s: ~_overlaps(s, out))))
 
-    return F.aggregate(good, F.array().cast(SPAN), add)
+    return good, F.aggregate(
+        F.array_sort(F.array_distinct(F.transform("good", lambda p: p["turn"]))), F.array().cast(SPAN), settle
+    )
 
 
 def find_personal_data(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -325,30 +443,35 @@ def find_personal_data(docs: DataFrame, model: Model | None = None) -> DataFrame
     listed and then start; `spans` holds the base and the added ones."""
     model = model or train(docs.sparkSession)
     df = _spans_of(docs.select("doc_id", text_of().alias("text")))
-    df = opened(df, added=_accepted(model))
-    by_kind = [
-        F.array_sort(
-            F.concat(F.col(f"base_{kind}"), _of_kind("added", kind)),
-            lambda a, b: a["start"] - b["start"],
-        )
-        for kind in KINDS
-    ]
+    good, accepted = _accepted(model)
+    df = opened(opened(df, good=good), accepted=accepted)
+    added = F.transform(
+        "accepted", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
+    )
+    df = opened(df, added=added)
+    by_kind = [F.array_sort(F.concat(F.col(f"base_{kind}"), _of_kind("added", kind))) for kind in KINDS]
     return df.select("doc_id", "text", "base", *[F.size(f"base_{k}").cast("long").alias(f"n_{k}") for k in KINDS], F.concat(*by_kind).alias("spans"))
 
 
 def redact(found: DataFrame) -> DataFrame:
     """(doc_id, text) with every span replaced by its kind in brackets; of overlapping spans the
     first one is replaced and the others are cut to what lies behind it."""
-    ordered = F.array_sort("spans", lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["end"] - b["end"]))
-    begun = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        start = F.greatest(s["start"], state["at"])
-        gap = F.substring(F.col("text"), state["at"] + 1, start - state["at"])
-        moved = F.struct(s["end"].alias("at"), F.concat(state["out"], gap, F.lit("["), s["kind"], F.lit("]")).alias("out"))
-        return F.when(s["end"] <= state["at"], state).otherwise(moved)
-
-    cut = F.aggregate("ordered", begun, step)
-    df = opened(opened(found, ordered=ordered), cut=cut)
-    rest = F.substring(F.col("text"), F.col("cut.at") + 1, F.char_length("text"))
-    return df.select("doc_id", F.concat("cut.out", rest).alias("text"))
+    sorted_spans = F.array_sort(
+        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    )
+    df = opened(found.select("doc_id", "text", "spans"), ordered=sorted_spans, cells=_cells(F.col("text")))
+    df = _with_running(df, {"reached": F.transform("ordered", lambda s: s["end"])}, lambda a, b: F.greatest(a, b))
+
+    def between(start: Column, end: Column) -> Column:
+        first, last = F.floor(start / CELL).cast("int"), F.floor(end / CELL).cast("int")
+        part = F.array_join(F.slice("cells", first + 1, last - first + 1), "")
+        return F.substring(part, F.pmod(start, F.lit(CELL)) + 1, end - start)
+
+    def piece(s: Column, i: Column) -> Column:
+        at = F.when(i == 0, 0).otherwise(F.get("reached", i - 1))
+        mark = F.concat(between(at, F.greatest(s["start"], at)), F.lit("["), s["kind"], F.lit("]"))
+        return F.when(s["end"] <= at, "").otherwise(mark)
+
+    end = F.when(F.size("ordered") == 0, 0).otherwise(F.get("reached", F.size("ordered") - 1))
+    rest = between(end, F.char_length("text"))
+    return df.select("doc_id", F.concat(F.array_join(F.transform("ordered", piece), ""), rest).alias("text"))

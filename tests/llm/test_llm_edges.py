@@ -246,6 +246,31 @@ def test_licenses(spark):
     assert got == {1: "mit", 2: "mit-notice", 3: "", 4: ""}
 
 
+def test_personal_data_of_a_long_log(spark):
+    """16,000 lines with an address, a host and a written-out address each, found and redacted in one row."""
+    lines = [f"é 10.{k % 256}.3.4 u{k}@h{k % 97}.org mail: bob{k} [at] firma [dot] de" for k in range(16_000)]
+    table = spark.createDataFrame([(1, "\n".join(lines)), (2, lines[0])], "doc_id bigint, text string")
+    found = pii.find_personal_data(table, pii.train(spark))
+    rows = {r.doc_id: r for r in found.select("doc_id", "n_email", "n_ip", F.size("spans").alias("n")).collect()}
+    assert (rows[1].n_email, rows[1].n_ip, rows[1].n) == (16_000, 16_000, 48_000) and rows[2].n == 3
+    texts = {r.doc_id: r.text for r in pii.redact(found).collect()}
+    assert texts[2] == "é [ip] [email] mail: [email]" and texts[1] == "\n".join([texts[2]] * 16_000)
+
+
+def test_running_folds_across_blocks(spark):
+    values = [(k * 7919) % 101 for k in range(3 * pii.BLOCK + 5)]
+    table = spark.createDataFrame([(0, []), (1, values[: pii.BLOCK]), (2, values)], "id int, v array<int>")
+    for fold, combine in ((sum, None), (max, lambda a, b: F.greatest(a, b))):
+        folded = pii._with_running(table, {"out": F.col("v")}, *([combine] if combine else []))
+        for r in folded.collect():
+            assert r.out == [fold(r.v[: k + 1]) for k in range(len(r.v))]
+
+
+def test_isotonic():
+    assert pii.isotonic([(0, 0), (1, 4), (0, 2), (0, 0), (3, 4)]) == [1 / 6, 1 / 6, 1 / 6, 1 / 6, 0.75]
+    assert pii.isotonic([(0, 0), (0, 0)]) == [0.0, 0.0]
+
+
 def test_archives(spark, tmp_path):
     shared = "<p>" + "same " * 40 + "\r\n\r\nWARC/1.0\r\nContent-Length: 5\r\n\r\n</p>"
     pages = [
