@@ -298,3 +298,52 @@ def test_arc_versions_and_cut_records():
         with pytest.raises(ValueError, match="cut off"):
             list(warc.arc_records(block.encode()[:-5]))
     assert warc.iso_time("19970131") == "1997-01-31T00:00:00Z" and warc.iso_time("1997") == "1997-01-01T00:00:00Z"
+
+
+def test_archive_with_other_bytes_and_bad_records(spark, tmp_path):
+    """ISO-8859-1 and binary payloads, a dns record, broken headers and a cut record in one archive."""
+    latin = b"HTTP/1.0 200 OK\nServer: x\n\n" + "Grüße, Café".encode("latin-1") * 20
+    binary = b"HTTP/1.1 200 OK\r\nX-Page-Id: 5\r\n\r\n" + bytes(range(256)) + b"\r\n\r\n\n\n"
+    dns = b"20240101000000\nexample.org. 300 IN A 10.0.0.1\n"
+
+    def record(url, block, length=None):
+        return f"{url} 10.0.0.1 20240101000000 text/html ".encode("latin-1") + f"{length or len(block)}\n".encode() + block + b"\n"
+
+    faults = b"http://bad/ no length here\nsome text\n"
+    archive = b"".join(
+        [
+            warc.version_block(1, "old.arc").encode() + b"\n",
+            record("http://a.example/caf\xe9 x", latin), faults, record("http://b.example/", binary),
+            record("dns:example.org", dns), record("http://cut.example/", b"HTTP/1.0 200 OK\n\nhalf", 9_999),
+        ]
+    )
+    arc, out = tmp_path / "arc", str(tmp_path / "warc")
+    arc.mkdir()
+    (arc / "old.arc").write_bytes(archive)
+    (arc / "broken.arc.gz").write_bytes(b"\x1f\x8bnothing")
+    (arc / "empty.arc").write_bytes(b"")
+    warc.arc_to_warc(spark, str(arc), out)
+    rows = {r.url: r for r in warc.read_warc(spark, out).collect()}
+    assert {u: r.record_type for u, r in rows.items()} == {
+        None: "warcinfo", "http://a.example/caf%E9%20x": "response", "http://b.example/": "response", "dns:example.org": "resource"
+    }
+    assert rows["http://a.example/caf%E9%20x"].payload == latin.split(b"\n\n", 1)[1]
+    assert rows["http://b.example/"].payload == binary.split(b"\r\n\r\n", 1)[1] and rows["http://b.example/"].page_id == 5
+    assert rows["dns:example.org"].payload == dns
+    reasons = sorted(r.error for r in warc.bad_records(spark, str(arc)).collect())
+    assert [r.split(" ")[0] for r in reasons] == ["no", "not", "record"]
+
+
+def test_binary_pages_round_trip(spark):
+    pages = [(k, f"http://x/{k}", bytes((k * j) % 256 for j in range(200 + k % 2))) for k in range(2 * warc.RECORDS)] + [(-1, "u", None)]
+    table = spark.createDataFrame(pages, "page_id bigint, url string, html binary").coalesce(1)
+    got = {r.page_id: r for r in warc.archive_pages(table).collect()}
+    first = {}
+    for page_id, _, html in sorted(pages, key=lambda p: p[0]):
+        first.setdefault(html, page_id)
+    assert len(got) == len(pages)
+    for page_id, _, html in pages:
+        r = got[page_id]
+        assert r.payload_digest == hashlib.sha256(html or b"").hexdigest()
+        assert r.refers_to == (None if first[html] == page_id else first[html])
+        assert r.payload == ((html or b"") if r.record_type == "response" else None)
