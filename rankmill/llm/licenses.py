@@ -8,25 +8,23 @@ another comes first and rules the other out.
 
 Sentences are taken three ways: with line breaks as spaces (wrapped license files), with line breaks
 as ends (one-line notices below other text), and with lines without letters and digits as ends and other
-line breaks as spaces (paragraphs below a title, a copyright line or an address). What only a later way
-finds is appended; rules are tried on all that was found and on the paragraphs' sentences in their order.
+line breaks as spaces (paragraphs below a title, a copyright line or an address). What the three find is
+merged by position: the letters and digits (ASCII) ahead of a sentence, which no way of cutting changes. So a
+sentence that several ways find counts once, a known sentence within a longer one beside it, and rules see
+the order of the text.
 Long sentences are in the table as the ends of their original punctuation cut them, and without it.
 
-The SQL twin knows the first two ways only.
-
 Null and empty texts have no sentences and no license. Rows are judged one by one: the operator is a
-narrow projection. The table and the rules are fixed lists in this file.
+narrow projection, repeated rows give repeated results and an empty table none. Texts may be of any length. Of
+the input only `doc_id` and `text` are read, so further columns may have any name; null ids stay null. The table and the rules are fixed lists in this file.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankmill.llm.common import ascii_lower, opened, text_of
+from rankmill.llm.common import ascii_lower, opened, text_of, with_running
 
 # fixed values: sentences of public licenses and of common notices, normalised
 SENTENCES = {
@@ -122,11 +120,20 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(ascii_lower(text), "[^a-z0-9]+", " "))
 
 
-def _identifiers(text: Column) -> Column:
-    """Identifiers of the known sentences of a text whose sentences end with line breaks."""
+def _length(sentence: Column) -> Column:
+    return F.char_length(F.replace(sentence, F.lit(" "), F.lit("")))
+
+
+def _known(way: str) -> Column:
+    """(start, end, id) of the known sentences of one way."""
     table = F.create_map(*[F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)])
-    sentences = F.transform(F.split(text, "\n", -1), normalised)
-    return F.filter(F.transform(sentences, lambda s: F.try_element_at(table, s)), lambda s: s.isNotNull())
+    ends = F.col(f"{way}_end")
+
+    def hit(s: Column, i: Column) -> Column:
+        end = F.get(ends, i)
+        return F.struct((end - _length(s)).alias("start"), end.alias("end"), F.try_element_at(table, s).alias("id"))
+
+    return F.filter(F.transform(way, hit), lambda h: h["id"].isNotNull())
 
 
 def rule_pattern(names: tuple[str, ...]) -> str:
@@ -134,11 +141,11 @@ def rule_pattern(names: tuple[str, ...]) -> str:
     return r"\|" + r"(.*\|)?".join(name.replace(".", r"\.") + r"\|" for name in names)
 
 
-def _licenses(*sequences: Column) -> Column:
-    """Names of the rules that any of the sequences meets."""
+def _licenses(sequence: Column) -> Column:
+    """Names of the rules that the sequence meets."""
     found: dict[str, Column] = {}
     for name, names, over in RULES:
-        hit = reduce(or_, [sequence.rlike(rule_pattern(names)) for sequence in sequences])
+        hit = sequence.rlike(rule_pattern(names))
         for other in over:
             hit = hit & ~found[other]
         found[name] = found[name] | hit if name in found else hit
@@ -158,15 +165,18 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     lines = F.regexp_replace("told", ENDS, "$1\n")
     none = F.array().cast("array<string>")
     ways = {"a": wrapped, "b": lines, "c": paragraphs}
-    found = opened(cued, **{way: F.coalesce(_identifiers(text), none) for way, text in ways.items()})
-    found = opened(found, ids=F.concat("a", F.array_except(F.concat("b", "c"), "a")))
-
-    def sequence(ids: str) -> Column:
-        return F.concat(F.lit("|"), F.array_join(ids, "|"), F.lit("|"))
-
-    return opened(found, sequence=sequence("ids"), ordered=sequence("c")).select(
+    found = opened(
+        cued,
+        **{way: F.coalesce(F.transform(F.split(text, "\n", -1), normalised), none) for way, text in ways.items()},
+    )
+    found = with_running(found, {f"{way}_end": F.transform(way, _length) for way in ways})
+    found = opened(found, every=F.array_sort(F.concat(*[_known(way) for way in ways])))
+    once = F.filter("every", lambda h, i: (i == 0) | (h != F.get("every", i - 1)))
+    found = opened(found, ids=F.transform(once, lambda h: h["id"]))
+    found = opened(found, sequence=F.concat(F.lit("|"), F.array_join("ids", "|"), F.lit("|")))
+    return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_sentences"),
         F.array_join("ids", ",").alias("sentences"),
-        F.array_join(_licenses(F.col("sequence"), F.col("ordered")), ",").alias("licenses"),
+        F.array_join(_licenses(F.col("sequence")), ",").alias("licenses"),
     )

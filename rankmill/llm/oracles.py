@@ -31,37 +31,38 @@ GROUP BY k.doc_id
 
 
 def _op2() -> str:
+    ends = r"([.!?;:])[\x20\x09-\x0D]"
     table = ", ".join(f"('{sentence}', '{name}')" for name, sentence in licenses.SENTENCES.items())
     plain = "trim(regexp_replace(" + _LOWER.format("s") + ", '[^a-z0-9]+', ' ', 'g'))"
     hits: dict[str, str] = {}
     for name, ids, over in licenses.RULES:
-        hit = " AND ".join(
-            [f"regexp_matches(seq, '{licenses.rule_pattern(ids)}')", *[f"NOT ({hits[other]})" for other in over]]
-        )
+        hit = " AND ".join([f"seq LIKE '%|{'|%|'.join(ids)}|%'", *[f"NOT ({hits[other]})" for other in over]])
         hits[name] = f"({hits[name]}) OR ({hit})" if name in hits else hit
     named = ", ".join(f"CASE WHEN {hit} THEN '{name}' END" for name, hit in hits.items())
     return f"""
 WITH known(sentence, id) AS (VALUES {table}),
-ways AS (
-  SELECT doc_id, 0 AS way, regexp_replace(regexp_replace(coalesce(text, ''), '{_SPACE}+', ' ', 'g'), '{licenses.ENDS}', '\\1' || chr(10), 'g') AS t
-  FROM documents
+texts AS (
+  SELECT doc_id, coalesce(text, '') AS t FROM documents
+), ways AS (
+  SELECT doc_id, 0 AS way, regexp_replace(regexp_replace(t, '{_SPACE}+', ' ', 'g'), '{ends}', '\\1' || chr(10), 'g') AS t FROM texts
+  UNION ALL
+  SELECT doc_id, 1, regexp_replace(t, '{ends}', '\\1' || chr(10), 'g') FROM texts
   UNION ALL
-  SELECT doc_id, 1, regexp_replace(coalesce(text, ''), '{licenses.ENDS}', '\\1' || chr(10), 'g') FROM documents
+  SELECT doc_id, 2, replace(regexp_replace(regexp_replace(regexp_replace(t, '\\n([^A-Za-z0-9\\n]*\\n)+', chr(1), 'g'),
+         '{_SPACE}+', ' ', 'g'), '{ends}', '\\1' || chr(10), 'g'), chr(1), chr(10)) FROM texts
 ), cut AS (
   SELECT doc_id, way, unnest(string_split(t, chr(10))) AS s, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM ways
+), plain AS (
+  SELECT doc_id, way, pos, {plain} AS sentence, length(replace({plain}, ' ', '')) AS size FROM cut
+), placed AS (
+  SELECT doc_id, sentence, size, sum(size) OVER (PARTITION BY doc_id, way ORDER BY pos) AS stop FROM plain
 ), found AS (
-  SELECT doc_id, way, pos, id FROM cut JOIN known ON {plain} = sentence
-), listed AS (
-  SELECT doc_id, way, pos, id FROM found WHERE way = 0
-  UNION ALL
-  SELECT doc_id, way, min(pos), id FROM found f WHERE way = 1
-    AND NOT EXISTS (SELECT 1 FROM found a WHERE a.way = 0 AND a.doc_id = f.doc_id AND a.id = f.id)
-  GROUP BY doc_id, way, id
+  SELECT DISTINCT doc_id, stop - size AS start, stop, id FROM placed JOIN known USING (sentence)
 ), sequences AS (
-  SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY way, pos) AS ids FROM listed GROUP BY doc_id
+  SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY start, stop) AS ids FROM found GROUP BY doc_id
 ), all_docs AS (
   SELECT d.doc_id, coalesce(n, 0) AS n_sentences, coalesce(ids, '') AS sentences,
-         '|' || replace(coalesce(ids, ''), ',', '|') || '|' AS seq
+         '|' || replace(coalesce(ids, ''), ',', '||') || '|' AS seq
   FROM documents d LEFT JOIN sequences USING (doc_id)
 )
 SELECT doc_id, n_sentences, sentences, concat_ws(',', {named}) AS licenses FROM all_docs

@@ -27,7 +27,6 @@ itself: repeated rows give repeated results, an empty table gives none. Of the i
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 from operator import or_
 from typing import NamedTuple
@@ -37,7 +36,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankmill.llm.common import opened, stored, text_of
+from rankmill.llm.common import opened, stored, text_of, with_running
 
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = 24
@@ -46,7 +45,6 @@ TREES, DEPTH = 8, 3
 PRECISION = 0.98
 BINS = 50
 SEED = 7
-BLOCK = 128  # elements folded at a time by `_with_running`
 CELL = 256  # characters of a text cell; more than CONTEXT
 STEPS = [2**k for k in range(28, -1, -1)]  # binary search over as many spans as a text can hold
 
@@ -99,38 +97,6 @@ class Model(NamedTuple):
 # -- spans --------------------------------------------------------------------------------
 
 
-def _scan(values: Column, first: Column, combine: Callable[[Column, Column], Column]) -> Column:
-    """`first` and what it becomes with each value; copies its result per value, so for short arrays only."""
-    return F.aggregate(values, F.array(first), lambda out, v: F.concat(out, F.array(combine(F.element_at(out, -1), v))))
-
-
-def _with_running(
-    df: DataFrame, values: dict[str, Column], combine: Callable[[Column, Column], Column] = lambda a, b: a + b
-) -> DataFrame:
-    """Adds per name the running sum (or other fold from zero) of an integer array, BLOCK values at a time."""
-
-    def blocks(name: str) -> Column:
-        last = F.greatest(F.ceil(F.size(name) / BLOCK).cast("int") - 1, F.lit(0))
-        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(name, k * BLOCK + 1, BLOCK))
-
-    def before(name: str) -> Column:
-        totals = F.transform(F.col(f"{name}_blocks"), lambda block: F.aggregate(block, F.lit(0), combine))
-        return _scan(totals, F.lit(0), combine)
-
-    def folded(name: str) -> Column:
-        start = F.col(f"{name}_before")
-        return F.flatten(
-            F.transform(f"{name}_blocks", lambda block, k: F.slice(_scan(block, F.get(start, k), combine), 2, BLOCK))
-        )
-
-    df = opened(df, **values)
-    df = opened(df, **{f"{name}_blocks": blocks(name) for name in values})
-    df = opened(df, **{f"{name}_before": before(name) for name in values})
-    rest = [c for c in df.columns if c not in values]
-    df = opened(df.withColumnsRenamed({name: f"{name}_values" for name in values}), **{name: folded(name) for name in values})
-    return df.select(*[c for c in rest if not c.endswith(("_blocks", "_before"))], *values)
-
-
 def _with_found(df: DataFrame, wanted: dict[str, tuple[str, str, str]]) -> DataFrame:
     """Adds per name the matches of (kind, pattern, hint) in `text` as (kind, start, end, m); what
     `split` leaves between matches gives the places."""
@@ -159,7 +125,7 @@ def _with_found(df: DataFrame, wanted: dict[str, tuple[str, str, str]]) -> DataF
 
         return F.transform(f"{name}_m", span)
 
-    df = _with_running(df, {f"{name}_end": advance(name) for name in wanted})
+    df = with_running(df, {f"{name}_end": advance(name) for name in wanted})
     df = opened(df, **{name: spans(name, kind) for name, (kind, _, _) in wanted.items()})
     return df.drop(*cut, *[f"{name}_end" for name in wanted])
 
@@ -460,7 +426,7 @@ def redact(found: DataFrame) -> DataFrame:
         F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
     df = opened(found.select("doc_id", "text", "spans"), ordered=sorted_spans, cells=_cells(F.col("text")))
-    df = _with_running(df, {"reached": F.transform("ordered", lambda s: s["end"])}, lambda a, b: F.greatest(a, b))
+    df = with_running(df, {"reached": F.transform("ordered", lambda s: s["end"])}, lambda a, b: F.greatest(a, b))
 
     def between(start: Column, end: Column) -> Column:
         first, last = F.floor(start / CELL).cast("int"), F.floor(end / CELL).cast("int")

@@ -7,7 +7,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from rankmill.llm import decontam, licenses, line_dedup, mixing, pii, quality, secret_scan, simhash, substring_dedup, warc
+from rankmill.llm import common, decontam, licenses, line_dedup, mixing, pii, quality, secret_scan, simhash, substring_dedup, warc
 from rankmill.llm.common import ROW, span_text
 
 SHARED = "a line that two documents share"
@@ -258,10 +258,10 @@ def test_personal_data_of_a_long_log(spark):
 
 
 def test_running_folds_across_blocks(spark):
-    values = [(k * 7919) % 101 for k in range(3 * pii.BLOCK + 5)]
-    table = spark.createDataFrame([(0, []), (1, values[: pii.BLOCK]), (2, values)], "id int, v array<int>")
+    values = [(k * 7919) % 101 for k in range(3 * common.BLOCK + 5)]
+    table = spark.createDataFrame([(0, []), (1, values[: common.BLOCK]), (2, values)], "id int, v array<int>")
     for fold, combine in ((sum, None), (max, lambda a, b: F.greatest(a, b))):
-        folded = pii._with_running(table, {"out": F.col("v")}, *([combine] if combine else []))
+        folded = common.with_running(table, {"out": F.col("v")}, *([combine] if combine else []))
         for r in folded.collect():
             assert r.out == [fold(r.v[: k + 1]) for k in range(len(r.v))]
 
@@ -271,6 +271,24 @@ def test_isotonic():
     assert pii.isotonic([(0, 0), (0, 0)]) == [0.0, 0.0]
 
 
+def test_license_rules_need_the_order_of_the_text(spark):
+    """Sentences of a rule in order give its license, the same ones backwards do not, however they are found."""
+    rules = [(name, ids) for name, ids, _ in licenses.RULES if len(ids) > 1]
+    rows = []
+    for k, (_, ids) in enumerate(rules):
+        told = [licenses.SENTENCES[i] for i in ids]
+        for j, mark in enumerate((". ", "\n", "\n\n")):
+            rows += [(100 * k + 10 * j, mark.join(told) + "."), (100 * k + 10 * j + 1, mark.join(told[::-1]) + ".")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licenses.scan_licenses(table).collect()}
+    for k, (name, ids) in enumerate(rules):
+        for j in range(3):
+            there, back = got[100 * k + 10 * j], got[100 * k + 10 * j + 1]
+            # a known sentence may be the start of a longer one, which then stands beside it
+            assert [i for i in there.sentences.split(",") if i in ids] == list(ids) and name in there.licenses.split(",")
+            assert [i for i in back.sentences.split(",") if i in ids] == list(ids[::-1]) and name not in back.licenses.split(",")
+
+
 def test_archives(spark, tmp_path):
     shared = "<p>" + "same " * 40 + "\r\n\r\nWARC/1.0\r\nContent-Length: 5\r\n\r\n</p>"
     pages = [
