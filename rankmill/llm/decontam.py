@@ -8,24 +8,29 @@ are retrieved, then verified on the whole document: five-word shingles of questi
 occur in it. An item leaked if 0.8 of all its shingles occur, or 0.8 of those of a question of eight
 words or more.
 
-A document can meet the leak rule below that score: by a long answer without its question, or without
-the few rare words of the question. So the shingles of both parts are indexed as well, and the
-document's are counted by item; every item whose count may meet the leak rule is verified, and listed
-if it leaked, whatever its score.
+A document can meet the leak rule below that score: by a long answer without its question, without the
+few rare words of the question, or by parts that lie far apart. Leaks are therefore retrieved by a second
+query, the words of a whole document, from the inverted index over question and answer together and, for
+questions of eight words or more, the question alone. The threshold of each such entry is the lowest
+score that a document which meets its leak rule can have: its own score less the most that words can
+weigh which are lost when a fifth of its shingles is missing (`most_lost`). So no leak scores below its
+threshold, and every leaked pair comes from the index. The shingles of what is retrieved are then counted.
 
 Pruning, as in WAND: terms are split so that all non-essential (frequent) ones together can't reach
-half of any item's threshold. Postings of essential terms only are followed, block by block of
-items of similar length; a block whose summed block maxima, with the most that non-essential terms
-could add, stay below the threshold is skipped without looking at its items. Bounds never
-underestimate, so pruning loses no pair. It is evaluated for a whole batch of passages at once.
+half of any entry's threshold. Postings of essential terms only are followed, block by block of
+entries of similar length; a block whose summed block maxima, with the most that non-essential terms
+could add, stay below the threshold is skipped without looking at its entries. Bounds never
+underestimate, so pruning loses no pair. It is evaluated for a whole batch of passages at once, in steps
+of at most `STEP` postings or one passage.
 
 The index holds the items only. They are read to the driver when they have at most `INDEX_MB`
 of text; a larger benchmark is worked off in slices of that size, one pass over the documents each.
 Items per term, the mean and the longest question are those of the whole benchmark in every slice, so
 scores and retrieved pairs are the same for one slice or many.
 
-Null and empty texts leak nothing, null and empty items can't leak; rows that repeat a document or
-an item are reported each for itself. Words are compared lower-cased, without punctuation.
+Null and empty texts leak nothing, null and empty items can't leak; empty tables give no rows; rows that
+repeat a document or an item are reported each for itself, and a score that equals its threshold is
+retrieved. Texts of any length are one query each. Words are compared lower-cased, without punctuation.
 """
 
 from __future__ import annotations
@@ -50,6 +55,7 @@ K1, B = 1.2, 0.75
 BLOCK = 8
 INDEX_MB = 64
 MEMO = 500_000
+STEP = 4_000_000
 FOUND = "row bigint, item_id bigint, score double, question_overlap double, answer_overlap double, leaked boolean"
 
 
@@ -105,90 +111,199 @@ def _items(rows: list[tuple[int | None, str]]) -> list[Item]:
     return [item for item in (Item(i, t) for i, t in rows if t) if item.question]
 
 
+def most_lost(parts: list[list[str]], weights: dict[str, float]) -> float:
+    """The most that words can weigh which no shingle holds once a fifth of all shingles is missing.
+
+    A word is lost when all shingles over it are missing: one at either end of a part, five inside. The
+    state is the run of missing shingles so far (beyond both ends all are missing at no cost) by the
+    number of missing ones. A repeated shingle is missing at all its places, and a repeated word counts
+    at its first place; both can only raise the result.
+    """
+    grams = [tuple(p[i : i + SHINGLE]) for p in parts for i in range(max(1, len(p) - SHINGLE + 1))]
+    times = [n for p in parts for n in Counter(tuple(p[i : i + SHINGLE]) for i in range(max(1, len(p) - SHINGLE + 1))).values()]
+    missing = sum(sorted(times, reverse=True)[: math.floor((1 - SIMILAR) * len(times) + 1e-9)])
+    if missing >= len(grams):
+        return sum(weights.values())
+    seen: set[str] = set()
+    best = np.zeros(missing + 1)
+    for part in parts:
+        runs = np.full((SHINGLE + 1, missing + 1), -np.inf)
+        runs[SHINGLE] = best
+        places = max(1, len(part) - SHINGLE + 1)
+        for at, word in enumerate(part):
+            weight = 0.0 if word in seen else weights[word]
+            seen.add(word)
+            after = np.full_like(runs, -np.inf)
+            cost = 1 if at < places else 0
+            after[1:, cost:] = runs[:-1, : missing + 1 - cost]
+            after[SHINGLE, cost:] = np.maximum(after[SHINGLE, cost:], runs[SHINGLE, : missing + 1 - cost])
+            after[SHINGLE] += weight
+            if cost:
+                after[0] = runs.max(0)
+            runs = after
+        best = runs.max(0)
+    return float(best.max())
+
+
 class Statistics(NamedTuple):
-    """Figures of a whole benchmark: items, words of their questions, the longest one, items per term."""
+    """Figures of a whole benchmark's texts: their number, words, the longest one, texts per term."""
 
-    items: int
+    texts: int
     words: int
     longest: int
     df: dict[str, int]
 
     @classmethod
-    def of(cls, items: list[Item]) -> Statistics:
-        lengths = [len(x.question) for x in items]
-        return cls(len(items), sum(lengths), max(lengths, default=0), Counter(w for x in items for w in set(x.question)))
+    def of(cls, texts: list[list[str]]) -> Statistics:
+        lengths = [len(x) for x in texts]
+        return cls(len(texts), sum(lengths), max(lengths, default=0), Counter(w for x in texts for w in set(x)))
 
+    def impacts(self, words: list[str]) -> dict[str, float]:
+        """What each word of an indexed text adds to its score."""
+        mean = self.words / max(self.texts, 1)
+        out = {}
+        for w, tf in Counter(words).items():
+            idf = math.log(1 + (self.texts - self.df[w] + 0.5) / (self.df[w] + 0.5))
+            out[w] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean))
+        return out
 
-class Index:
-    """Inverted index over items with impacts relative to each item's threshold.
 
-    The items may be a slice of the benchmark; passages and impacts are those of the whole one if its
-    statistics are given, so that scores do not depend on the slices.
+class Postings:
+    """Inverted index over entries, their impacts relative to each entry's threshold.
+
+    Entries come in order of length, so that blocks hold similar ones.
     """
 
-    def __init__(self, rows: list[tuple[int | None, str]], statistics: Statistics | None = None):
-        items = _items(rows)
-        self.items = sorted(items, key=lambda x: len(x.question))  # blocks of similar length
-        figures = statistics or Statistics.of(items)
-        self.longest, df = figures.longest, figures.df
-        self.terms = {w: k for k, w in enumerate(dict.fromkeys(w for x in self.items for w in x.question))}
-        mean = figures.words / max(figures.items, 1)
-        postings: dict[int, list[tuple[int, float]]] = defaultdict(list)
-        self.own = []
-        for n, x in enumerate(self.items):
-            impact = {}
-            for w, tf in Counter(x.question).items():
-                idf = math.log(1 + (figures.items - df[w] + 0.5) / (df[w] + 0.5))
-                impact[w] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(x.question) / mean))
-            self.own.append(sum(impact.values()))
-            for w, value in impact.items():
-                postings[self.terms[w]].append((n, value / (SCORE * self.own[n])))
-        self.postings = postings
+    def __init__(self, entries: list[dict[int, float]], n_terms: int):
+        self.n_entries, self.n_terms = len(entries), n_terms
+        self.lists: list[dict[int, float]] = [{} for _ in range(n_terms)]
+        for n, impacts in enumerate(entries):
+            for term, value in impacts.items():
+                self.lists[term][n] = value
+        self.sizes = np.array([len(x) for x in self.lists], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.entries = np.array([n for x in self.lists for n in x], np.int64)
+        self.values = np.array([v for x in self.lists for v in x.values()])
         self._split()
         self._block_maxima()
-        self._shingle_lists()
 
     def _split(self) -> None:
-        """Frequent terms are non-essential while they can't add half of any item's threshold."""
-        added = np.zeros(len(self.items))
-        self.essential = np.ones(len(self.terms), bool)
-        for term in sorted(self.postings, key=lambda t: -len(self.postings[t])):
-            if len(self.postings[term]) < 2:
+        """Frequent terms are non-essential while they can't add half of any entry's threshold."""
+        added = np.zeros(self.n_entries)
+        self.essential = np.ones(self.n_terms, bool)
+        for term in np.argsort(-self.sizes, kind="stable"):
+            if self.sizes[term] < 2:
                 break
-            rows = [n for n, _ in self.postings[term]]
-            values = [v for _, v in self.postings[term]]
+            own = slice(self.starts[term], self.starts[term] + self.sizes[term])
+            rows, values = self.entries[own], self.values[own]
             if (added[rows] + values).max() > 0.5:
                 continue
             added[rows] += values
             self.essential[term] = False
-        blocks = np.arange(len(self.items)) // BLOCK
-        self.n_blocks = int(blocks[-1]) + 1 if len(self.items) else 0
+        blocks = np.arange(self.n_entries) // BLOCK
+        self.n_blocks = int(blocks[-1]) + 1 if self.n_entries else 0
         self.slack = np.zeros(self.n_blocks)  # what non-essential terms add at most, by block
         np.maximum.at(self.slack, blocks, added)
 
     def _block_maxima(self) -> None:
         """For essential terms: the blocks that hold them and their largest impact there."""
-        blocks, maxima, counts = [], [], np.zeros(len(self.terms), np.int64)
-        for term in range(len(self.terms)):
-            if self.essential[term]:
-                best: dict[int, float] = {}
-                for n, value in self.postings[term]:
-                    best[n // BLOCK] = max(best.get(n // BLOCK, 0.0), value)
-                blocks += best
-                maxima += best.values()
-                counts[term] = len(best)
+        blocks, maxima, counts = [], [], np.zeros(self.n_terms, np.int64)
+        for term in np.flatnonzero(self.essential):
+            best: dict[int, float] = {}
+            for n, value in self.lists[term].items():
+                best[n // BLOCK] = max(best.get(n // BLOCK, 0.0), value)
+            blocks += best
+            maxima += best.values()
+            counts[term] = len(best)
         self.blocks, self.maxima, self.counts = np.array(blocks, np.int64), np.array(maxima), counts
         self.firsts = np.cumsum(counts) - counts
-        self.lists = [dict(self.postings[t]) for t in range(len(self.terms))]
 
-    def _shingle_lists(self) -> None:
-        """Hashes of all shingles, the parts that hold them, and how many each item needs to leak.
+    def retrieve(self, passages: np.ndarray, terms: np.ndarray) -> Iterator[tuple[int, int, float]]:
+        """(passage, entry, score relative to the threshold) with a score of one or more.
 
-        A part shorter than a shingle counts as one; it is taken as held until verified. Items of such
-        parts only are found by their question.
+        `passages` and `terms` list which passage holds which term; pairs may repeat.
         """
+        pairs = np.unique(passages * self.n_terms + terms)
+        if not len(pairs):
+            return
+        passages, terms = pairs // self.n_terms, pairs % self.n_terms
+        begins = np.flatnonzero(np.diff(passages, prepend=-1))
+        before = (np.cumsum(self.sizes[terms]) - self.sizes[terms])[begins]
+        cuts = begins[np.flatnonzero(np.diff(before // STEP, prepend=-1))].tolist()
+        for lo, hi in zip(cuts, [*cuts[1:], len(pairs)], strict=True):
+            yield from self._retrieve(passages[lo:hi], terms[lo:hi])
+
+    def _retrieve(self, passages: np.ndarray, terms: np.ndarray) -> Iterator[tuple[int, int, float]]:
+        strong = self.essential[terms]
+        counts = self.counts[terms[strong]]
+        at = np.repeat(self.firsts[terms[strong]] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        places, where = np.unique(np.repeat(passages[strong], counts) * self.n_blocks + self.blocks[at], return_inverse=True)
+        bound = np.bincount(where, self.maxima[at], len(places)) + self.slack[places % self.n_blocks]
+        places = places[bound >= 1 - 1e-9]
+        if not len(places):
+            return
+        inside = np.isin(passages, places // self.n_blocks)
+        passages, terms = passages[inside], terms[inside]
+        counts = self.sizes[terms]
+        at = np.repeat(self.starts[terms] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        passages, entries, values = np.repeat(passages, counts), self.entries[at], self.values[at]
+        open_block = np.isin(passages * self.n_blocks + entries // BLOCK, places)
+        keys, where = np.unique(passages[open_block] * self.n_entries + entries[open_block], return_inverse=True)
+        scores = np.bincount(where, values[open_block], len(keys))
+        for key, score in zip(keys[scores >= 1 - 1e-9].tolist(), scores[scores >= 1 - 1e-9].tolist(), strict=True):
+            yield *divmod(key, self.n_entries), score
+
+
+class Index:
+    """The items of a benchmark or of a slice of it: questions for passages, leak entries for whole texts.
+
+    Passages and impacts are those of the whole benchmark if the statistics of its questions and of its
+    whole texts are given, so that scores do not depend on the slices.
+    """
+
+    def __init__(self, rows: list[tuple[int | None, str]], statistics: tuple[Statistics, Statistics] | None = None):
+        self.items = sorted(_items(rows), key=lambda x: len(x.question))  # blocks of similar length
+        asked, whole = statistics or (
+            Statistics.of([x.question for x in self.items]),
+            Statistics.of([x.question + x.answer for x in self.items]),
+        )
+        self.longest = asked.longest
+        self.terms = {w: k for k, w in enumerate(dict.fromkeys(w for x in self.items for w in x.question))}
         answers = (w for x in self.items for w in x.answer if w not in self.terms)
         self.words = self.terms | {w: len(self.terms) + k for k, w in enumerate(dict.fromkeys(answers))}
+        self.questions = Postings([self._relative(asked.impacts(x.question), SCORE) for x in self.items], len(self.terms))
+        self._leak_entries(whole)
+        self._shingle_lists()
+
+    def _relative(self, impacts: dict[str, float], threshold: float) -> dict[int, float]:
+        """Impacts by term number, relative to a share of their sum."""
+        own = sum(impacts.values())
+        return {self.words[w]: value / (threshold * own) for w, value in impacts.items()}
+
+    def _leak_entries(self, statistics: Statistics) -> None:
+        """Entries whose thresholds no leak stays below: question and answer together, long questions alone."""
+        entries = []
+        for n, x in enumerate(self.items):
+            rules = [[p for p in (x.question, x.answer) if p]]
+            if x.answer and len(x.question) >= ENOUGH_WORDS:
+                rules.append([x.question])
+            for parts in rules:
+                words = [w for p in parts for w in p]
+                impacts = statistics.impacts(words)
+                own = sum(impacts.values())
+                # some shingle is held in any case, and so some word
+                least = max(own - most_lost(parts, impacts), min(impacts.values()))
+                entries.append((len(words), n, self._relative(impacts, least / own)))
+        entries.sort(key=lambda e: e[:2])
+        self.leak_items = [n for _, n, _ in entries]
+        self.leaks = Postings([e for _, _, e in entries], len(self.words))
+
+    def _shingle_lists(self) -> None:
+        """Hashes of all shingles, the parts that hold them, and how many each item needs to leak.
+
+        A part shorter than a shingle counts as one; it is taken as held until its words are compared.
+        Items of such parts only are counted by their question.
+        """
         self.lengths: set[int] = set()
         self.needs = np.full((len(self.items), 2), np.inf)  # of both parts, of the question
         holders: dict[int, list[int]] = defaultdict(list)
@@ -212,8 +327,21 @@ class Index:
         self.gram_firsts = np.cumsum(self.gram_counts) - self.gram_counts
         self.gram_parts = np.array([part for x in lists for part in x], np.int64)
 
-    def may_leak(self, texts: list[np.ndarray]) -> set[tuple[int, int]]:
-        """(text, item) of all pairs that can meet the leak rule, from the word numbers of the texts."""
+    def retrieve_leaks(self, texts: list[np.ndarray]) -> set[tuple[int, int]]:
+        """(text, item) of all pairs whose score reaches the threshold of a leak."""
+        held = [np.unique(ids[ids >= 0]) for ids in texts]
+        owners = np.repeat(np.arange(len(texts)), [len(x) for x in held])
+        return {(n, self.leak_items[entry]) for n, entry, _ in self.leaks.retrieve(owners, np.concatenate(held))}
+
+    def enough_shingles(self, texts: list[np.ndarray], pairs: set[tuple[int, int]]) -> set[tuple[int, int]]:
+        """Those of the (text, item) pairs whose shingles, by their hashes, are enough for the leak rule."""
+        if not pairs:
+            return set()
+        numbers = sorted({n for n, _ in pairs})
+        counted = self._counted([texts[n] for n in numbers])
+        return pairs & {(numbers[n], item) for n, item in counted}
+
+    def _counted(self, texts: list[np.ndarray]) -> set[tuple[int, int]]:
         # a word of no item between two texts, so that no shingle spans them
         ids = np.concatenate([x for ids in texts for x in (ids, [-1])])
         starts = np.cumsum([0] + [len(x) + 1 for x in texts[:-1]])
@@ -241,40 +369,13 @@ class Index:
 
     def score(self, ids: np.ndarray, item: int) -> float:
         """The best score of an item over all passages of a text, relative to the threshold."""
-        impacts = {self.terms[w]: self.lists[self.terms[w]][item] for w in self.items[item].question}
+        impacts = {self.terms[w]: self.questions.lists[self.terms[w]][item] for w in self.items[item].question}
         held: dict[int, set[int]] = defaultdict(set)
         for at in np.flatnonzero(np.isin(ids, list(impacts))).tolist():
             for part in (at // self.longest, at // self.longest - 1):
                 held[part].add(int(ids[at]))
         return max((sum(impacts[t] for t in sorted(terms)) for part, terms in held.items() if part >= 0), default=0.0)
 
-    def retrieve(self, passages: np.ndarray, terms: np.ndarray) -> list[tuple[int, int, float]]:
-        """(passage, item, score relative to the threshold) with a score of one or more.
-
-        `passages` and `terms` list which passage holds which term; pairs may repeat.
-        """
-        pairs = np.unique(passages * len(self.terms) + terms)
-        passages, terms = pairs // len(self.terms), pairs % len(self.terms)
-        strong = self.essential[terms]
-        counts = self.counts[terms[strong]]
-        if not counts.sum():
-            return []
-        at = np.repeat(self.firsts[terms[strong]] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-        entry = np.repeat(passages[strong], counts) * self.n_blocks + self.blocks[at]
-        places, where = np.unique(entry, return_inverse=True)
-        bound = np.bincount(where, self.maxima[at]) + self.slack[places % self.n_blocks]
-        found = []
-        for place in places[bound >= 1 - 1e-9]:
-            passage, block = divmod(int(place), self.n_blocks)
-            lo, hi = np.searchsorted(passages, [passage, passage + 1])
-            scores: dict[int, float] = defaultdict(float)
-            for term in terms[lo:hi]:
-                for n, value in self.lists[term].items():
-                    if n // BLOCK == block:
-                        scores[n] += value
-            found += [(passage, n, s) for n, s in scores.items() if s >= 1 - 1e-9]
-        return found
-
 
 class _Terms(dict):
     """Word as it stands to term number, -1 for words of no item, -2 for no word at all."""
@@ -313,11 +414,12 @@ def _leaks_of(index: Index, texts: list[str], memo: _Terms) -> Iterator[tuple[in
         return
     starts = [b for b, _ in owners]
     best: dict[tuple[int, int], float] = {}
-    for passage, item, score in index.retrieve(np.concatenate(places), np.concatenate(numbers)):
+    for passage, item, score in index.questions.retrieve(np.concatenate(places), np.concatenate(numbers)):
         n = owners[int(np.searchsorted(starts, passage, "right")) - 1][1]
         best[n, item] = max(best.get((n, item), 0.0), score)
     current, held, plain = -1, set(), ""
-    for n, item in sorted(best.keys() | index.may_leak(bodies)):
+    likely = index.enough_shingles(bodies, index.retrieve_leaks(bodies))
+    for n, item in sorted(best.keys() | likely):
         if n != current:
             words = bare_words(texts[n])
             current, held, plain = n, shingles(words), f" {' '.join(words)} "
@@ -327,12 +429,21 @@ def _leaks_of(index: Index, texts: list[str], memo: _Terms) -> Iterator[tuple[in
             yield n, item, score * SCORE, *overlaps, leaked
 
 
-def _question_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The number of words of each question, and its different ones."""
+ITEM_WORDS = "asked_words long, words long, asked array<string>, answered array<string>"
+
+
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of each question and of question and answer; different ones of the question, and of the answer only."""
     for batch in batches:
         items = _items([(None, text) for text in batch.column(0).to_pylist()])
-        arrays = [pa.array([len(x.question) for x in items], pa.int64()), pa.array([sorted(set(x.question)) for x in items], pa.list_(pa.string()))]
-        yield pa.RecordBatch.from_arrays(arrays, ["words", "terms"])
+        asked = [set(x.question) for x in items]
+        arrays = [
+            pa.array([len(x.question) for x in items], pa.int64()),
+            pa.array([len(x.question) + len(x.answer) for x in items], pa.int64()),
+            pa.array([sorted(q) for q in asked], pa.list_(pa.string())),
+            pa.array([sorted(set(x.answer) - q) for x, q in zip(items, asked, strict=True)], pa.list_(pa.string())),
+        ]
+        yield pa.RecordBatch.from_arrays(arrays, ["asked_words", "words", "asked", "answered"])
 
 
 def _slices(items: DataFrame) -> Iterator[Index]:
@@ -346,14 +457,25 @@ def _slices(items: DataFrame) -> Iterator[Index]:
     if parts == 1:
         yield Index([(r["item_id"], r["text"]) for r in items.collect()])
         return
-    questions = stored(items.select("text").mapInArrow(_question_words, "words long, terms array<string>"), "benchmark-words")
-    n, words, longest = questions.agg(F.count("words"), F.sum("words"), F.max("words")).head()
-    df = stored(questions.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")), "benchmark-terms")
+
+    def terms(table: DataFrame) -> DataFrame:
+        asked = table.select(F.explode("asked").alias("term"), F.lit(1).alias("asked"))
+        return asked.unionByName(table.select(F.explode("answered").alias("term"), F.lit(0).alias("asked")))
+
+    texts = stored(items.select("text").mapInArrow(_item_words, ITEM_WORDS), "benchmark-words")
+    n, asked_words, longest, words, longest_text = texts.agg(
+        F.count("words"), F.sum("asked_words"), F.max("asked_words"), F.sum("words"), F.max("words")
+    ).head()
+    df = stored(terms(texts).groupBy("term").agg(F.sum("asked").alias("asked"), F.count("*").alias("df")), "benchmark-terms")
     for k in range(parts):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
-        own = part.select("text").mapInArrow(_question_words, "words long, terms array<string>").select(F.explode("terms").alias("term"))
-        counts = {r["term"]: r["df"] for r in df.join(own.distinct(), "term", "left_semi").collect()}
-        yield Index([(r["item_id"], r["text"]) for r in part.collect()], Statistics(n, words or 0, longest or 0, counts))
+        own = terms(part.select("text").mapInArrow(_item_words, ITEM_WORDS)).select("term").distinct()
+        counts = df.join(own, "term", "left_semi").collect()
+        statistics = (
+            Statistics(n, asked_words or 0, longest or 0, {r["term"]: r["asked"] for r in counts}),
+            Statistics(n, words or 0, longest_text or 0, {r["term"]: r["df"] for r in counts}),
+        )
+        yield Index([(r["item_id"], r["text"]) for r in part.collect()], statistics)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

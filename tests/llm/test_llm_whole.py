@@ -1,8 +1,12 @@
 """Cases that an index, a splitter or a sample must not lose."""
 
+import math
 import random
+from itertools import combinations
 
 import brute
+import numpy as np
+import pytest
 
 from rankmill.llm import decontam, licenses, simhash
 
@@ -43,6 +47,67 @@ def test_leaks_of_any_part_equal_brute_force(spark):
     assert any(r.leaked and r.score < decontam.SCORE for r in rows)
 
 
+def test_lost_words_equal_all_choices_of_missing_shingles():
+    rnd = random.Random(5)
+    for size in (4, 10, 1000) * 40:
+        parts = [[f"w{rnd.randrange(size)}" for _ in range(rnd.randint(1, 16))] for _ in range(rnd.choice((1, 2)))]
+        weights = {w: rnd.random() + 0.1 for p in parts for w in p}
+        places = [(k, i) for k, p in enumerate(parts) for i in range(max(1, len(p) - 4))]
+        gram = {(k, i): (k, *parts[k][i : i + 5]) for k, i in places}
+        worst = 0.0
+        for missing in combinations(sorted(set(gram.values())), len(set(gram.values())) // 5):
+            held = {w for k, i in places if gram[k, i] not in missing for w in parts[k][i : i + 5]}
+            worst = max(worst, sum(v for w, v in weights.items() if w not in held))
+        got = decontam.most_lost(parts, weights)
+        assert got >= worst - 1e-12
+        if len(weights) == sum(map(len, parts)):
+            assert got == pytest.approx(worst)
+
+
+@pytest.mark.parametrize("step", [1, decontam.STEP])
+def test_index_retrieves_every_pair_at_its_threshold(spark, monkeypatch, step):
+    """Every (document, item) pair scored plainly: those at a threshold are retrieved, no other, and all leaks are."""
+    monkeypatch.setattr(decontam, "STEP", step)
+    docs, items, _, _ = leak_tables(spark)
+    index = decontam.Index(items)
+    numbers = {item.item_id: n for n, item in enumerate(index.items)}
+    bodies = [np.array([index.words.get(w, -1) for w in brute.bare(text)], np.int64) for _, text in docs]
+    got = index.retrieve_leaks(bodies)
+
+    texts = {i: [brute.bare(p) for p in (t.strip().rpartition("\n")[0] or t, t.strip().rpartition("\n")[2] if "\n" in t else "")] for i, t in items}
+    whole = [q + a for q, a in texts.values()]
+    df = {w: sum(w in t for t in whole) for t in whole for w in t}
+    mean = sum(map(len, whole)) / len(whole)
+    expected = set()
+    for item, (q, a) in texts.items():
+        for parts in [[p for p in (q, a) if p]] + ([[q]] if a and len(q) >= 8 else []):
+            words = [w for p in parts for w in p]
+            impact = {}
+            for w in words:
+                idf = math.log(1 + (len(whole) - df[w] + 0.5) / (df[w] + 0.5))
+                impact[w] = idf * words.count(w) * 2.2 / (words.count(w) + 1.2 * (0.25 + 0.75 * len(words) / mean))
+            least = max(sum(impact.values()) - decontam.most_lost(parts, impact), min(impact.values()))
+            for n, (_, text) in enumerate(docs):
+                held = set(brute.bare(text))
+                if sum(v for w, v in impact.items() if w in held) >= least * (1 - 1e-9):
+                    expected.add((n, numbers[item]))
+    assert got == expected
+    leaked = {(d, numbers[i]) for d, i in brute.leaks(docs, items)}
+    assert leaked <= got and len(got) < len(docs) * len(items)
+
+
+def test_parts_scattered_over_a_long_text_leak(spark):
+    """Pieces of one question far apart, thousands of words between them, in one document."""
+    question = [f"q{k}" for k in range(40)]
+    filler = [f"f{k % 997}" for k in range(6000)]
+    pieces = [*question[:18], *filler, *question[14:32], *filler, *question[28:]]
+    rows = [(1, " ".join(pieces)), (2, " ".join([*filler, *question[:18]])), (3, ""), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(question)), (8, None), (9, "")], "item_id bigint, text string")
+    (row,) = decontam.find_leaks(docs, items).filter("leaked").collect()
+    assert (row.doc_id, row.item_id, row.question_overlap) == (1, 7, 1.0)
+
+
 MIT = """MIT License
 
 Copyright (c) 2020 Jane Doe
