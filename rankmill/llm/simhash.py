@@ -21,12 +21,10 @@ row; a component of null ids only has a null component id.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,11 +35,6 @@ from rankmill.llm.components import component_roots
 SEED = 42
 DISTANCE = 2
 SEGMENTS = 4
-SIMILAR = 0.8
-SLOTS, SAMPLE = 8, 3
-SMALL = 32  # members of an index entry that are paired with one another
-ENTRY = ["slot", "word"]
-BUCKETS_LOG2, BUCKET_BLOCKS = 22, 64  # counters of shingles by their hash, for the order of the prefix filter
 #: hashes that are unpacked to bits at once, which bounds the memory of a very long text
 CHUNK = 65536
 
@@ -121,7 +114,7 @@ def fingerprint_links(prints: DataFrame, segments: int = SEGMENTS) -> DataFrame:
 
 
 def _grouped(printed: DataFrame) -> DataFrame:
-    """Adds `component_id` to a stored table with `id` (never null) and `fp`."""
+    """Adds `root` and `component_id` to a stored table with `id` (never null) and `fp`."""
     groups = stored(printed.groupBy("fp").agg(F.min("id").alias("first_id")), "fingerprint-groups")
     roots = component_roots(fingerprint_links(groups.select("fp")))
     member = stored(
@@ -131,7 +124,7 @@ def _grouped(printed: DataFrame) -> DataFrame:
         "members",
     )
     least = stored(member.groupBy("root").agg(F.min("first_id").alias("component_id")), "components")
-    named = stored(member.join(least, "root").select("fp", "component_id"), "component-names")
+    named = stored(member.join(least, "root").select("fp", "root", "component_id"), "component-names")
     return printed.join(named, "fp")
 
 
@@ -142,259 +135,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return _grouped(printed).select("doc_id", "fp", F.nullif("component_id", F.lit(LAST_ID)).alias("component_id"))
 
 
-# -- groups by similarity -----------------------------------------------------------------
+def keep_first_copies(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """One document of each component of `near_duplicates`: the one with the smallest id.
 
-
-def shingle_hashes(text: str, shingle: int) -> np.ndarray:
-    """Distinct XXH64 of a text's shingles, rising; empty without words."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    digest, join = xxhash.xxh64_intdigest, b" ".join
-    last = max(len(words) - shingle, 0) + 1 if words else 0
-    return np.unique(np.array([digest(join(words[i : i + shingle]), SEED) for i in range(last)], dtype=np.uint64))
-
-
-def _majority(hashes: np.ndarray) -> int:
-    ones = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0)
-    return int(np.packbits((2 * ones > len(hashes)).astype(np.uint8), bitorder="little").view("<i8")[0])
-
-
-def sample_fingerprints(hashes: np.ndarray) -> list[int]:
-    """SimHash of `SAMPLE` shingles for each slot: those that come first in the slot's order of hashes."""
-    if not len(hashes):
-        return [0] * SLOTS
-    prints = []
-    for slot in range(SLOTS):
-        turned = (hashes ^ np.uint64(slot * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xD6E8FEB86659FD93)
-        turned ^= turned >> np.uint64(32)
-        some = np.argpartition(turned, SAMPLE)[:SAMPLE] if len(turned) > SAMPLE else slice(None)
-        prints.append(_majority(hashes[some]))
-    return prints
-
-
-def _sampled(shingle: int):
-    @F.pandas_udf("fp bigint, samples array<bigint>, shingles binary")
-    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            prints = np.array([fingerprint_of(t, shingle) for t in batch], dtype=np.uint64).view(np.int64)
-            hashes = [shingle_hashes(t, shingle) for t in batch]
-            samples = [sample_fingerprints(x) for x in hashes]
-            sets = [np.unique((x >> np.uint64(32)).astype("<u4")).tobytes() for x in hashes]
-            yield pd.DataFrame({"fp": prints, "samples": samples, "shingles": sets})
-
-    return compute
-
-
-def _shared_share():
-    @F.pandas_udf("double")
-    def compute(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for left, right in batches:
-            values = []
-            for a, b in zip(left, right, strict=True):
-                x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                either = len(x) + len(y) - both
-                values.append(both / either if either else 1.0)  # texts without words are alike
-            yield pd.Series(values, dtype="float64")
-
-    return compute
-
-
-def _token_counts(sets: DataFrame) -> np.ndarray:
-    """How many texts hold a shingle of each bucket of hashes, at most 65535."""
-    size, width = 2**BUCKETS_LOG2, 2**BUCKETS_LOG2 // BUCKET_BLOCKS
-    most = np.iinfo(np.uint16).max
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size, np.int64)
-        for batch in batches:
-            tokens = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")
-            counts += np.bincount(tokens >> np.uint32(32 - BUCKETS_LOG2), minlength=size)
-        blocks = np.minimum(counts, most).astype("<u2").reshape(-1, width)
-        names = pa.array(range(len(blocks)), pa.int32())
-        yield pa.RecordBatch.from_arrays([names, pa.array([x.tobytes() for x in blocks], pa.binary())], ["block", "counts"])
-
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, counts in zip(*batch.columns, strict=True):
-                new = np.frombuffer(counts.as_py(), "<u2").astype(np.int64)
-                sums[block.as_py()] = sums.get(block.as_py(), 0) + new
-        arrays = [np.minimum(x, most).astype("<u2").tobytes() for x in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(arrays, pa.binary())], ["block", "counts"])
-
-    kind = "block int, counts binary"
-    rows = sets.select("shingles").mapInArrow(counted, kind).repartition("block").mapInArrow(merged, kind)
-    out = np.zeros((BUCKET_BLOCKS, width), np.uint16)
-    for row in rows.toLocalIterator():
-        out[row["block"]] = np.frombuffer(row["counts"], "<u2")
-    return out.reshape(-1)
-
-
-def _heads(sets: DataFrame, similarity: float) -> DataFrame:
-    """(token, version, size, place): the prefix of every text in the common order of shingles."""
-    shared = sets.sparkSession.sparkContext.broadcast(_token_counts(sets))
-
-    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                versions, texts = (column.slice(at, 1024).to_pylist() for column in batch.columns)
-                tokens, sizes, lengths = [], [], []
-                for text in texts:
-                    own = np.frombuffer(text, "<u4")
-                    first = len(own) - math.ceil(len(own) * similarity - 1e-9) + 1 if len(own) else 0
-                    order = np.lexsort((own, shared.value[own >> np.uint32(32 - BUCKETS_LOG2)]))[:first]
-                    tokens.append(own[order].view("<i4"))
-                    sizes.append(len(own))
-                    lengths.append(first)
-                places = np.arange(sum(lengths)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1
-                columns = [
-                    pa.array(np.concatenate(tokens), pa.int32()),
-                    pa.array(np.repeat(np.array(versions, np.int64), lengths), pa.int64()),
-                    pa.array(np.repeat(sizes, lengths), pa.int32()),
-                    pa.array(places, pa.int32()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["token", "version", "size", "place"])
-
-    return sets.select("version", "shingles").mapInArrow(heads, "token int, version bigint, size int, place int")
-
-
-def _sized(entries: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """Entries of the keys that have two members or more, with the count and both end members."""
-    counts = entries.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.min("version").alias("low"), F.max("version").alias("high")
-    )
-    return entries.join(stored(counts.filter(F.col("n") > 1), f"{label}-sizes"), keys)
-
-
-def _all_pairs(sized: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of members of the keys that have at most `SMALL` of them."""
-    members = F.sort_array(F.collect_list("version"))
-    lists = sized.filter(F.col("n") <= SMALL).groupBy(*keys).agg(members.alias("m"))
-    heads = lists.select("m", F.posexplode("m").alias("k", "version"))
-    return heads.select("version", F.explode(F.slice("m", F.col("k") + 2, SMALL)).alias("end"))
-
-
-def _sample_entries(texts: DataFrame) -> DataFrame:
-    slots = F.posexplode("samples").alias("slot", "word")
-    return stored(_sized(texts.select("version", "samples", slots), ENTRY, "samples"), "sample-entries")
-
-
-def _candidates(texts: DataFrame, first: DataFrame) -> DataFrame:
-    """(a, b) text hashes that an index brings together, each pair once.
-
-    All members of a small entry are paired. Those of a larger one are entered again under their word
-    and that of every other slot; where this still leaves a large entry, its members are very much
-    alike and each is paired with the smallest and with the largest one. So pairs grow in proportion
-    to the texts. What this leaves is up to `_rest_pairs`.
-    """
-    keys = ENTRY
-    more = [*ENTRY, "slot2", "word2"]
-    second = (
-        first.filter(F.col("n") > SMALL)
-        .select("version", *keys, F.posexplode("samples").alias("slot2", "word2"))
-        .filter(F.col("slot2") != F.col("slot"))
-    )
-    second = stored(_sized(second, more, "pairs-of-samples"), "large-entries")
-    hubs = second.filter(F.col("n") > SMALL).select("version", F.explode(F.array("low", "high")).alias("end"))
-    met = _all_pairs(first, keys).unionByName(_all_pairs(second, more)).unionByName(hubs)
-
-    groups = stored(texts.groupBy("fp").agg(F.min("version").alias("low")), "print-groups")
-    low = groups.select("fp", F.col("low").alias("end"))
-    linked = (
-        fingerprint_links(groups.select("fp"))
-        .join(low.withColumnRenamed("fp", "a").withColumnRenamed("end", "version"), "a")
-        .join(low.withColumnRenamed("fp", "b"), "b")
-        .select("version", "end")
-    )
-    same = texts.join(groups, "fp").select("version", F.col("low").alias("end"))
-    pairs = met.unionByName(linked).unionByName(same).filter(F.col("version") != F.col("end"))
-    return pairs.select(F.least("version", "end").alias("a"), F.greatest("version", "end").alias("b")).distinct()
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    return (
-        pairs.join(sets.select(F.col("version").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(sets.select(F.col("version").alias("b"), F.col("shingles").alias("y")), "b")
-        .select("a", "b", _shared_share()("x", "y").alias("similarity"))
-        .filter(F.col("similarity") >= similarity)
-        .select("a", "b")
-    )
-
-
-def _members(texts: DataFrame, links: DataFrame) -> DataFrame:
-    """(version, id, root) of every text; one without links is its own root."""
-    roots = component_roots(links)
-    return stored(
-        texts.join(roots, texts["version"] == roots["node"], "left").select(
-            "version", "id", F.coalesce("root", "version").alias("root")
-        ),
-        "similar-members",
-    )
-
-
-def _rest_pairs(rest: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) of texts of different components that may reach the similarity: a prefix filter.
-
-    With a text's shingles in one common order, a similar text shares one of the first
-    n - ceil(similarity * n) + 1 of its n, and the first one they share has enough after it in both.
-    Those of the least filled buckets of hashes come first, so passages that many texts share hardly
-    bring any together; the order decides how many pairs there are, never which links are found.
-    Within a component nothing is paired.
-    """
-    heads = stored(_heads(sets, similarity), "prefixes")
-    repeated = stored(heads.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("token"), "rest-tokens")
-    heads = stored(heads.join(repeated, "token", "left_semi").join(rest.select("version", "root"), "version"), "rest-heads")
-    split = heads.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = stored(split.filter(F.col("low") != F.col("high")).select("token"), "split-tokens")
-    heads = stored(heads.join(mixed, "token", "left_semi"), "split-heads")
-    left = heads.select("token", *[F.col(c).alias(f"{c}_a") for c in ("version", "root", "size", "place")])
-    right = heads.select("token", *[F.col(c).alias(f"{c}_b") for c in ("version", "root", "size", "place")])
-    after = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) + 1
-    enough = after >= F.ceil((F.col("size_a") + F.col("size_b")) * (similarity / (1 + similarity)) - 1e-9)
-    return (
-        left.join(right, "token")
-        .filter((F.col("root_a") < F.col("root_b")) & enough)
-        .select(F.col("version_a").alias("a"), F.col("version_b").alias("b"))
-        .distinct()
-    )
-
-
-def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = SIMILAR) -> DataFrame:
-    """(id, version, first) of every document: the smallest id of its group of similar texts.
-
-    At a similarity of 0.8 fingerprints differ in some ten bits, and Hamming balls of that size
-    cannot be enumerated. So each text has, besides its whole fingerprint, `SLOTS` fingerprints of
-    small samples of shingles; a sample falls alike in similar texts with probability
-    similarity ** SAMPLE. Pairs that meet are verified by the share of common shingles. That links
-    most of what is similar; a prefix filter then goes over all texts, and every pair of different
-    components that may reach the similarity is verified as well, so no link is lost.
+    Documents without words share fingerprint zero, so one of them stays. Rows that repeat the kept
+    document's id and text stay with it; of other texts under its id, one of the component stays. Rows
+    without an id count as the largest: one text of them stays if no numbered document is in their component.
+    Texts may be of any length, and further columns may have any name.
     """
     ship_package(docs.sparkSession)
     keys = [order_id().alias("id"), F.xxhash64(text_of()).alias("version")]
-    printed = docs.select(*keys, _sampled(shingle)(text_of()).alias("p")).select("id", "version", "p.*")
-    printed = stored(printed, "samples")
-    texts = stored(
-        printed.groupBy("version").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("samples").alias("samples")),
-        "texts",
-    )
-    sets = stored(printed.select("version", "shingles").dropDuplicates(["version"]), "shingle-sets")
-    pairs = stored(_candidates(texts, _sample_entries(texts)), "pairs")
-    links = stored(_verified(pairs, sets, similarity), "similar-pairs")
-    member = _members(texts, links)
-    more = stored(_verified(stored(_rest_pairs(member, sets, similarity), "rest-pairs"), sets, similarity), "rest-links")
-    member = _members(texts, links.unionByName(more))
-    least = stored(member.groupBy("root").agg(F.min("id").alias("first")), "similar-firsts")
-    named = stored(member.join(least, "root").select("version", "first"), "similar-names")
-    return printed.select("id", "version").join(named, "version")
-
-
-def keep_first_copies(docs: DataFrame, shingle: int = 5, similarity: float = SIMILAR) -> DataFrame:
-    """One document of each group of similar texts: the one with the smallest id.
-
-    Documents without words are copies of one another, so one of them stays. Rows that repeat a
-    document id with the same text are one document; those without an id stay unless a numbered
-    document is in their group.
-    """
-    first = similar_groups(docs, shingle, similarity).filter(F.col("id") == F.col("first")).select("id", "version").distinct()
-    keys = [order_id().alias("id"), F.xxhash64(text_of()).alias("version")]
+    printed = stored(docs.select(*keys, fingerprint(text_of(), shingle).alias("fp")), "fingerprints")
+    smallest = _grouped(printed).filter(F.col("id") == F.col("component_id"))
+    first = smallest.groupBy("root").agg(F.min("id").alias("id"), F.min("version").alias("version")).drop("root")
     return unpacked(packed(docs, *keys).join(first, ["id", "version"], "left_semi"))

@@ -49,16 +49,6 @@ def simhash_groups(docs, n=3):
     return prints, smallest_of_groups(ids, linked)
 
 
-def similar_groups(docs, n=5, least=0.8):
-    sets = {i: set(shingles(t, n)) for i, t in docs}
-    ids = sorted(sets)
-
-    def alike(a, b):
-        return sets[a] == sets[b] or len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])
-
-    return smallest_of_groups(ids, [(a, b) for a in ids for b in ids if a < b and alike(a, b)])
-
-
 def line_key(line):
     return line.strip(SPACES).translate(UPPER)
 

@@ -241,22 +241,6 @@ def test_standard_texts_give_their_licenses(spark):
     assert {name for name, _, _ in licenses.RULES} == set(expected.values())
 
 
-def test_similar_texts_that_share_no_sample(spark):
-    rnd = random.Random(8)
-    rows = []
-    for size in (12, 24, 60) * 700:
-        words = [f"w{rnd.randint(0, 99999)}" for _ in range(size)]
-        pair = [" ".join(words), " ".join([*words, *(f"x{rnd.randint(0, 99999)}" for _ in range((size - 4) // 4))])]
-        samples = [simhash.sample_fingerprints(simhash.shingle_hashes(t, 5)) for t in pair]
-        far = (simhash.fingerprint_of(pair[0], 5) ^ simhash.fingerprint_of(pair[1], 5)).bit_count() > 2
-        if far and not any(a == b for a, b in zip(*samples, strict=True)):
-            rows += [(len(rows) + k, t) for k, t in enumerate(pair)]
-    table = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert len(rows) >= 6
-    assert {r.id: r.first for r in simhash.similar_groups(table).collect()} == {k: k - k % 2 for k, _ in rows}
-    assert simhash.keep_first_copies(table).count() == len(rows) / 2
-
-
 def test_texts_without_words_are_one_group(spark):
     texts = ["", " ", None, "\n\n", "\t \r\n", "some words", "  \x0b"]
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
