@@ -12,6 +12,7 @@ line breaks as spaces (paragraphs below a title, a copyright line or an address)
 merged by position: the letters and digits (ASCII) ahead of a sentence, which no way of cutting changes. So a
 sentence that several ways find counts once, a known sentence within a longer one beside it, and rules see
 the order of the text.
+A header line with a license identifier is one sentence, its colon ends none.
 Long sentences are in the table as the ends of their original punctuation cut them, and without it.
 
 Null and empty texts have no sentences and no license. Rows are judged one by one: the operator is a
@@ -55,9 +56,23 @@ SENTENCES = {
     "gpl2-either": "either version 2 of the license or at your option any later version",
     "gpl-implied": "without even the implied warranty of merchantability or fitness for a particular purpose",
     "gpl-see": "see the gnu general public license for more details",
+    "gpl2-only-redistribute": "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "gpl2-only-conditions": "you can redistribute it and or modify it under the terms and conditions of the gnu general public license version 2 as published by the free software foundation",
+    "gpl2-only-version": "version 2 of the license",
+    "agpl3-redistribute": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-redistribute": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation",
+    "agpl-see": "see the gnu affero general public license for more details",
+    "lgpl3-redistribute": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl21-redistribute": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl-redistribute": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+    "lgpl21-either": "either version 2 1 of the license or at your option any later version",
+    "lgpl-see": "see the gnu lesser general public license for more details",
     "cc-by-nc": "licensed under cc by nc 4 0",
     "cc-by-sa": "licensed under cc by sa 4 0",
     "cc-by": "licensed under cc by 4 0",
+    "cc0-licensed": "licensed under cc0 1 0",
+    "cc0-deed": "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law including all related and neighboring rights to the extent allowed by law",
+    "cc0-purpose": "the laws of most jurisdictions throughout the world automatically confer exclusive copyright and related rights defined below upon the creator and subsequent owner s each and all an owner of an original work of authorship and or a database each a work",
     "cc-by-work": "this work is licensed under a creative commons attribution 4 0 international license",
     "cc-by-sa-work": "this work is licensed under a creative commons attribution sharealike 4 0 international license",
     "cc-by-nc-work": "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
@@ -72,8 +87,35 @@ SENTENCES = {
     "reserved": "all rights reserved",
 }
 
+# fixed values: license identifiers of one-line file headers, normalised, and the license each stands for
+SPDX = {
+    "bsd 3 clause": "bsd-3-clause",
+    "bsd 2 clause": "bsd-2-clause",
+    "mit": "mit",
+    "apache 2 0": "apache-2.0",
+    "agpl 3 0 or later": "agpl-3.0",
+    "agpl 3 0 only": "agpl-3.0-only",
+    "lgpl 3 0 or later": "lgpl-3.0",
+    "lgpl 3 0 only": "lgpl-3.0-only",
+    "lgpl 2 1 or later": "lgpl-2.1",
+    "lgpl 2 1 only": "lgpl-2.1-only",
+    "gpl 3 0 or later": "gpl-3.0",
+    "gpl 3 0 only": "gpl-3.0-only",
+    "gpl 2 0 or later": "gpl-2.0",
+    "gpl 2 0 only": "gpl-2.0-only",
+    "cc by nc 4 0": "cc-by-nc-4.0",
+    "cc by sa 4 0": "cc-by-sa-4.0",
+    "cc by 4 0": "cc-by-4.0",
+    "cc0 1 0": "cc0-1.0",
+    "mpl 2 0": "mpl-2.0",
+    "unlicense": "unlicense",
+    "isc": "isc",
+}
+SENTENCES |= {f"spdx-{words.replace(' ', '-')}": f"spdx license identifier {words}" for words in SPDX}
+
 # (license, identifiers in order, licenses that rule it out); tried from the top
 RULES = (
+    *((name, (f"spdx-{words.replace(' ', '-')}",), ()) for words, name in SPDX.items()),
     ("bsd-3-clause", ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-endorse"), ()),
     ("bsd-2-clause", ("bsd-redistribution", "bsd-source", "bsd-binary"), ("bsd-3-clause",)),
     ("mit", ("mit-grant", "mit-notice", "mit-as-is"), ()),
@@ -98,6 +140,27 @@ RULES = (
     ("gpl-2.0-notice", ("gpl2-free",), ("gpl-2.0",)),
     ("gpl-2.0-notice", ("gpl2-redistribute",), ("gpl-2.0",)),
     ("gpl-2.0-notice", ("gpl-redistribute", "gpl2-either"), ("gpl-2.0",)),
+    ("gpl-2.0-only", ("gpl2-only-redistribute", "gpl-implied", "gpl-see"), ()),
+    ("gpl-2.0-only", ("gpl2-only-conditions", "gpl-implied", "gpl-see"), ()),
+    ("gpl-2.0-only", ("gpl-redistribute", "gpl2-only-version", "gpl-implied", "gpl-see"), ()),
+    ("gpl-2.0-only-notice", ("gpl2-only-redistribute",), ("gpl-2.0-only",)),
+    ("gpl-2.0-only-notice", ("gpl2-only-conditions",), ("gpl-2.0-only",)),
+    ("gpl-2.0-only-notice", ("gpl-redistribute", "gpl2-only-version"), ("gpl-2.0-only",)),
+    ("agpl-3.0", ("agpl3-redistribute", "gpl-implied", "agpl-see"), ()),
+    ("agpl-3.0", ("agpl-redistribute", "gpl3-either", "gpl-implied", "agpl-see"), ()),
+    ("agpl-3.0-notice", ("agpl3-redistribute",), ("agpl-3.0",)),
+    ("agpl-3.0-notice", ("agpl-redistribute", "gpl3-either"), ("agpl-3.0",)),
+    ("lgpl-3.0", ("lgpl3-redistribute", "gpl-implied", "lgpl-see"), ()),
+    ("lgpl-3.0", ("lgpl-redistribute", "gpl3-either", "gpl-implied", "lgpl-see"), ()),
+    ("lgpl-3.0-notice", ("lgpl3-redistribute",), ("lgpl-3.0",)),
+    ("lgpl-3.0-notice", ("lgpl-redistribute", "gpl3-either"), ("lgpl-3.0",)),
+    ("lgpl-2.1", ("lgpl21-redistribute", "gpl-implied", "lgpl-see"), ()),
+    ("lgpl-2.1", ("lgpl-redistribute", "lgpl21-either", "gpl-implied", "lgpl-see"), ()),
+    ("lgpl-2.1-notice", ("lgpl21-redistribute",), ("lgpl-2.1",)),
+    ("lgpl-2.1-notice", ("lgpl-redistribute", "lgpl21-either"), ("lgpl-2.1",)),
+    ("cc0-1.0", ("cc0-licensed",), ()),
+    ("cc0-1.0", ("cc0-deed",), ()),
+    ("cc0-1.0", ("cc0-purpose",), ()),
     ("cc-by-nc-4.0", ("cc-by-nc",), ()),
     ("cc-by-nc-4.0", ("cc-by-nc-work",), ()),
     ("cc-by-sa-4.0", ("cc-by-sa",), ()),
@@ -113,6 +176,8 @@ RULES = (
 # every sentence of the table has one of these stems, so a text without any has no known sentence
 CUE = r"(?i)licen[cs]|permission|permitted|copyright|warrant|distribut|domain|rights"
 ENDS = r"([.!?;:])[\x20\x09-\x0D]"
+# the colon of a header line is no end, so that the line is one sentence
+SPDX_COLON = "(?i)(spdx-license-identifier):"
 BLANK_LINES = r"\n([^A-Za-z0-9\n]*\n)+"
 
 
@@ -154,7 +219,7 @@ def _licenses(sequence: Column) -> Column:
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """(doc_id, n_sentences, sentences, licenses) per row of `docs`; lists are comma-joined."""
-    cued = opened(docs.select("doc_id", text_of().alias("text")), told=F.when(F.col("text").rlike(CUE), F.col("text")))
+    cued = opened(docs.select("doc_id", text_of().alias("text")), told=F.when(F.col("text").rlike(CUE), F.regexp_replace("text", SPDX_COLON, "$1")))
 
     def wrapped_from(text: Column) -> Column:
         return F.regexp_replace(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "), ENDS, "$1\n")

@@ -42,7 +42,7 @@ def _op2() -> str:
     return f"""
 WITH known(sentence, id) AS (VALUES {table}),
 texts AS (
-  SELECT doc_id, coalesce(text, '') AS t FROM documents
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '(?i)(spdx-license-identifier):', '\\1', 'g') AS t FROM documents
 ), ways AS (
   SELECT doc_id, 0 AS way, regexp_replace(regexp_replace(t, '{_SPACE}+', ' ', 'g'), '{ends}', '\\1' || chr(10), 'g') AS t FROM texts
   UNION ALL

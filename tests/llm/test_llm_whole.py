@@ -199,7 +199,68 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
 """
 UNLICENSE = "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy.\n"
 CREATIVE = "Jane Doe\n\nThis work is licensed under a Creative Commons Attribution{} 4.0 International License.\n"
+HOPE = """
+{} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {} License for more details.
+"""
+AGPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published
+by the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+"""
+LGPL_3 = AGPL.replace("Affero", "Lesser")
+LGPL_21 = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+"""
+GPL_2_ONLY = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License version 2 as
+published by the Free Software Foundation.
+"""
+GPL_2_CONDITIONS = GPL_2_ONLY.replace("terms of", "terms and conditions of").replace("License version 2 as", "License, version 2, as")
+GPL_2_VERSION = GPL_2_ONLY.replace("version 2 as", "as").replace("Foundation.", "Foundation;\nversion 2 of the License.")
+CC0_DEED = """The person who associated a work with this deed has dedicated the work to the
+public domain by waiving all of his or her rights to the work worldwide under
+copyright law, including all related and neighboring rights, to the extent
+allowed by law.
+
+You can copy, modify, distribute and perform the work, even for commercial purposes, all without asking permission.
+"""
+CC0_CODE = """Statement of Purpose
+
+The laws of most jurisdictions throughout the world automatically confer
+exclusive Copyright and Related Rights (defined below) upon the creator
+and subsequent owner(s) (each and all, an "owner") of an original work of
+authorship and/or a database (each, a "Work").
+"""
 STANDARD = [
+    (AGPL + HOPE.format("This program", "Affero General Public"), "agpl-3.0"),
+    (AGPL.replace("Foundation,", "Foundation;") + HOPE.format("This program", "Affero General Public"), "agpl-3.0"),
+    (AGPL, "agpl-3.0-notice"),
+    (LGPL_3 + HOPE.format("This program", "Lesser General Public"), "lgpl-3.0"),
+    (LGPL_3, "lgpl-3.0-notice"),
+    (LGPL_21 + HOPE.format("This library", "Lesser General Public"), "lgpl-2.1"),
+    (LGPL_21.replace("Foundation;", "Foundation,") + HOPE.format("This library", "Lesser General Public"), "lgpl-2.1"),
+    (LGPL_21, "lgpl-2.1-notice"),
+    (GPL_2_ONLY + HOPE.format("This program", "General Public"), "gpl-2.0-only"),
+    (GPL_2_CONDITIONS + HOPE.format("This program", "General Public"), "gpl-2.0-only"),
+    (GPL_2_VERSION + HOPE.format("This program", "General Public"), "gpl-2.0-only"),
+    (GPL_2_ONLY, "gpl-2.0-only-notice"),
+    (CC0_DEED, "cc0-1.0"),
+    (CC0_CODE, "cc0-1.0"),
+    ("SPDX-License-Identifier: MIT", "mit"),
+    ("SPDX-License-Identifier: Apache-2.0", "apache-2.0"),
+    ("SPDX-License-Identifier: BSD-3-Clause", "bsd-3-clause"),
+    ("SPDX-License-Identifier: GPL-2.0-only", "gpl-2.0-only"),
+    ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2.0"),
+    ("SPDX-License-Identifier: GPL-3.0-only", "gpl-3.0-only"),
+    ("SPDX-License-Identifier: LGPL-2.1-only", "lgpl-2.1-only"),
+    ("SPDX-License-Identifier: LGPL-3.0-only", "lgpl-3.0-only"),
+    ("SPDX-License-Identifier: AGPL-3.0-only", "agpl-3.0-only"),
+    ("spdx-license-identifier: CC0-1.0", "cc0-1.0"),
     (MIT, "mit"),
     (BSD_2 + DISCLAIMER, "bsd-2-clause"),
     (BSD_3 + DISCLAIMER, "bsd-3-clause"),
