@@ -15,6 +15,7 @@ from rankmill.sources import lake as lakes
 from rankmill.sources.schemas import EVENT_MESSAGE
 from rankmill.streaming import events as streams
 from rankmill.streaming import popularity as live
+from workload import queries
 
 HOUR, DAY = 3600, 86400
 
@@ -232,3 +233,15 @@ def test_late_rows_of_the_popularity_are_counted_and_kept(spark, lake, tmp_path)
     assert [(r.event_id, r.batch) for r in live.late_events(spark, lake).collect()] == [("old", 1)]
     got = {str(r.window_start)[:10]: (r.events, r.late_rows) for r in live.popularity(spark, lake).collect()}
     assert got == {"2026-07-08": (1, 1), "2026-07-09": (1, 0), "2026-07-10": (2, 0), "2026-07-11": (1, 0), "2026-07-13": (1, 0)}
+
+
+def test_no_task_writes_a_whole_batch_of_the_merged_stream(spark, sf_dir, monkeypatch):
+    found, follow = [], streams.message_files
+
+    def message_files(spark, folder, *args):
+        found.append(sum(name.endswith(".parquet") for name in os.listdir(folder)))
+        return follow(spark, folder, *args)
+
+    monkeypatch.setattr(streams, "message_files", message_files)
+    queries.stream_merged_events(spark, sf_dir)
+    assert [after - before > 1 for before, after in zip([0, *found], found)] == [True] * 3
