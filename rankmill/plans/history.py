@@ -143,14 +143,20 @@ def pending_changes(spark: SparkSession, lake: Lake) -> Changes:
 # -- cleaned events -----------------------------------------------------------------------
 
 
-KEY = ["repeat", "dt", "event_id"]
+# The id comes first in every key: sorts compare the first bytes of their first column before all else,
+# and a date or a flag tells hardly any rows apart.
+KEY = ["event_id", "dt", "repeat"]
+COPY = ["event_id", "dt"]
 
 
-def _content(clean: DataFrame, repeats: DataFrame) -> DataFrame:
-    """(repeat, dt, event_id, row) of both tables; the first three are a key."""
-    rest = [c for c in clean.columns if c not in ("dt", "event_id")]
-    parts = [t.select(F.lit(n).alias("repeat"), "dt", "event_id", F.struct(*rest).alias("row")) for n, t in enumerate((clean, repeats))]
-    return parts[0].unionAll(parts[1])
+def _marked(clean: DataFrame, repeats: DataFrame) -> DataFrame:
+    """The rows of both tables; `repeat` tells which one."""
+    return clean.withColumn("repeat", F.lit(0)).unionByName(repeats.withColumn("repeat", F.lit(1)))
+
+
+def _content(marked: DataFrame) -> DataFrame:
+    """(event_id, dt, repeat, row); the first three are a key."""
+    return marked.select(*KEY, F.struct(*[c for c in marked.columns if c not in KEY]).alias("row"))
 
 
 def _differences(new: DataFrame, old: DataFrame | None) -> DataFrame:
@@ -161,8 +167,9 @@ def _differences(new: DataFrame, old: DataFrame | None) -> DataFrame:
     sides = new.select(*KEY, F.col("row").alias("new"), none.alias("old")).unionAll(
         old.select(*KEY, none.alias("new"), F.col("row").alias("old"))
     )
-    # each side has a key once; max passes over the side that has no row
-    both = sides.groupBy(*KEY).agg(F.max("new").alias("new"), F.max("old").alias("old"))
+    # each side has a key once, so there is nothing to combine before the exchange; max passes over the
+    # side that has no row
+    both = sides.repartition(*KEY).groupBy(*KEY).agg(F.max("new").alias("new"), F.max("old").alias("old"))
     return both.where(~F.col("new").eqNullSafe(F.col("old")))
 
 
@@ -207,27 +214,24 @@ def _settle(
     tables: Tables,
     copies: DataFrame,
     affected: DataFrame | None,
-    dates: Dates,
+    before: DataFrame | None,
     pending: dict[str, Dates],
-    held: bool,
 ) -> Changes:
     """Write both tables so that the first of the copies of each affected id counts.
 
-    `copies` has all copies of the affected ids, one per date; `dates` are those that hold them or held
-    them before. Without `affected` every id is. Only dates with a row that differs are written.
+    `copies` has all copies of the affected ids, one per date; `before` the marked rows that the tables
+    hold of them, None if there are no tables yet. Without `affected` every id is. Only dates with a row
+    that differs are written.
     """
     clean, repeats = tables.read(spark, lake)
-    # a date holds an id once, so all but the first row of an id are of other dates
-    place = F.row_number().over(Window.partitionBy("event_id").orderBy(*_order(copies)))
-    ranked = _kept(copies.withColumn("__place", place), "ranked-copies")
-    first, repeated = (ranked.where(f"__place {sign} 1").drop("__place") for sign in ("=", ">"))
+    # a date holds an id once, so all but the first row of an id are of other dates; dates follow the
+    # time of publication, and with them in front rows that come sorted by copy need no other sort
+    place = F.row_number().over(Window.partitionBy("event_id").orderBy(F.col("dt").asc_nulls_first(), *_order(copies)))
+    ranked = _kept(copies.withColumn("repeat", (place > 1).cast("int")), "ranked-copies")
+    first, repeated = (ranked.where(f"repeat = {n}").drop("repeat") for n in (0, 1))
 
-    def old_of(table: DataFrame) -> DataFrame:
-        of_dates = table.where(in_dates(dates))
-        return of_dates.join(affected, "event_id", "left_semi") if affected is not None else of_dates
-
-    before = _content(old_of(clean), old_of(repeats)) if held else None
-    published, repeats_changed, happened = _moved(_differences(_content(first, repeated), before))
+    old = _content(before) if before is not None else None
+    published, repeats_changed, happened = _moved(_differences(_content(ranked), old))
 
     published_all, happened_all = published | pending["published"], happened | pending["happened"]
     own = tables == Tables()
@@ -260,16 +264,23 @@ def merge_parsed(spark: SparkSession, lake: Lake, parsed: DataFrame, tables: Tab
     """
     use_utc(spark)
     parsed = parsed.withColumn("dt", F.to_date("publish_time"))
-    fresh = _kept(first_per_key(parsed, ["dt", "event_id"], _order(parsed)), "merged-events")
-    affected = fresh.select("event_id").distinct()
-    clean, repeats = tables.read(spark, lake)
-    both = clean.unionByName(repeats)
-    near = _column_dates(both.select("dt", "event_id").join(affected, "event_id", "left_semi"))
-    others = both.where(in_dates(near)).join(affected, "event_id", "left_semi")
-    copies = fresh.unionByName(others)
-    one_a_date = first_per_key(copies, ["dt", "event_id"], _order(copies))
-    dates = near | _column_dates(fresh)
-    return _settle(spark, lake, tables, one_a_date, affected, dates, dict.fromkeys(("torn", "published", "happened"), set()), True)
+    fresh = _kept(first_per_key(parsed, COPY, _order(parsed)), "merged-events")
+    affected = _kept(fresh.select("event_id").distinct(), "merged-ids")
+    held = _held(_marked(*tables.read(spark, lake)), affected, set())
+    # an id has a row per date and side at most, so it can go to one task without being trimmed first
+    copies = fresh.unionByName(held.drop("repeat")).repartition("event_id")
+    one_a_date = first_per_key(copies, COPY, _order(copies))
+    return _settle(spark, lake, tables, one_a_date, affected, held, dict.fromkeys(("torn", "published", "happened"), set()))
+
+
+def _held(marked: DataFrame, affected: DataFrame, dates: Dates) -> DataFrame:
+    """The marked rows of affected ids, kept: of the given dates, and of the others that hold such an id.
+
+    Of the others first the id column is read, then whole rows of the dates that hold such an id.
+    """
+    others = marked.where(~F.coalesce(in_dates(dates), F.lit(False)))
+    near = _column_dates(others.select(*COPY).join(affected, "event_id", "left_semi"))
+    return _kept(marked.where(in_dates(dates | near)).join(affected, "event_id", "left_semi"), "held-copies")
 
 
 def apply_changes(spark: SparkSession, lake: Lake, changed: Collection[dt.date | None] | None = None) -> Changes:
@@ -293,14 +304,14 @@ def apply_changes(spark: SparkSession, lake: Lake, changed: Collection[dt.date |
 
     messages = read_events(spark, lake, dates=todo & landed)
     parsed = parsed_events(messages).withColumn("dt", F.to_date("publish_time"))
-    fresh = first_per_key(parsed, ["dt", "event_id"], _order(parsed))
-    affected, near, copies = None, set(), fresh
+    fresh = first_per_key(parsed, COPY, _order(parsed))
+    marked = _marked(*Tables().read(spark, lake))
+    affected, copies, before = None, fresh, marked.where(in_dates(todo)) if held else None
     if rest:
         fresh = _kept(fresh, "fresh-events")
-        both = DataFrame.unionByName(*Tables().read(spark, lake))
-        of_todo = both.where(in_dates(todo))
-        nothing = fresh.limit(0)
-        differing = _differences(_content(fresh, nothing), _content(of_todo, nothing)).select("event_id")
+        of_todo = marked.where(in_dates(todo))
+        as_one = [_content(part.withColumn("repeat", F.lit(0))) for part in (fresh, of_todo)]
+        differing = _differences(*as_one).select("event_id")
         if pending["torn"]:
             # what a broken refresh left there proves nothing about other dates
             torn = in_dates(pending["torn"])
@@ -309,12 +320,10 @@ def apply_changes(spark: SparkSession, lake: Lake, changed: Collection[dt.date |
         affected = _kept(differing.distinct(), "changed-ids")
         if affected.isEmpty() and not pending["torn"]:
             return Changes(pending["published"], pending["happened"])
-        # of the history first the id column, then whole rows of the dates that hold such an id
-        history = both.where(in_dates(rest))
-        near = _column_dates(history.select("dt", "event_id").join(affected, "event_id", "left_semi"))
-        others = both.where(in_dates(near)).join(affected, "event_id", "left_semi")
+        before = _held(marked, affected, todo)
+        others = before.where(~in_dates(todo)).drop("repeat")
         copies = fresh.join(affected, "event_id", "left_semi").unionByName(others)
-    return _settle(spark, lake, Tables(), copies, affected, todo | near, pending, bool(held))
+    return _settle(spark, lake, Tables(), copies, affected, before, pending)
 
 
 def refresh_events(
