@@ -18,6 +18,7 @@ from rankmill.plans import analysis, marts
 from rankmill.plans.staging import stg_events
 from rankmill.session import shuffle_partitions
 from rankmill.sources.schemas import EVENT_MESSAGE
+from workload.adapter import Tables
 
 N = 6000
 
@@ -144,3 +145,13 @@ def test_shuffles_are_sized_by_the_input(spark, copies):
         assert re.search(r"Exchange hashpartitioning\(event_id#\d+, 240\)", plan_of(stg_events(copies[1])))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_file_of_one_row_group_and_many_splits_is_spread(spark, sf_dir):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        messages = Tables(spark, sf_dir).raw_events()
+        rows = [r["count"] for r in messages.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert max(rows) <= sum(rows) / 3

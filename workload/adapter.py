@@ -241,13 +241,13 @@ class Tables:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input that has fewer splits than there are cores.
+    """Give every core a share of the input, however it lies.
 
-    A file of one row group is one task, however much work each row is. Larger inputs have
-    enough splits and are left as they lie.
+    A row group is read by one task, and splits count bytes: a file of one row group has many
+    splits, of which all but one are empty.
     """
     wanted = min(df.sparkSession.sparkContext.defaultParallelism, 64)
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    return df.repartition(max(wanted, df.rdd.getNumPartitions()))
 
 
 # Every row is in the newer snapshot; rows that meet the condition also in the older one.
